@@ -38,6 +38,7 @@ from tagreef.plans.jobs import (
     search_selective,
     search_tag_files,
 )
+from tagreef.operators.sizes import spread
 from tagreef.schema import CATALOG
 from tagreef.shared import scratch_path
 from tagreef.sources.catalog import (
@@ -82,6 +83,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table of long texts, which small scales keep in a single row group."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 # --- stand-ins, once for Spark and once for SQL ------------------------------
 
 PNG_HEAD = bytes.fromhex("89504E470D0A1A0A")
@@ -89,7 +95,7 @@ PNG_HEAD = bytes.fromhex("89504E470D0A1A0A")
 
 def documents_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as a catalog whose images are the texts' bytes, typed png."""
-    docs = table(spark, sf_dir, "documents").select(
+    docs = text_table(spark, sf_dir, "documents", "doc_id", "text").select(
         F.col("doc_id").cast("string").alias("path"),
         "text",
         F.encode("text", "UTF-8").alias("content"),
@@ -223,13 +229,13 @@ def keyword_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(f"SELECT doc_id, {tag_sql('text')} AS tag FROM documents")
 def tag_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     tag = text.upload_tag(F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", tag.alias("tag"))
+    return text_table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", tag.alias("tag"))
 
 
 @register(f"SELECT page_id, {tag_sql('html', FOLDER_SQL)} AS tag FROM pages")
 def tag_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     tag = text.folder_tag(F.col("html"))
-    return table(spark, sf_dir, "pages").select("page_id", tag.alias("tag"))
+    return text_table(spark, sf_dir, "pages", "page_id", "html").select("page_id", tag.alias("tag"))
 
 
 @register(f"SELECT * FROM {CATALOG_SQL}")
@@ -242,7 +248,7 @@ def uri_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     uri = images.data_uri(F.encode("text", "UTF-8"), F.lit("gif"))
     payload = images.uri_payload(F.col("uri"))
     return (
-        table(spark, sf_dir, "documents")
+        text_table(spark, sf_dir, "documents", "doc_id", "text")
         .withColumn("uri", uri)
         .select(
             "doc_id",
@@ -440,7 +446,7 @@ def fetch_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def repeat_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     payloads = table(spark, sf_dir, "benchmark").select(F.col("text").alias("payload"))
-    return is_new(table(spark, sf_dir, "documents"), payloads, "text")
+    return is_new(text_table(spark, sf_dir, "documents", "text"), payloads, "text")
 
 
 @register(
@@ -449,7 +455,7 @@ def repeat_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def drop_repeats_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     uri = images.data_uri(F.encode("text", "UTF-8"), F.lit("png")).alias("binary")
-    batch = table(spark, sf_dir, "documents").select("doc_id", uri)
+    batch = text_table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", uri)
     held = payload_hashes(table(spark, sf_dir, "benchmark").select(uri))
     fresh = drop_repeats(batch, held, order=("doc_id",))
     return fresh.select("doc_id", images.uri_payload(F.col("binary")).alias("payload"))
@@ -464,7 +470,7 @@ def drop_repeats_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_repeats_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     uri = images.data_uri(F.encode("text", "UTF-8"), F.lit("png")).alias("binary")
     batch = table(spark, sf_dir, "benchmark").select("item_id", uri)
-    catalog = table(spark, sf_dir, "documents").select(uri)
+    catalog = text_table(spark, sf_dir, "documents", "text").select(uri)
     return drop_repeats(batch, catalog, "exact", order=("item_id",)).select("item_id")
 
 
@@ -494,7 +500,7 @@ def attr_sql(name: str) -> str:
             FROM (SELECT page_id, url, {tags_sql('a', 'html')} AS tags FROM pages) AS t) AS t"""
 )
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract_tags(table(spark, sf_dir, "pages"), "a", {"href": "href"})
+    return extract_tags(text_table(spark, sf_dir, "pages", "page_id", "url", "html"), "a", {"href": "href"})
 
 
 # What a stand-in link of a page becomes, and the sites, in turn.
@@ -513,7 +519,8 @@ SITES = ("http://me.me/", "http://doutu.example.com/", "http://jandan.example.co
 
 def image_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages whose links are image tags, spread over the sites."""
-    numbered = table(spark, sf_dir, "pages").withColumn("_turn", F.floor(F.col("page_id") / 4))
+    pages = text_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    numbered = pages.withColumn("_turn", F.floor(F.col("page_id") / 4))
     image = _pick("_turn", [F.lit(tag) for tag in IMAGE_TAGS])
     site = _pick("page_id", [F.lit(site) for site in SITES])
     return numbered.select(
@@ -682,7 +689,7 @@ DOC_BYTES_SQL = "(unhex('89504E470D0A1A0A') || encode(text))"
 def document_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as uploads: a png head, then the text, under names of all kinds."""
     extension = _pick("doc_id", [F.lit(extension) for extension in EXTENSIONS])
-    return table(spark, sf_dir, "documents").select(
+    return text_table(spark, sf_dir, "documents", "doc_id", "text").select(
         F.concat(F.col("doc_id"), F.lit("."), extension).alias("path"),
         F.concat(F.lit(PNG_HEAD), F.encode("text", "UTF-8")).alias("content"),
     )

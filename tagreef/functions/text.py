@@ -46,7 +46,8 @@ def trim_space(text: Column) -> Column:
 
 def finish_tag(text: Column) -> Column:
     """Lower-case a tag; nothing left (or no text at all) becomes ``NoTag``."""
-    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(NO_TAG)).otherwise(F.lower(text))
+    # The text is named once: a filter on the tag would compute every mention anew.
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"^\z", NO_TAG)
 
 
 def upload_tag(text: Column) -> Column:

@@ -7,6 +7,7 @@ from tagreef.functions.text import trim_space
 from tagreef.operators.grouping import first_per_key
 from tagreef.operators.numbering import with_index
 from tagreef.schema import ACCOUNTS
+from tagreef.shared import saved
 
 # Field limits and the answers a sign-up gets.
 NAME_LENGTH = 30
@@ -52,8 +53,10 @@ def apply_signups(accounts: DataFrame, signups: DataFrame) -> tuple[DataFrame, D
     """
     checked = check_accounts(signups.withColumn("username", F.lower("username")))
     valid = checked.filter(F.col("status").isNull()).drop("status")
-    winners = first_per_key(valid, ["username"], ["seq"]).join(
-        accounts.select("username"), "username", "left_anti"
+    winners = saved(
+        first_per_key(valid, ["username"], ["seq"]).join(
+            accounts.select("username"), "username", "left_anti"
+        )
     )
     last_id = accounts.agg(F.max("id")).first()[0] or 0
     added = with_index(winners, ["seq"], "_nth").select(

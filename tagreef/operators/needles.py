@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagreef.operators.sizes import BROADCAST_BYTES, table_bytes
-from tagreef.shared import shared_dir
+from tagreef.shared import saved
 
 SLICE_BYTES = BROADCAST_BYTES
 
@@ -79,8 +79,7 @@ def match_needles(
         .join(needles, "needle")
     )
     # The counting scan runs once: the filed needles are used by every slice.
-    shared_dir(rows.sparkSession)
-    filed = filed.checkpoint()
+    filed = saved(filed)
     n = _slices_needed(filed, slice_bytes)
     if n == 0:
         return None

@@ -12,7 +12,9 @@ def with_index(df: DataFrame, order: list[str], name: str, buckets: int | None =
     The rows are cut into buckets by bounds taken from a bounded sample, numbered
     inside each bucket, and moved by the number of rows in the buckets before.
     Since ``order`` is unique no bucket can be hot. The bounds are literals, so a
-    task that is run again sees the same buckets.
+    task that is run again sees the same buckets. The frame is read three times
+    (sample, counts, numbers): give a :func:`~tagreef.shared.saved` one unless it is
+    a plain scan.
     """
     buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = df.select(*order)

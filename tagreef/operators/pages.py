@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tagreef.functions.links import attribute, attributes_of, image_link, tags_of
 from tagreef.functions.text import fetch_url, last_ext, stamp_name
 from tagreef.operators.numbering import with_index
+from tagreef.shared import saved
 
 
 def extract_tags(pages: DataFrame, tag: str, attrs: dict[str, str]) -> DataFrame:
@@ -45,7 +46,7 @@ def download_manifest(links: DataFrame, ts: Column, repair: bool = False) -> Dat
     """
     link = F.col("link")
     stamp = stamp_name(F.timestamp_micros(F.unix_micros(ts) + F.col("_nth")))
-    return with_index(links, ["page_id", "pos"], "_nth").select(
+    return with_index(saved(links), ["page_id", "pos"], "_nth").select(
         "page_id",
         "pos",
         "link",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tagreef.functions.images import is_rename_image
 from tagreef.functions.text import last_ext
 from tagreef.operators.numbering import with_index
+from tagreef.shared import saved
 
 
 def rename_plan(files: DataFrame, start: str, order: tuple[str, ...] = ("name",)) -> DataFrame:
@@ -14,7 +15,7 @@ def rename_plan(files: DataFrame, start: str, order: tuple[str, ...] = ("name",)
     Only image files are renamed and counted. The counter has 20 digits, which a
     64-bit number cannot hold. ``order`` must tell any two files apart.
     """
-    images = files.filter(is_rename_image(F.col("name")))
+    images = saved(files.filter(is_rename_image(F.col("name"))))
     counter = F.lit(start).cast("decimal(20,0)") - F.col("_nth").cast("decimal(20,0)")
     new_name = F.concat(
         counter.cast("decimal(20,0)").cast("string"), F.lit("."), last_ext(F.col("name"))

@@ -31,42 +31,30 @@ def containing_rows(
     under its rarest character; the empty payload is in every row.
     """
     text = F.col(column)
-    rows = index.filter(text.isNotNull())
-    needles = payloads.filter(F.col("payload").isNotNull()).select(
-        F.col("payload").alias("needle")
-    ).distinct().withColumn("_pieces", _pieces(F.col("needle")))
+    pieces = _pieces(F.col("needle"))
     # Any part of the pieces will do as keys; the smallest hashes are a fair draw.
-    drawn = F.slice(
-        F.array_sort(F.transform("_pieces", lambda p: F.struct(F.xxhash64(p).alias("h"), p.alias("p")))),
-        1,
-        PIECES_PER_PAYLOAD,
-    )
-    verify = F.contains(text, F.col("needle"))
+    hashed = F.transform(pieces, lambda p: F.struct(F.xxhash64(p).alias("h"), p.alias("p")))
+    drawn = F.transform(F.slice(F.array_sort(hashed), 1, PIECES_PER_PAYLOAD), lambda d: d["p"])
     nothing = F.array(F.lit(""))
-    chars = F.array_distinct(F.split("needle", ""))
-    parts = [
-        match_needles(
-            rows,
-            needles.filter(F.size("_pieces") > 0),
-            row_keys=_pieces(text),
-            needle_keys=F.transform(drawn, lambda d: d["p"]),
-            verify=verify,
-            slice_bytes=slice_bytes,
-        ),
-        match_needles(
-            rows,
-            needles.filter(F.size("_pieces") == 0),
-            row_keys=F.array_union(F.split(text, ""), nothing),
-            needle_keys=F.when(F.col("needle") == "", nothing).otherwise(chars),
-            verify=verify,
-            slice_bytes=slice_bytes,
-        ),
-    ]
-    parts = [part for part in parts if part is not None]
-    if not parts:
-        return None
-    found = parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
-    return found.withColumnRenamed("needle", "payload").drop("_pieces")
+    chars = F.when(F.col("needle") == "", nothing).otherwise(
+        F.array_distinct(F.split("needle", ""))
+    )
+    needles = (
+        payloads.select(F.col("payload").alias("needle")).filter(F.col("needle").isNotNull())
+        .distinct()
+    )
+    row_keys = _pieces(text)
+    if not needles.filter(F.size(pieces) == 0).isEmpty():
+        row_keys = F.concat(row_keys, F.array_distinct(F.split(text, "")), nothing)
+    found = match_needles(
+        index.filter(text.isNotNull()),
+        needles,
+        row_keys=row_keys,
+        needle_keys=F.when(F.size(pieces) > 0, drawn).otherwise(chars),
+        verify=F.contains(text, F.col("needle")),
+        slice_bytes=slice_bytes,
+    )
+    return None if found is None else found.withColumnRenamed("needle", "payload")
 
 
 def is_new(

@@ -59,18 +59,17 @@ def search_batch(
     character. Neither way shuffles the catalog.
     """
     keywords = asked_keywords(requests)
-    rows = catalog.filter(F.col("features").isNotNull())
     columns = ["keyword", *keep, image_text()]
     few = [row[0] for row in keywords.limit(literal_keywords + 1).collect()]
     if len(few) <= literal_keywords:
-        return rows.withColumn("keyword", F.explode(_literal_hits(few))).select(*columns)
+        return catalog.withColumn("keyword", F.explode(_literal_hits(few))).select(*columns)
 
     keyword = F.col("needle")
     # '' is a key of every row and of the needles made of wildcards only.
     nothing = F.array(F.lit(""))
     fixed = literal_chars(keyword)
     found = match_needles(
-        rows,
+        catalog,
         keywords.select(F.col("keyword").alias("needle"))
         .withColumn("_regex", keyword_regex(keyword)),
         row_keys=F.array_union(F.split("features", ""), nothing),
@@ -79,7 +78,7 @@ def search_batch(
         slice_bytes=slice_bytes,
     )
     if found is None:
-        found = rows.limit(0).withColumn("needle", F.lit(""))
+        found = catalog.limit(0).withColumn("needle", F.lit(""))
     return found.withColumnRenamed("needle", "keyword").select(*columns)
 
 

@@ -17,3 +17,13 @@ def table_bytes(table: DataFrame) -> int:
 def broadcast_if_small(table: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Mark a table for broadcast when it is small; else leave the join to Spark."""
     return F.broadcast(table) if table_bytes(table) <= limit else table
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a scan of fewer splits than cores over the cores, before dear row work.
+
+    A table of any size has more splits than cores and is left as it is. Only for
+    plain scans: the splits of other plans are not known before they run.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

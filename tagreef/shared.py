@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -12,16 +12,23 @@ def shared_dir(spark: SparkSession) -> str:
     A local-mode session without the setting (a test) gets a temporary folder;
     a cluster without it is an error, since no executor could see that folder.
     """
-    conf = spark.sparkContext.getConf()
-    folder = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        folder = tempfile.mkdtemp(prefix="tagreef-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tagreef-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under :func:`shared_dir` that nothing else uses."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """Compute a frame once, in the shared folder, for several later uses."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()

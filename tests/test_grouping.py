@@ -1,0 +1,79 @@
+from pyspark.sql import functions as F
+
+from tagreef.operators.grouping import first_per_key, ordered_concat
+from tagreef.operators.labels import add_translations, concat_labels, label_text, merge_ocr_text
+from tagreef.operators.numbering import with_index
+
+
+def test_index_has_no_gap(spark):
+    rows = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise(F.sha2(F.col("id").cast("string"), 256)).alias("name"),
+        F.when(F.col("id") % 7 != 0, F.col("id")).alias("n"),
+        "id",
+    )
+    numbered = with_index(rows, ["name", "n", "id"], "i", buckets=16).orderBy("i").collect()
+    assert [r["i"] for r in numbered] == list(range(5000))
+    keys = [(r["name"], r["n"] if r["n"] is not None else -1, r["id"]) for r in numbered]
+    assert keys == sorted(keys)
+    assert with_index(rows.limit(0), ["id"], "i").count() == 0
+    assert [r["i"] for r in with_index(rows.limit(1), ["id"], "i").collect()] == [0]
+
+
+def test_hot_key_is_spread(spark):
+    rows = spark.range(20000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("pos"),
+        F.concat(F.lit("t"), F.col("id")).alias("t"),
+    )
+    joined = ordered_concat(rows, ["k"], "pos", {"t": "all"})
+    hot = joined.filter("k = 0").first()["all"]
+    assert hot == "".join(f"t{i}" for i in range(0, 20000, 3))
+    first = first_per_key(rows, ["k"], ["pos"]).filter("k = 0").first()
+    assert (first["pos"], first["t"]) == (0, "t0")
+
+
+def test_first_per_key_ties(spark):
+    rows = spark.createDataFrame(
+        [("a", 2, "x"), ("a", 1, "z"), ("a", 1, "y"), ("b", None, "n")], "k string, o int, v string"
+    )
+    assert sorted(tuple(r) for r in first_per_key(rows, ["k"], ["o"]).collect()) == [
+        ("a", 1, "y"), ("b", None, "n"),
+    ]
+
+
+DETECTIONS = [("p", 1, "dog"), ("p", 0, "person"), ("q", 0, "猫"), ("q", 1, "Hund")]
+DICTIONARY = [
+    ("en", "dog", "zh-CN", "狗"),
+    ("en", "person", "zh-CN", "人"),
+    ("zh-CN", "猫", "en", "cat"),
+    ("de", "Hund", "en", "dog"),
+    ("zh-CN", "dog", "en", "wrong"),
+]
+
+
+def test_labels(spark):
+    found = spark.createDataFrame(DETECTIONS, "path string, pos int, name string")
+    words = spark.createDataFrame(
+        DICTIONARY, "src_lang string, term string, dst_lang string, translation string"
+    )
+    assert sorted(tuple(r) for r in concat_labels(found).collect()) == [
+        ("p", "person dog "), ("q", "猫 Hund "),
+    ]
+    translated = {(r.path, r.pos): r.translation for r in add_translations(found, words).collect()}
+    assert translated == {("p", 1): "狗", ("p", 0): "人", ("q", 0): "cat", ("q", 1): None}
+    assert sorted(tuple(r) for r in label_text(found, words).collect()) == [
+        ("p", "person dog 人 狗 "), ("q", "猫 Hund cat "),
+    ]
+    assert label_text(found).count() == 2
+
+
+def test_merge_texts(spark):
+    texts = spark.createDataFrame(
+        [
+            ("p", "chi_tra", "C|"), ("p", "eng", "A b\n"), ("p", "chi_sim", "B"), ("p", "deu", "D"),
+            ("q", "chi_sim", "only"),
+        ],
+        "path string, lang string, text string",
+    )
+    assert sorted(tuple(r) for r in merge_ocr_text(texts).collect()) == [("p", "AbBC"), ("q", "only")]
+    assert [tuple(r) for r in merge_ocr_text(texts, "deu").collect()] == [("p", "D")]
