@@ -1,4 +1,7 @@
+import sys
+
 import pytest
+from pyspark import cloudpickle
 
 from tagreef.plans.jobs import (
     index_folder,
@@ -20,6 +23,7 @@ from tagreef.sources.catalog import (
 from tagreef.sources.folders import read_accounts, read_image_folder
 from tagreef.sources.text_files import read_image_list, read_tag_file, write_tag_file
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PNG = b"\x89PNG\r\n\x1a\n"
 
 

@@ -1,3 +1,6 @@
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tagreef.schema import CATALOG, REQUESTS
@@ -14,6 +17,7 @@ from tagreef.streaming.streams import (
     slice_batches,
 )
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PNG = b"\x89PNG\r\n\x1a\n"
 
 
