@@ -103,6 +103,13 @@ def documents_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_catalog_rows(docs, kind="png")
 
 
+def stored_catalog(spark: SparkSession, sf_dir: str) -> str:
+    """The same catalog written as a search finds it; returns its path."""
+    path = scratch_path(spark, "catalog")
+    append_catalog(documents_catalog(spark, sf_dir), path)
+    return path
+
+
 SPACE_SQL = (
     r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}|]"
@@ -125,31 +132,33 @@ CATALOG_SQL = f"""(SELECT CAST(doc_id AS VARCHAR) AS path, {tag_sql('text')} AS
 
 @register(f"""SELECT path, "binary" FROM {CATALOG_SQL} WHERE features LIKE '%s%p%a%r%k%s%q%l%'""")
 def keyword_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search_request(documents_catalog(spark, sf_dir), "spark sql", "path")
+    catalog = read_catalog(spark, stored_catalog(spark, sf_dir))
+    return search_request(catalog, "spark sql", "path")
 
 
 @register(f"""SELECT path, "binary" FROM {CATALOG_SQL} WHERE features LIKE '%t%h%e%1%0%0%%%'""")
 def keyword_search_wildcard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search_request(documents_catalog(spark, sf_dir), "the 100%", "path")
+    catalog = read_catalog(spark, stored_catalog(spark, sf_dir))
+    return search_request(catalog, "the 100%", "path")
 
 
 @register(
     f"""SELECT path, "binary" FROM {CATALOG_SQL} WHERE features LIKE '%n%\\%e%_%x%' ESCAPE '\\'"""
 )
 def keyword_search_escape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search_request(documents_catalog(spark, sf_dir), "N\\e_x", "path")
+    catalog = read_catalog(spark, stored_catalog(spark, sf_dir))
+    return search_request(catalog, "N\\e_x", "path")
 
 
 @register(f"""SELECT path, "binary" FROM {CATALOG_SQL} WHERE features IS NOT NULL""")
 def keyword_search_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search_request(documents_catalog(spark, sf_dir), " ", "path")
+    catalog = read_catalog(spark, stored_catalog(spark, sf_dir))
+    return search_request(catalog, " ", "path")
 
 
 @register(f"""SELECT "binary" FROM {CATALOG_SQL} WHERE features LIKE '%z%q%x%'""")
 def search_stored_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "catalog")
-    append_catalog(documents_catalog(spark, sf_dir), path)
-    return search_selective(spark, path, "zqx")
+    return search_selective(spark, stored_catalog(spark, sf_dir), "zqx")
 
 
 def part_requests(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -108,17 +108,12 @@ def matches_keyword(features: Column, keyword: str) -> Column:
 
     Most rows that do not match lack one of the characters. Finding that out on
     the bytes is several times cheaper than running the regex to the row's end.
-    The one-element array names the text: were it written out in every test, a
-    filter pushed below a projection would compute the tag once per character.
+    ``features`` is mentioned once per character, so it should be a stored column.
     """
     pattern = pattern_of(keyword)
     if not pattern.strip("%"):
         return features.isNotNull()
-
-    def matches(text: Column) -> Column:
-        test = text.rlike(compile_keyword(pattern))
-        for char in reversed(fixed_chars(pattern)):
-            test = F.contains(text, F.lit(char)) & test
-        return test
-
-    return F.exists(F.array(features), matches)
+    test = features.rlike(compile_keyword(pattern))
+    for char in reversed(fixed_chars(pattern)):
+        test = F.contains(features, F.lit(char)) & test
+    return test

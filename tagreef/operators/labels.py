@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from tagreef.functions.text import strip_tag
 from tagreef.operators.grouping import first_per_key, ordered_concat
+from tagreef.operators.sizes import broadcast_if_small
+from tagreef.shared import saved
 
 # Text languages in the order their texts are joined, and the
 # translations there are.
@@ -38,8 +40,7 @@ def add_translations(labels: DataFrame, dictionary: DataFrame) -> DataFrame:
 
     English words go to Chinese and Chinese words to English; when a word is in
     the dictionary for both, it counts as English. The distinct words are looked
-    up, not the label rows, and no side is broadcast by hint: Spark does it when
-    the looked-up words prove small.
+    up first; as long as the words found are small, no label row is shuffled.
     """
     known = dictionary.filter(
         F.struct("src_lang", "dst_lang").isin(
@@ -49,8 +50,12 @@ def add_translations(labels: DataFrame, dictionary: DataFrame) -> DataFrame:
     known = first_per_key(
         known.select(F.col("term").alias("name"), "src_lang", "translation"), ["name"], ["src_lang"]
     )
-    words = labels.select("name").distinct().join(known, "name").select("name", "translation")
-    return labels.join(words, "name", "left").select(*labels.columns, "translation")
+    words = saved(
+        labels.select("name").distinct().join(known, "name").select("name", "translation")
+    )
+    return labels.join(broadcast_if_small(words), "name", "left").select(
+        *labels.columns, "translation"
+    )
 
 
 def label_text(detections: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:

@@ -3,30 +3,35 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BOUND = 32
+# A row is compared with every bound, so there are not many of them.
+BUCKETS = 256
+ROWS_PER_BUCKET = 10_000
+SAMPLE_PER_BUCKET = 32
 
 
-def with_index(df: DataFrame, order: list[str], name: str, buckets: int | None = None) -> DataFrame:
+def with_index(
+    df: DataFrame, order: list[str], name: str, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
     """Number the rows 0, 1, 2 .. by ``order``, which must tell any two rows apart.
 
-    The rows are cut into buckets by bounds taken from a bounded sample, numbered
-    inside each bucket, and moved by the number of rows in the buckets before.
-    Since ``order`` is unique no bucket can be hot. The bounds are literals, so a
-    task that is run again sees the same buckets. The frame is read three times
-    (sample, counts, numbers): give a :func:`~tagreef.shared.saved` one unless it is
-    a plain scan.
+    The rows are cut into buckets by bounds taken from a small sample by hash,
+    numbered inside each bucket, and moved by the number of rows in the buckets
+    before. Since ``order`` is unique no bucket can be hot. The bounds are
+    literals, so a task that is run again sees the same buckets. The frame is
+    read several times: give a :func:`~tagreef.shared.saved` one unless it is a
+    plain scan.
     """
-    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = df.select(*order)
-    drawn = (
-        keys.orderBy(F.xxhash64(*order), *order)
-        .limit(buckets * ROWS_PER_BOUND)
-        .orderBy(*order)
-        .collect()
-    )
+    n = df.count()
+    buckets = min(BUCKETS, 1 + n // rows_per_bucket)
+    # About 32 rows per bucket reach the driver, however many there are.
+    one_in = max(1, n // (buckets * SAMPLE_PER_BUCKET))
+    sample = keys.filter(F.pmod(F.xxhash64(*order), F.lit(one_in)) == 0)
+    drawn = sample.orderBy(*order).collect() if buckets > 1 else []
+    step = max(1, len(drawn) // buckets)
     bounds = [
         F.struct(*[F.lit(row[c]).cast(kind).alias(c) for c, kind in keys.dtypes])
-        for row in drawn[ROWS_PER_BOUND::ROWS_PER_BOUND]
+        for row in drawn[step::step]
     ]
     bucket = F.lit(0)
     if bounds:

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from tagreef.functions.images import uri_payload
 from tagreef.operators.grouping import first_per_key
 from tagreef.operators.needles import SLICE_BYTES, match_needles
+from tagreef.operators.sizes import broadcast_if_small
+from tagreef.shared import saved
 
 # A payload's content-defined pieces: those that start with one of a few
 # characters that are neither rare nor common in base64 and in prose. Any choice
@@ -103,19 +105,38 @@ def drop_repeats(
     one catalog scan per slice of payloads; ``hash`` compares whole payloads in
     one pass. They differ when one payload is a proper part of another.
     ``catalog`` may be a table made by :func:`payload_hashes` for ``hash``.
+
+    The choice is made on hashes and ``order`` alone; images are read again at
+    the end and are not shuffled as long as the chosen keys are small.
     """
-    hashed = batch.withColumn("payload_sha", payload_sha(F.col("binary")))
-    fresh = first_per_key(hashed, ["payload_sha"], list(order))
+    sha = F.coalesce(payload_sha(F.col("binary")), F.lit(""))
+    hashed = batch.withColumn("_sha", sha).withColumn("_place", F.struct(*order))
+    places = hashed.groupBy("_sha", "_place").agg(F.count("*").alias("_copies"))
+    first = places.groupBy("_sha").agg(F.min(F.struct("_place", "_copies")).alias("_first"))
+    first = first.select("_sha", "_first.*")
     if how == "hash":
         seen = catalog if "payload_sha" in catalog.columns else payload_hashes(catalog)
-        return fresh.join(seen.select("payload_sha").distinct(), "payload_sha", "left_anti").drop("payload_sha")
-    if how != "exact":
+        seen = seen.select(F.col("payload_sha").alias("_sha")).distinct()
+        first = first.join(seen, "_sha", "left_anti")
+    elif how == "exact":
+        asked = _rows_at(hashed, saved(first)).filter(F.col("binary").isNotNull())
+        payloads = asked.select(uri_payload(F.col("binary")).alias("payload"))
+        found = containing_rows(catalog.select("binary"), "binary", payloads, slice_bytes)
+        if found is not None:
+            held = found.select(F.sha2("payload", 256).alias("_sha")).distinct()
+            first = first.join(held, "_sha", "left_anti")
+    else:
         raise ValueError(f"how must be 'hash' or 'exact', not {how!r}")
-    payload = fresh.filter(F.col("binary").isNotNull()).select(
-        uri_payload(F.col("binary")).alias("payload")
-    )
-    found = containing_rows(catalog.select("binary"), "binary", payload, slice_bytes)
-    if found is not None:
-        held = found.select(F.sha2("payload", 256).alias("payload_sha")).distinct()
-        fresh = fresh.join(held, "payload_sha", "left_anti")
-    return fresh.drop("payload_sha")
+    first = saved(first)
+    kept = _rows_at(hashed, first.filter("_copies = 1"))
+    copied = first.filter("_copies > 1")
+    if not copied.isEmpty():
+        # The same image at the same place: any of the copies will do.
+        copies = _rows_at(hashed, copied).drop("_place")
+        kept = kept.drop("_place").unionByName(first_per_key(copies, ["_sha"], list(order)))
+    return kept.select(*batch.columns)
+
+
+def _rows_at(hashed: DataFrame, first: DataFrame) -> DataFrame:
+    places = broadcast_if_small(first.select("_sha", "_place"))
+    return hashed.join(places, ["_sha", "_place"], "left_semi")

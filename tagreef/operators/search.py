@@ -9,6 +9,8 @@ from tagreef.functions.keyword import (
     matches_keyword,
 )
 from tagreef.operators.needles import SLICE_BYTES, match_needles
+from tagreef.operators.sizes import broadcast_if_small
+from tagreef.shared import saved
 
 # Up to this many distinct keywords become literal predicates of one scan.
 LITERAL_KEYWORDS = 200
@@ -84,10 +86,13 @@ def search_batch(
 
 def _literal_hits(keywords: list[str]) -> Column:
     """Array of the keywords a row matches; the empty array without keywords."""
-    features = F.col("features")
-    tests = [
-        F.when(matches_keyword(features, keyword), F.lit(keyword)) for keyword in keywords
-    ]
+    # A one-element array names the text, which keeps the code of each test small.
+    text = F.array("features")
+
+    def hit(keyword: str) -> Column:
+        return F.when(F.exists(text, lambda t: matches_keyword(t, keyword)), F.lit(keyword))
+
+    tests = [hit(keyword) for keyword in keywords]
     chunks = [
         F.array_compact(F.array(*tests[start : start + CHUNK]))
         for start in range(0, len(tests), CHUNK)
@@ -99,9 +104,10 @@ def request_sizes(requests: DataFrame, hits: DataFrame) -> DataFrame:
     """``(request_id, keyword, n_hits)``: each request and the size of its result.
 
     Hits are counted per keyword before they meet the requests, so the join is
-    many to one: no request row is multiplied.
+    many to one: no request row is multiplied, and none is shuffled either as
+    long as the counts are small.
     """
-    counts = hits.groupBy("keyword").agg(F.count("*").alias("n_hits"))
-    return requests.join(counts, "keyword", "left").select(
+    counts = saved(hits.groupBy("keyword").agg(F.count("*").alias("n_hits")))
+    return requests.join(broadcast_if_small(counts), "keyword", "left").select(
         "request_id", "keyword", F.coalesce("n_hits", F.lit(0)).alias("n_hits")
     )

@@ -11,7 +11,7 @@ def test_index_has_no_gap(spark):
         F.when(F.col("id") % 7 != 0, F.col("id")).alias("n"),
         "id",
     )
-    numbered = with_index(rows, ["name", "n", "id"], "i", buckets=16).orderBy("i").collect()
+    numbered = with_index(rows, ["name", "n", "id"], "i", rows_per_bucket=100).orderBy("i").collect()
     assert [r["i"] for r in numbered] == list(range(5000))
     keys = [(r["name"], r["n"] if r["n"] is not None else -1, r["id"]) for r in numbered]
     assert keys == sorted(keys)
