@@ -4,9 +4,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagreef.functions.keyword import (
+    compile_keyword,
+    fixed_chars,
     keyword_regex,
     literal_chars,
     matches_keyword,
+    pattern_of,
 )
 from tagreef.operators.needles import SLICE_BYTES, match_needles
 from tagreef.operators.sizes import broadcast_if_small
@@ -14,7 +17,6 @@ from tagreef.shared import saved
 
 # Up to this many distinct keywords become literal predicates of one scan.
 LITERAL_KEYWORDS = 200
-CHUNK = 50
 
 
 def image_text() -> Column:
@@ -85,19 +87,29 @@ def search_batch(
 
 
 def _literal_hits(keywords: list[str]) -> Column:
-    """Array of the keywords a row matches; the empty array without keywords."""
-    # A one-element array names the text, which keeps the code of each test small.
-    text = F.array("features")
-
-    def hit(keyword: str) -> Column:
-        return F.when(F.exists(text, lambda t: matches_keyword(t, keyword)), F.lit(keyword))
-
-    tests = [hit(keyword) for keyword in keywords]
-    chunks = [
-        F.array_compact(F.array(*tests[start : start + CHUNK]))
-        for start in range(0, len(tests), CHUNK)
-    ]
-    return F.concat(*chunks) if chunks else F.array().cast("array<string>")
+    """Array of the keywords a row matches; the empty array without keywords.
+
+    One SQL expression: hundreds of tests built column by column would take the
+    driver longer than many a search. The lambda names the text, so that it is
+    computed once for all tests.
+    """
+    tests = ", ".join(_literal_hit(keyword) for keyword in keywords)
+    hits = f"array_compact(CAST(array({tests}) AS array<string>))"
+    return F.expr(f"flatten(transform(array(features), t -> {hits}))")
+
+
+def _literal_hit(keyword: str) -> str:
+    """:func:`matches_keyword` on ``t`` in SQL, giving the keyword or NULL."""
+    pattern = pattern_of(keyword)
+    tests = [f"contains(t, {_literal(char)})" for char in fixed_chars(pattern)]
+    if pattern.strip("%"):
+        tests.append(f"rlike(t, {_literal(compile_keyword(pattern))})")
+    return f"CASE WHEN {' AND '.join(tests) or 't IS NOT NULL'} THEN {_literal(keyword)} END"
+
+
+def _literal(text: str) -> str:
+    """A text as SQL, by its bytes: no quoting rule applies."""
+    return f"CAST(X'{text.encode().hex()}' AS STRING)"
 
 
 def request_sizes(requests: DataFrame, hits: DataFrame) -> DataFrame:
