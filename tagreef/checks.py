@@ -17,6 +17,7 @@ from tagreef.operators.accounts import (
     check_accounts,
     lookup_accounts,
 )
+from tagreef.operators.extract import detect_objects, read_texts
 from tagreef.operators.grouping import first_per_key
 from tagreef.operators.labels import add_translations, concat_labels, label_text, merge_ocr_text
 from tagreef.operators.pages import (
@@ -512,6 +513,19 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_tags(text_table(spark, sf_dir, "pages", "page_id", "url", "html"), "a", {"href": "href"})
 
 
+@register(
+    f"""SELECT page_id, min(pos) AS pos, arg_min(href, pos) AS href
+        FROM (SELECT page_id, CAST(pos - 1 AS INTEGER) AS pos, {attr_sql('href')} AS href
+            FROM (SELECT page_id, unnest(tags) AS tag, generate_subscripts(tags, 1) AS pos
+                FROM (SELECT page_id, {tags_sql('a', 'html')} AS tags FROM pages) AS t) AS t) AS t
+        GROUP BY page_id"""
+)
+def page_first_link(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = text_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    links = extract_tags(pages, "a", {"href": "href"}).drop("url")
+    return first_per_key(links, ["page_id"], ["pos"])
+
+
 # What a stand-in link of a page becomes, and the sites, in turn.
 IMAGE_TAGS = (
     '<img src="http://x.example.com/jpg/',
@@ -714,6 +728,25 @@ def length_detector() -> Callable[[bytes], list[str]]:
     return lambda content: [f"size{len(content) % 7}", "image"]
 
 
+@register(
+    f"""SELECT {DOC_NAME_SQL} AS path, lang, CASE lang WHEN 'eng' THEN text ELSE '' END AS text,
+        CAST(NULL AS VARCHAR) AS error
+        FROM (SELECT doc_id, text FROM documents) AS d,
+            (VALUES ('eng'), ('chi_sim'), ('chi_tra')) AS l(lang)"""
+)
+def texts_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_texts(document_uploads(spark, sf_dir), utf8_reader)
+
+
+@register(
+    f"""SELECT {DOC_NAME_SQL} AS path, pos, CASE pos WHEN 0 THEN
+            'size' || octet_length({DOC_BYTES_SQL}) % 7 ELSE 'image' END AS name
+        FROM documents, (VALUES (0), (1)) AS p(pos)"""
+)
+def objects_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect_objects(document_uploads(spark, sf_dir), length_detector)
+
+
 UPLOADED_SQL = f"""(SELECT {DOC_NAME_SQL} AS path, {tag_sql('text')} AS features,
     'data:image/png;base64,' || base64({DOC_BYTES_SQL}) AS "binary" FROM documents
     WHERE regexp_extract({DOC_NAME_SQL}, '[^.]*$') IN

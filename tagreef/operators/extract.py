@@ -12,7 +12,7 @@ a batch of them fits in a Python worker.
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagreef.functions.text import strip_tag
@@ -74,3 +74,22 @@ def _detect_one(detector: Detector, image: bytes) -> list[str]:
         return list(detector(image))
     except Exception:  # any failure of a user's detector
         return []
+
+
+def read_texts(
+    images: DataFrame, factory: Callable[[], TextReader], language: str = "all"
+) -> DataFrame:
+    """``(path, lang, text, error)``: one row per text read from ``(path, content)`` images.
+
+    An image whose first text fails has one row with NULL text and the error.
+    """
+    read = text_reader(factory, language)
+    rows = images.select("path", read("content").alias("_read"))
+    rows = rows.select("path", F.explode_outer("_read.texts").alias("_text"), "_read.error")
+    return rows.select("path", "_text.lang", "_text.text", "error")
+
+
+def detect_objects(images: DataFrame, factory: Callable[[], Detector]) -> DataFrame:
+    """``(path, pos, name)``: the labels of ``(path, content)`` images, in order."""
+    detect = label_reader(factory)
+    return images.select("path", F.posexplode(detect("content")).alias("pos", "name"))

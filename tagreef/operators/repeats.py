@@ -12,7 +12,7 @@ from tagreef.shared import saved
 # A payload's content-defined pieces: those that start with one of a few
 # characters that are neither rare nor common in base64 and in prose. Any choice
 # gives right results; it only sets how many pieces a text has.
-PIECE_STARTS = "[bkvBKV27]"
+PIECE_STARTS = "[bkv]"
 PIECE_LENGTH = 24
 PIECES_PER_PAYLOAD = 8
 

@@ -16,7 +16,13 @@ from tagreef.functions.images import (
 from tagreef.functions.keyword import matches_keyword
 from tagreef.functions.text import folder_tag, strip_tag, upload_tag
 from tagreef.operators.accounts import apply_profile_patches, apply_signups
-from tagreef.operators.extract import Detector, TextReader, joined_text, label_reader, text_reader
+from tagreef.operators.extract import (
+    Detector,
+    TextReader,
+    detect_objects,
+    joined_text,
+    text_reader,
+)
 from tagreef.operators.labels import label_text
 from tagreef.operators.pages import download_manifest, extract_image_links, skip_existing
 from tagreef.operators.repeats import drop_repeats
@@ -141,10 +147,7 @@ def index_images(
     )
     labels: Column = F.lit("")
     if detector is not None:
-        detect = label_reader(detector)
-        found = good.select(
-            F.col("name").alias("path"), F.posexplode(detect("content")).alias("pos", "name")
-        )
+        found = detect_objects(good.withColumnRenamed("name", "path"), detector)
         folder = scratch_path(images.sparkSession, "detections")
         found.write.parquet(folder)
         texts = label_text(images.sparkSession.read.schema(found.schema).parquet(folder), dictionary)

@@ -29,6 +29,7 @@ SIGNUPS = StructType(
         *_strings("password_hash", "email"),
     ]
 )
+PAGES = StructType([StructField("page_id", LongType()), *_strings("url", "html")])
 UPLOADS = StructType([StructField("path", StringType()), StructField("content", BinaryType())])
 BINARY_FILES = StructType(
     [

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tagreef.functions.images import is_folder_image
 from tagreef.functions.text import file_name
-from tagreef.schema import ACCOUNTS, BINARY_FILES
+from tagreef.schema import ACCOUNTS, BINARY_FILES, PAGES
 
 # Any-case form of the folder filter, so that other files are never opened.
 FOLDER_GLOB = "{*.[pP][nN][gG]*,*.[jJ][pP][gG]*,*.[gG][iI][fF]*}"
@@ -29,5 +29,10 @@ def stream_image_folder(spark: SparkSession, folder: str) -> DataFrame:
     return stream.select(file_name(F.col("path")).alias("path"), "content")
 
 
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Stored web pages ``(page_id, url, html)``."""
+    return spark.read.schema(PAGES).parquet(path)
+
+
 def read_accounts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ACCOUNTS).parquet(path)
