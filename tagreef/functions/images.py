@@ -34,13 +34,19 @@ OLD_UPLOAD_EXTENSIONS = ("png", "jpg", "JPG", "PNG", "bmp", "gif")
 def image_type(content: Column) -> Column:
     """Image type from the leading bytes, NULL when unknown."""
     head = F.hex(F.substring(content, 1, LONGEST_HEAD))
-    kind = F.lit(None).cast("string")
-    webp = head.startswith("52494646") & (F.substring(head, 17, 8) == "57454250")
+    # A one-element array names the head: were it written out in every rule, a
+    # computed image would be computed once per rule.
+    return F.get(F.transform(F.array(head), _type_of_head), F.lit(0))
+
+
+def _type_of_head(head: Column) -> Column:
     rules = [
         (name, F.substring(head, 2 * offset + 1, len(marks[0])).isin(*marks))
         for name, offset, marks in IMAGE_HEADS
     ]
+    webp = head.startswith("52494646") & (F.substring(head, 17, 8) == "57454250")
     rules += [("webp", webp), ("exr", head.startswith("762F3101"))]
+    kind = F.lit(None).cast("string")
     for name, test in reversed(rules):
         kind = F.when(test, F.lit(name)).otherwise(kind)
     return kind

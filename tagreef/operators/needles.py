@@ -44,17 +44,18 @@ def match_needles(
     verify: Column,
     slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame | None:
-    """All ``(row columns, needle columns)`` for which ``verify`` holds.
+    """All ``(row columns, needle columns, needle_id)`` for which ``verify`` holds.
 
     ``needles`` has distinct rows identified by the string column ``needle``, and
-    column names other than those of ``rows``. ``row_keys`` and ``needle_keys``
-    are string arrays, distinct within a row; a needle without keys never
-    matches. None when there are no needles.
+    column names other than those of ``rows``; it is read several times. A needle
+    is known by its SHA-256, ``needle_id``, until the last step: it may be a whole
+    image. ``row_keys`` and ``needle_keys`` are arrays of distinct strings; a
+    needle without keys never matches. None when there are no needles.
     """
     by_key = F.xxhash64("_text").alias("_key")
-    wanted = (
-        needles.select("needle", F.explode(needle_keys).alias("_text"))
-        .select("needle", by_key)
+    needles = needles.withColumn("needle_id", F.sha2("needle", 256))
+    wanted = needles.select("needle_id", F.explode(needle_keys).alias("_text")).select(
+        "needle_id", by_key, F.col("_text").alias("_filed")
     )
     distinct_keys = wanted.select("_key").distinct()
     row_key = rows.select(F.explode(row_keys).alias("_text")).select(by_key)
@@ -69,14 +70,15 @@ def match_needles(
         ]
     )
     # A key that no row holds has no count: its needles match nothing.
-    rarity = F.struct(F.coalesce("count", F.lit(0)).alias("n"), "_key")
+    rarest = F.min(F.struct("count", "_key", "_filed")).alias("_best")
     filed = (
         wanted.join(counts, "_key", "left")
-        .groupBy("needle")
-        .agg(F.min(rarity).alias("_best"))
-        .filter(F.col("_best.n") > 0)
-        .select("needle", F.col("_best._key").alias("_key"))
-        .join(needles, "needle")
+        .withColumn("count", F.coalesce("count", F.lit(0)))
+        .groupBy("needle_id")
+        .agg(rarest)
+        .filter(F.col("_best.count") > 0)
+        .select("needle_id", "_best._key", "_best._filed")
+        .join(needles, "needle_id")
     )
     # The counting scan runs once: the filed needles are used by every slice.
     filed = saved(filed)
@@ -84,9 +86,12 @@ def match_needles(
     if n == 0:
         return None
     keyed = rows.withColumn("_text", F.explode(row_keys)).withColumn("_key", F.xxhash64("_text"))
+    # The key itself is compared too: a row's other key of the same hash must not
+    # bring the same match twice.
+    verify = (F.col("_text") == F.col("_filed")) & verify
     return _union(
         [
-            keyed.join(F.broadcast(part), "_key").filter(verify).drop("_key", "_text")
-            for part in _slices(filed, "needle", n)
+            keyed.join(F.broadcast(part), "_key").filter(verify).drop("_key", "_text", "_filed")
+            for part in _slices(filed, "needle_id", n)
         ]
     )

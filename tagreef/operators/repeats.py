@@ -26,7 +26,8 @@ def _pieces(text: Column) -> Column:
 def containing_rows(
     index: DataFrame, column: str, payloads: DataFrame, slice_bytes: int = SLICE_BYTES
 ) -> DataFrame | None:
-    """``(index columns, payload)`` for each index row and distinct payload in it.
+    """``(index columns, payload, needle_id)`` for each index row and distinct payload
+    in it; ``needle_id`` is the payload's SHA-256.
 
     Every piece of a payload is a piece of each text around it, so a payload is
     filed under its rarest one. A payload without a piece (a short one) is filed
@@ -41,7 +42,7 @@ def containing_rows(
     chars = F.when(F.col("needle") == "", nothing).otherwise(
         F.array_distinct(F.split("needle", ""))
     )
-    needles = (
+    needles = saved(
         payloads.select(F.col("payload").alias("needle")).filter(F.col("needle").isNotNull())
         .distinct()
     )
@@ -72,9 +73,11 @@ def is_new(
     if found is None:
         counted = asked.withColumn("n_hits", F.lit(0).cast("long"))
     else:
-        counts = found.groupBy("payload").agg(F.count("*").alias("n_hits"))
-        counted = asked.join(counts, "payload", "left").select(
-            "payload", F.coalesce("n_hits", F.lit(0)).alias("n_hits")
+        counts = saved(found.groupBy("needle_id").agg(F.count("*").alias("n_hits")))
+        counted = (
+            asked.withColumn("needle_id", F.sha2("payload", 256))
+            .join(broadcast_if_small(counts), "needle_id", "left")
+            .select("payload", F.coalesce("n_hits", F.lit(0)).alias("n_hits"))
         )
     return counted.withColumn("is_new", F.col("n_hits") == 0)
 
@@ -123,7 +126,7 @@ def drop_repeats(
         payloads = asked.select(uri_payload(F.col("binary")).alias("payload"))
         found = containing_rows(catalog.select("binary"), "binary", payloads, slice_bytes)
         if found is not None:
-            held = found.select(F.sha2("payload", 256).alias("_sha")).distinct()
+            held = found.select(F.col("needle_id").alias("_sha")).distinct()
             first = first.join(held, "_sha", "left_anti")
     else:
         raise ValueError(f"how must be 'hash' or 'exact', not {how!r}")

@@ -68,6 +68,7 @@ def search_batch(
     if len(few) <= literal_keywords:
         return catalog.withColumn("keyword", F.explode(_literal_hits(few))).select(*columns)
 
+    keywords = saved(keywords)
     keyword = F.col("needle")
     # '' is a key of every row and of the needles made of wildcards only.
     nothing = F.array(F.lit(""))

@@ -29,7 +29,7 @@ from tagreef.operators.repeats import drop_repeats
 from tagreef.operators.search import search, search_request
 from tagreef.operators.sizes import broadcast_if_small
 from tagreef.schema import CATALOG
-from tagreef.shared import scratch_path
+from tagreef.shared import saved, scratch_path
 from tagreef.sources.catalog import append_catalog, read_catalog
 from tagreef.sources.folders import read_image_folder
 from tagreef.sources.text_files import (
@@ -150,10 +150,9 @@ def index_images(
         found = detect_objects(good.withColumnRenamed("name", "path"), detector)
         folder = scratch_path(images.sparkSession, "detections")
         found.write.parquet(folder)
-        texts = label_text(images.sparkSession.read.schema(found.schema).parquet(folder), dictionary)
-        rows = rows.join(
-            broadcast_if_small(texts.withColumnRenamed("path", "Image")), "Image", "left"
-        )
+        found = images.sparkSession.read.schema(found.schema).parquet(folder)
+        texts = saved(label_text(found, dictionary)).withColumnRenamed("path", "Image")
+        rows = rows.join(broadcast_if_small(texts), "Image", "left")
         labels = F.coalesce(strip_tag(F.col("labels")), F.lit(""))
     tag = folder_tag(F.concat("_text", labels))
     return rows.select("Image", tag.alias("Tag"), "Base64", "error"), refused
