@@ -9,8 +9,12 @@ ROW_BYTES = 64
 
 def table_bytes(table: DataFrame) -> int:
     """Size of a table's rows in memory, about; one aggregate row reaches the driver."""
-    texts = [name for name, kind in table.dtypes if kind == "string"]
-    size = sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in texts), F.lit(ROW_BYTES))
+    size = F.lit(ROW_BYTES)
+    for name, kind in table.dtypes:
+        if kind.startswith(("struct", "array", "map")):
+            size = size + F.coalesce(F.octet_length(F.to_json(name)), F.lit(0))
+        elif kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(name), F.lit(0))
     return table.agg(F.sum(size.cast("long"))).first()[0] or 0
 
 

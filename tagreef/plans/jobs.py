@@ -28,7 +28,6 @@ from tagreef.operators.pages import download_manifest, extract_image_links, skip
 from tagreef.operators.repeats import drop_repeats
 from tagreef.operators.search import search, search_request
 from tagreef.operators.sizes import broadcast_if_small
-from tagreef.schema import CATALOG
 from tagreef.shared import saved, scratch_path
 from tagreef.sources.catalog import append_catalog, read_catalog
 from tagreef.sources.folders import read_image_folder
@@ -67,12 +66,13 @@ def search_selective(spark: SparkSession, path: str, keyword: str) -> DataFrame:
     """
     if keyword == "":
         return search_catalog(spark, path, keyword)
-    tags = read_catalog(spark, path).filter(matches_keyword(F.col("features"), keyword))
-    files = tags.select("_metadata.file_path").distinct().limit(FEW_FILES + 1).collect()
-    if len(files) > FEW_FILES or not files:
-        return search_catalog(spark, path, keyword)
-    hit = spark.read.schema(CATALOG).parquet(*[row[0] for row in files])
-    return search(hit, keyword)
+    catalog = read_catalog(spark, path)
+    file = F.col("_metadata.file_path")
+    hits = catalog.filter(matches_keyword(F.col("features"), keyword))
+    files = [row[0] for row in hits.select(file).distinct().limit(FEW_FILES + 1).collect()]
+    if len(files) > FEW_FILES:
+        return search(catalog, keyword)
+    return search(catalog.filter(file.isin(files)), keyword)
 
 
 def ingest_uploads(

@@ -164,7 +164,7 @@ def slice_batches(df: DataFrame, t0: str, t1: str, seconds: int = BATCH_SECONDS)
 
     def floor(time: str) -> Column:
         whole = F.floor(F.unix_timestamp(F.lit(time).cast("timestamp")) / seconds) * seconds
-        return F.timestamp_seconds(whole)
+        return F.timestamp_seconds(whole).cast(df.schema["ts"].dataType)
 
     within = (F.col("ts") >= floor(t0) - length) & (F.col("ts") < floor(t1))
     end = F.window("ts", f"{seconds} seconds")["end"]

@@ -65,7 +65,7 @@ def test_written_tag_file_is_plain_text(spark, tmp_path):
 
 
 def test_catalog_parts_and_compaction(spark, tmp_path):
-    path = str(tmp_path / "c")
+    path = str(tmp_path / "c d%20ü+x=1")
     rows = spark.createDataFrame([("p", "cat", "u"), ("q", "dog", None)], CATALOG)
     append_catalog(rows, path)
     append_catalog(rows, path)

@@ -122,5 +122,13 @@ def test_slices(spark):
     assert {str(r["batch"]) for r in batch_rows(rows).collect()} == {
         f"2024-01-01 00:00:{s}" for s in ("05", "10", "15", "20")
     }
-    plan = kept._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan
+
+
+def test_slice_bounds_reach_the_scan(spark, tmp_path):
+    for kind in ("timestamp", "timestamp_ntz"):
+        path = str(tmp_path / kind)
+        spark.range(3).select(F.lit("2024-01-01 00:00:07").cast(kind).alias("ts")).write.parquet(path)
+        kept = slice_batches(spark.read.parquet(path), "2024-01-01 00:00:12", "2024-01-01 00:00:16")
+        assert kept.count() == 3
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
