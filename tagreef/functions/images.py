@@ -16,9 +16,9 @@ IMAGE_HEADS = (
     ("gif", 0, ("474946383761", "474946383961")),
     ("tiff", 0, ("4D4D", "4949")),
     ("rgb", 0, ("01DA",)),
-    ("pbm", 0, tuple(f"50{digit}{blank}" for digit in ("31", "34") for blank in ("20", "09", "0A", "0D"))),
-    ("pgm", 0, tuple(f"50{digit}{blank}" for digit in ("32", "35") for blank in ("20", "09", "0A", "0D"))),
-    ("ppm", 0, tuple(f"50{digit}{blank}" for digit in ("33", "36") for blank in ("20", "09", "0A", "0D"))),
+    ("pbm", 0, ("503120", "503109", "50310A", "50310D", "503420", "503409", "50340A", "50340D")),
+    ("pgm", 0, ("503220", "503209", "50320A", "50320D", "503520", "503509", "50350A", "50350D")),
+    ("ppm", 0, ("503320", "503309", "50330A", "50330D", "503620", "503609", "50360A", "50360D")),
     ("rast", 0, ("59A66A95",)),
     ("xbm", 0, ("23646566696E6520",)),
     ("bmp", 0, ("424D",)),

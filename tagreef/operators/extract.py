@@ -22,7 +22,9 @@ TextReader = Callable[[bytes, str], str]
 Detector = Callable[[bytes], list[str]]
 
 
-def text_reader(factory: Callable[[], TextReader], language: str = "all") -> Callable[[str], Column]:
+def text_reader(
+    factory: Callable[[], TextReader], language: str = "all"
+) -> Callable[[str], Column]:
     """UDF giving ``struct<texts: array<struct<lang, text>>, error>`` of an image.
 
     Languages are read in order. A failure ends the reading of that image, keeps
@@ -42,7 +44,9 @@ def text_reader(factory: Callable[[], TextReader], language: str = "all") -> Cal
     return read
 
 
-def _read_one(reader: TextReader, image: bytes, languages: tuple[str, ...]) -> tuple[list, str | None]:
+def _read_one(
+    reader: TextReader, image: bytes, languages: tuple[str, ...]
+) -> tuple[list, str | None]:
     texts = []
     try:
         for lang in languages:

@@ -31,7 +31,8 @@ def merge_ocr_text(texts: DataFrame, language: str = "all") -> DataFrame:
         F.coalesce(F.max(F.when(F.col("lang") == lang, F.col("text"))), F.lit(""))
         for lang in wanted
     ]
-    merged = texts.filter(F.col("lang").isin(*wanted)).groupBy("path").agg(F.concat(*each).alias("text"))
+    asked = texts.filter(F.col("lang").isin(*wanted))
+    merged = asked.groupBy("path").agg(F.concat(*each).alias("text"))
     return merged.select("path", strip_tag(F.col("text")).alias("text"))
 
 
@@ -42,11 +43,10 @@ def add_translations(labels: DataFrame, dictionary: DataFrame) -> DataFrame:
     the dictionary for both, it counts as English. The distinct words are looked
     up first; as long as the words found are small, no label row is shuffled.
     """
-    known = dictionary.filter(
-        F.struct("src_lang", "dst_lang").isin(
-            *[F.struct(F.lit(a).alias("src_lang"), F.lit(b).alias("dst_lang")) for a, b in TRANSLATED]
-        )
-    )
+    rule = F.lit(False)
+    for source, target in TRANSLATED:
+        rule = rule | ((F.col("src_lang") == source) & (F.col("dst_lang") == target))
+    known = dictionary.filter(rule)
     known = first_per_key(
         known.select(F.col("term").alias("name"), "src_lang", "translation"), ["name"], ["src_lang"]
     )
