@@ -787,7 +787,8 @@ INDEXED_TAG_SQL = tag_sql(
 
 @register(
     f"""SELECT {DOC_NAME_SQL} AS "Image", {INDEXED_TAG_SQL} AS "Tag",
-        'data:image/png;base64,' || base64({DOC_BYTES_SQL}) AS "Base64", NULL AS error
+        'data:image/png;base64,' || base64({DOC_BYTES_SQL}) AS "Base64",
+        CAST(NULL AS VARCHAR) AS error
         FROM documents"""
 )
 def folder_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,8 +5,8 @@ JVM side and only the result comes back, so nothing is shuffled or joined to put
 text and image together again. A slot takes a *factory*: it is called once per
 task, where it loads the model, and returns the function for one image.
 
-Image rows are big: set ``spark.sql.execution.arrow.maxRecordsPerBatch`` so that
-a batch of them fits in a Python worker.
+Image rows are big: an Arrow batch of them is bounded by
+``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB unless set).
 """
 
 from collections.abc import Callable, Iterator

@@ -1,5 +1,7 @@
 """Tag files and image lists: ``|`` separated text, one folder per write."""
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ def read_tag_file(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TAG_FILE).csv(path, sep="|", header=True)
 
 
+def stamped_path(folder: str, when: datetime) -> str:
+    """Where a tag file or image list goes that is given no name."""
+    return f"{folder.rstrip('/')}/{when:%m%d%Y%H%M%S%f}.txt"
+
+
 def write_tag_file(rows: DataFrame, path: str) -> None:
     """Write ``Image|Tag|Base64`` records as they are, unquoted, below a header.
 

@@ -1,4 +1,5 @@
 import sys
+from datetime import datetime
 
 import pytest
 from pyspark import cloudpickle
@@ -21,7 +22,12 @@ from tagreef.sources.catalog import (
     write_catalog_batch,
 )
 from tagreef.sources.folders import read_accounts, read_image_folder
-from tagreef.sources.text_files import read_image_list, read_tag_file, write_tag_file
+from tagreef.sources.text_files import (
+    read_image_list,
+    read_tag_file,
+    stamped_path,
+    write_tag_file,
+)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PNG = b"\x89PNG\r\n\x1a\n"
@@ -55,6 +61,11 @@ def test_tag_file_rules(spark, tmp_path):
     assert search_tag_files(spark, str(tmp_path), "").count() == 0
 
 
+def test_stamped_path():
+    when = datetime(2019, 4, 12, 20, 39, 19, 21146)
+    assert stamped_path("/tags/", when) == "/tags/04122019203919021146.txt"
+
+
 def test_written_tag_file_is_plain_text(spark, tmp_path):
     rows = spark.createDataFrame([("a b.png", 'say"hi"', "u"), (" c.png", "\\x,y", "v ")], TAG_FILE)
     write_tag_file(rows.coalesce(1), str(tmp_path / "t"))
