@@ -15,6 +15,18 @@ ATTRIBUTE = r"""([^\s"'<>/=]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 # How attribute text writes special characters.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
+# What an image link holds, by kind, and the sites with own rules.
+IMAGE_MARKS = ("jpg", "png", "gif")
+STILL_MARKS = ("jpg", "png")
+MOVING_MARKS = ("gif",)
+WEB_MARK = "http"
+SRC_SITE = "me.me"
+LAZY_SITE = "doutu"
+LAZY_ATTRIBUTE = "data-original"
+MOVING_SITE = "jandan"
+MOVING_ATTRIBUTE = "org_src"
+MOVING_SITE_MARK = "w"
+
 
 def tags_of(html: Column, tag: str) -> Column:
     """All opening tags of one kind, in document order."""
@@ -43,8 +55,12 @@ def attribute(attributes: Column, name: str) -> Column:
     return F.get(attributes["values"], place - 1)
 
 
-def _has_image(text: Column) -> Column:
-    return text.contains("jpg") | text.contains("png") | text.contains("gif")
+def _has(text: Column, marks: tuple[str, ...], also: str) -> Column:
+    """One of the marks and the further one are in the text."""
+    found = F.lit(False)
+    for mark in marks:
+        found = found | text.contains(mark)
+    return found & text.contains(also)
 
 
 def image_link(url: Column, src: Column, data_original: Column, org_src: Column) -> Column:
@@ -53,15 +69,15 @@ def image_link(url: Column, src: Column, data_original: Column, org_src: Column)
     Some sites keep the picture in another attribute. Where a site's rule needs
     an attribute the tag lacks, the tag is skipped and no later rule is tried.
     """
-    plain = _has_image(src) & src.contains("http")
-    doutu = url.contains("doutu")
-    jandan = url.contains("jandan")
+    plain = _has(src, IMAGE_MARKS, WEB_MARK)
+    lazy = url.contains(LAZY_SITE)
+    moving = url.contains(MOVING_SITE)
     return (
-        F.when(url.contains("me.me") & plain, src)
-        .when(doutu & data_original.isNull(), F.lit(None))
-        .when(doutu & _has_image(data_original) & data_original.contains("http"), data_original)
-        .when(jandan & (src.contains("jpg") | src.contains("png")) & src.contains("w"), src)
-        .when(jandan & org_src.isNull(), F.lit(None))
-        .when(jandan & org_src.contains("gif") & org_src.contains("w"), org_src)
+        F.when(url.contains(SRC_SITE) & plain, src)
+        .when(lazy & data_original.isNull(), F.lit(None))
+        .when(lazy & _has(data_original, IMAGE_MARKS, WEB_MARK), data_original)
+        .when(moving & _has(src, STILL_MARKS, MOVING_SITE_MARK), src)
+        .when(moving & org_src.isNull(), F.lit(None))
+        .when(moving & _has(org_src, MOVING_MARKS, MOVING_SITE_MARK), org_src)
         .when(plain, src)
     )

@@ -21,6 +21,7 @@ SPACES = "".join(
     )
 )
 
+# Fixed value: the tag of an image without text.
 NO_TAG = "NoTag"
 
 # Time stamp layouts of file names.

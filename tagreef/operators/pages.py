@@ -3,7 +3,14 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagreef.functions.links import attribute, attributes_of, image_link, tags_of
+from tagreef.functions.links import (
+    LAZY_ATTRIBUTE,
+    MOVING_ATTRIBUTE,
+    attribute,
+    attributes_of,
+    image_link,
+    tags_of,
+)
 from tagreef.functions.text import fetch_url, last_ext, stamp_name
 from tagreef.operators.numbering import with_index
 from tagreef.shared import saved
@@ -24,7 +31,7 @@ def extract_tags(pages: DataFrame, tag: str, attrs: dict[str, str]) -> DataFrame
 
 def extract_images(pages: DataFrame) -> DataFrame:
     """The image tags that carry ``src``."""
-    attrs = {"src": "src", "data_original": "data-original", "org_src": "org_src"}
+    attrs = {"src": "src", "data_original": LAZY_ATTRIBUTE, "org_src": MOVING_ATTRIBUTE}
     return extract_tags(pages, "img", attrs).filter(F.col("src").isNotNull())
 
 

@@ -16,6 +16,7 @@ from tagreef.operators.search import request_sizes, search_batch
 from tagreef.plans.jobs import ingest_uploads
 from tagreef.sources.catalog import read_catalog, write_catalog_batch
 
+# Batch length and the path of rows that came as lines.
 BATCH_SECONDS = 5
 STREAM_PATH = "fromStreaming"
 
