@@ -13,7 +13,9 @@ def con():
 
 
 def test_entry(spark):
-    assert __spark_entry__.entry(spark).columns == ["path", "binary"]
+    found = __spark_entry__.entry(spark)
+    assert found.columns == ["path", "binary"]
+    assert found.count() > 0
 
 
 @pytest.mark.parametrize("name", QUERIES)
