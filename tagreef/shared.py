@@ -1,5 +1,6 @@
 """Folders every executor can see, taken from the session."""
 
+import re
 import tempfile
 import uuid
 
@@ -7,20 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
+    """The folder named in ``spark.checkpoint.dir``, or else the context's own.
 
-    A local-mode session without the setting (a test) gets a temporary folder;
-    a cluster without it is an error, since no executor could see that folder.
+    Only a session whose tasks all run in the driver's process, without either
+    setting (a test), gets a temporary folder; elsewhere it is an error, since
+    no executor could see that folder.
     """
+    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     if context.getCheckpointDir() is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tagreef-"))
-    return context.getCheckpointDir()
+    return context.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -1,10 +1,11 @@
 import pytest
 
 import __spark_entry__
+from tagreef import checks
 from compare import connect, duck_rows, spark_rows
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = __spark_entry__.queries()
+QUERIES = checks.QUERIES
 
 
 @pytest.fixture(scope="module")
