@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagreef.llm import decontaminate as contamination
+from tagreef.llm.minmax import near_duplicates
 from tagreef.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +37,8 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.sha2(F.encode(names, "UTF-8"), 256).alias("items_sha256"),
         contamination.is_contaminated().alias("contaminated"),
     )
+
+
+@register()
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)

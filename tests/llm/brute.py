@@ -52,3 +52,37 @@ def contamination(docs, items, size=13):
             bool(hit) and 20 * len(hit) >= len(words),
         )
     return out
+
+
+def shingles(text, size, low=True):
+    words = plain(lower(text) if low else text)
+    if not words:
+        return frozenset()
+    size = min(size, len(words))
+    return frozenset(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+
+
+def near_duplicates(docs, size, percent):
+    """(n_shingles, component, kept) by id, all pairs compared through an inverted index."""
+    sets = {doc_id: shingles(text, size) for doc_id, text in docs}
+    parent = {doc_id: doc_id for doc_id in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    holders = {}
+    for doc_id, found in sets.items():
+        for shingle in found:
+            holders.setdefault(shingle, []).append(doc_id)
+    shared = Counter()
+    for ids in holders.values():
+        for i, a in enumerate(ids):
+            for b in ids[i + 1 :]:
+                shared[a, b] += 1
+    for (a, b), n in shared.items():
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+    return {x: (len(sets[x]), root(x), root(x) == x) for x in sets}
