@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tagreef.llm import decontaminate as contamination
 from tagreef.llm.minmax import near_duplicates
+from tagreef.llm.repeats import remove_repeats
 from tagreef.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +43,10 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @register()
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@register()
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), form="words")
+    digest = F.sha2(F.encode("text", "UTF-8"), 256)
+    return found.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tagreef.shared import scratch_path
 
 #: Text of one block of documents: what one task holds at a time.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -86,3 +86,17 @@ def near_duplicates(docs, size, percent):
             x, y = sorted((root(a), root(b)))
             parent[y] = x
     return {x: (len(sets[x]), root(x), root(x) == x) for x in sets}
+
+
+def repeats(docs, size=20):
+    """(words, flags of the removed) by id; docs in order of their ids."""
+    first = {}
+    texts = sorted((doc_id, plain(text)) for doc_id, text in docs)
+    out = {}
+    for doc_id, words in texts:
+        gone = [False] * len(words)
+        for i in range(len(words) - size + 1):
+            if first.setdefault(tuple(words[i : i + size]), (doc_id, i)) < (doc_id, i):
+                gone[i : i + size] = [True] * size
+        out[doc_id] = (words, gone)
+    return out
