@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tagreef.llm import decontaminate as contamination
 from tagreef.llm.minmax import near_duplicates
+from tagreef.llm.quality import fit_quality
 from tagreef.llm.repeats import remove_repeats
-from tagreef.llm.tables import table
+from tagreef.llm.tables import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,3 +51,16 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), form="words")
     digest = F.sha2(F.encode("text", "UTF-8"), 256)
     return found.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
+
+
+@register()
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 4) != 2)
+    scored = model.score(docs)
+    return scored.select(
+        "doc_id",
+        (remainder("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )

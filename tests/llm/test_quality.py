@@ -1,0 +1,55 @@
+import numpy as np
+import pytest
+from brute import SF_DIR, rest
+
+from pyspark.sql import functions as F
+
+from tagreef.llm.quality import N_STATISTICS, fit_quality, monotone, statistics
+from tagreef.llm.registry import QUERIES
+
+
+def test_held_out_accuracy(spark):
+    sf_dir = SF_DIR.replace("0.001", "0.01")
+    rows = QUERIES["op3_quality_classifier"](spark, sf_dir).collect()
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    assert len(rows) == 1000
+    assert all(r.held_out == (rest(r.doc_id, 4) == 2) and 0 <= r.score <= 1 for r in rows)
+    assert all(r.predicted == (r.score >= 0.7) for r in rows)
+    judged = [r.predicted == labels[r.doc_id] for r in rows if r.held_out and r.doc_id in labels]
+    assert np.mean(judged) > 0.95
+
+
+def test_labels_beyond_training_play_no_part(spark, docs_of):
+    docs = docs_of([(k, "word " * (k % 7 + 1) + "$$ " * (k % 3)) for k in range(200)])
+    labels = spark.range(200).select(F.col("id").alias("doc_id"), (F.col("id") % 3 == 0).cast("int").alias("quality"))
+    changed = labels.withColumn("quality", F.when(F.col("doc_id") < 50, 1 - F.col("quality")).otherwise(F.col("quality")))
+    one = fit_quality(docs, labels, F.col("doc_id") >= 50)
+    two = fit_quality(docs, changed, F.col("doc_id") >= 50)
+    assert np.array_equal(one.weights, two.weights)
+    assert np.array_equal(one.levels, two.levels)
+
+
+def test_edges(spark, docs_of):
+    docs = docs_of([(1, None), (2, ""), (3, "a b c"), (3, "a b c"), (None, "x"), (4, "w " * 50000)])
+    none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, quality int")
+    model = fit_quality(docs, none, F.lit(True))
+    clash = docs.selectExpr("doc_id", "text", "7 AS score", "8 AS stats")
+    assert [r.score for r in model.score(clash).collect()] == [0.5] * 6
+    one = spark.createDataFrame([(3, 1), (3, 1), (4, 1)], "doc_id long, quality int")
+    scores = {r.doc_id: r.score for r in fit_quality(docs, one, F.lit(True)).score(docs).collect()}
+    assert scores[3] == 1.0
+    assert len(fit_quality(docs, one, F.lit(True), rows=1).steps) == 1
+    assert model.score(docs.limit(0)).count() == 0
+
+
+def test_statistics_of_pieces_agree():
+    texts = [b"", b"A b.\nA b.\n", b"x $$ 12", "é\n".encode() * 10]
+    whole = statistics(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+    assert whole.shape == (4, N_STATISTICS)
+    for text, row in zip(texts, whole):
+        alone = statistics(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+        assert alone[0] == pytest.approx(row)
+
+
+def test_monotone():
+    assert monotone(np.array([1.0, 0.0, 3.0, 2.0]), np.array([1.0, 3.0, 1.0, 1.0])).tolist() == [0.25, 0.25, 2.5, 2.5]
