@@ -10,6 +10,7 @@ from tagreef.llm.minmax import near_duplicates
 from tagreef.llm.quality import fit_quality
 from tagreef.llm.repeats import remove_repeats
 from tagreef.llm.tables import remainder, table
+from tagreef.llm.toxicity import fit_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,3 +65,16 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+@register()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0)
+    scored = model.score(docs)
+    return scored.select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
