@@ -25,9 +25,19 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, train: Column, rows
     return texts.join(F.broadcast(sample), "doc_id")
 
 
-def summed(rows: DataFrame, sums: Callable[[pa.RecordBatch], dict[str, np.ndarray]], shapes: dict[str, tuple]) -> dict[str, np.ndarray]:
+Batches = Iterator[pa.RecordBatch]
+
+
+def summed(
+    rows: DataFrame,
+    sums: Callable[[pa.RecordBatch], dict[str, np.ndarray]],
+    shapes: dict[str, tuple],
+    grouped: Callable[[Batches], Batches] = iter,
+) -> dict[str, np.ndarray]:
     """Arrays that ``sums`` makes of each batch, added up over all rows.
 
+    ``grouped`` may gather or split a partition's batches first.
+
     Every partition adds up its own batches; Spark adds the partitions, cell by
     cell. Only the sums, whose size is that of ``shapes``, reach the driver.
     """
@@ -35,9 +45,9 @@ def summed(rows: DataFrame, sums: Callable[[pa.RecordBatch], dict[str, np.ndarra
     sizes = [int(np.prod(shapes[n])) for n in names]
     starts = np.cumsum([0, *sizes])
 
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cells(batches: Batches) -> Batches:
         total = np.zeros(starts[-1])
-        for batch in batches:
+        for batch in grouped(batches):
             for name, part in sums(batch).items():
                 k = names.index(name)
                 total[starts[k] : starts[k + 1]] += np.asarray(part, float).ravel()

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagreef.llm import decontaminate as contamination
+from tagreef.llm.hmm import score_texts
 from tagreef.llm.minmax import near_duplicates
 from tagreef.llm.quality import fit_quality
 from tagreef.llm.repeats import remove_repeats
@@ -78,3 +79,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@register()
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_texts(docs, remainder("doc_id", 5) == 1)

@@ -100,3 +100,20 @@ def repeats(docs, size=20):
                 gone[i : i + size] = [True] * size
         out[doc_id] = (words, gone)
     return out
+
+
+def base_scores(docs, parts=5, held=1):
+    """(held_out, n_tokens, n_known, train_tokens, base_score) by id."""
+    counts = Counter()
+    texts = {doc_id: [*plain(lower(text)), None] for doc_id, text in docs}
+    for doc_id, words in texts.items():
+        if rest(doc_id, parts) != held:
+            counts.update(words)
+    total, distinct = sum(counts.values()), len(counts)
+    return {
+        doc_id: (
+            rest(doc_id, parts) == held, len(words), sum(counts[w] > 0 for w in words), total,
+            sum(math.log10((counts[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in words),
+        )
+        for doc_id, words in texts.items()
+    }
