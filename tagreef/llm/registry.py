@@ -12,6 +12,7 @@ from tagreef.llm.quality import fit_quality
 from tagreef.llm.repeats import remove_repeats
 from tagreef.llm.tables import remainder, table
 from tagreef.llm.toxicity import fit_toxicity
+from tagreef.llm.urls import RULES, judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -85,3 +86,28 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return score_texts(docs, remainder("doc_id", 5) == 1)
+
+
+RULES_SQL = ", ".join(f"('{verdict}', '{host}', '{path}')" for verdict, host, path in RULES)
+
+
+@register(
+    f"""WITH parts AS (
+            SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+            FROM pages),
+        split AS (
+            SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(regexp_replace(coalesce(rest, ''), '^[^/?#]*', ''), '^[^?#]*') AS path
+            FROM parts),
+        rules(verdict, host, path) AS (VALUES {RULES_SQL}),
+        ranked AS (
+            SELECT s.page_id, s.host, s.path, r.host || r.path AS rule, r.verdict,
+                row_number() OVER (PARTITION BY s.page_id ORDER BY length(r.host || r.path) DESC) AS place
+            FROM split AS s LEFT JOIN rules AS r
+            ON (s.host = r.host OR ends_with(s.host, '.' || r.host)) AND starts_with(s.path, r.path))
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM ranked WHERE place = 1"""
+)
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "verdict string, host string, path string")
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
