@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 from tagreef.llm import decontaminate as contamination
 from tagreef.llm.hmm import score_texts
 from tagreef.llm.minmax import near_duplicates
+from tagreef.llm.pieces import decode_ids, encode_texts
 from tagreef.llm.quality import fit_quality
 from tagreef.llm.repeats import remove_repeats
 from tagreef.llm.tables import remainder, table
 from tagreef.llm.toxicity import fit_toxicity
 from tagreef.llm.urls import RULES, judge_urls
 
+#: A public SentencePiece model with byte fallback.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -111,3 +115,16 @@ RULES_SQL = ", ".join(f"('{verdict}', '{host}', '{path}')" for verdict, host, pa
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(RULES, "verdict string, host string, path string")
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
+@register()
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = decode_ids(encode_texts(docs, PIECES), PIECES, name="decoded")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        "ids",
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+        (F.col("decoded").eqNullSafe(F.col("text"))).alias("exact"),
+    )

@@ -1,0 +1,88 @@
+import random
+
+import numpy as np
+import pytest
+import sentencepiece
+from brute import SF_DIR
+
+from tagreef.llm.pieces import PieceModel, decode_ids, encode_texts
+from tagreef.llm.registry import PIECES, QUERIES
+
+TEXTS = [
+    "Hello  world\n x", "a▁b", "ﬁ Ａ", "", " ", "   lead", "trail  ", "\t\n\r\n", "x" * 3000, "né " * 50, "日本語テキスト",
+    "a b \U0001f600 end", "▁", " ▁ ▁▁", "the the the", "\0", "word",
+]
+
+
+@pytest.fixture(scope="module")
+def model():
+    return PieceModel.load(PIECES)
+
+
+@pytest.fixture(scope="module")
+def table():
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    ids = [k for k in range(sp.get_piece_size()) if not (sp.is_byte(k) or sp.is_control(k) or sp.is_unknown(k))]
+    return {sp.id_to_piece(k).replace("▁", " "): (k, sp.get_score(k)) for k in ids}, min(sp.get_score(k) for k in ids)
+
+
+def brute(text, table):
+    """Best cut by a table over all positions, one text at a time."""
+    pieces, lowest = table
+    if not text:
+        return []
+    text = (" " + text).replace("▁", "\udfff")
+    best = [(0.0, None, None)] + [(-float("inf"), None, None)] * len(text)
+    for j in range(1, len(text) + 1):
+        for i in range(max(0, j - 16), j):
+            found = pieces.get(text[i:j])
+            if found is None and j - i == 1:
+                found = (-1, 2 * lowest - 10)
+            if found and best[i][0] + found[1] > best[j][0]:
+                best[j] = (best[i][0] + found[1], i, found[0])
+    out, j = [], len(text)
+    while j:
+        _, i, k = best[j]
+        raw = text[i:j].replace("\udfff", "▁").encode() if k < 0 else b""
+        out[:0] = [k] if k >= 0 else [3 + b for b in raw]
+        j = i
+    return out
+
+
+def test_cuts_equal_brute_force(model, table):
+    rng = random.Random(4)
+    letters = "the anowrdéß ,.\n▁日"
+    texts = TEXTS + ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(300)]
+    ids, cuts = model.encode([None, *texts])
+    got = [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:])]
+    assert got == [[], *(brute(t, table) for t in texts)]
+    assert model.decode(ids, cuts) == ["", *texts]
+
+
+def test_documents(model, table, documents):
+    texts = [t for _, t in documents[:40]]
+    ids, cuts = model.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:])] == [brute(t, table) for t in texts]
+
+
+def test_query_round_trip(spark, documents):
+    rows = QUERIES["op6_sentencepiece"](spark, SF_DIR).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(d for d, _ in documents)
+    assert all(r.exact and r.n_pieces == len(r.ids) for r in rows)
+
+
+def test_edges(spark, docs_of):
+    docs = docs_of([(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "ab " * 40000)]).selectExpr("*", "9 AS ids")
+    coded = encode_texts(docs, PIECES)
+    assert coded.columns == ["doc_id", "text", "ids"]
+    back = decode_ids(coded, PIECES, name="back").collect()
+    assert len(back) == 5 and all(r.text == r.back for r in back)
+    assert [r.ids for r in back if r.doc_id in (1, 2)] == [None, []]
+    assert encode_texts(docs.limit(0), PIECES).count() == 0
+
+
+def test_a_very_long_word(model):
+    text = "ab" * 200_000
+    ids, cuts = model.encode([text])
+    assert model.decode(ids, cuts) == [text]
+    assert np.diff(cuts)[0] < len(text)
