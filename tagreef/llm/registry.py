@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,12 +13,18 @@ from tagreef.llm.pieces import decode_ids, encode_texts
 from tagreef.llm.quality import fit_quality
 from tagreef.llm.repeats import remove_repeats
 from tagreef.llm.tables import remainder, table
+from tagreef.llm.tokens import count_tokens, token_ranks, write_token_files
 from tagreef.llm.toxicity import fit_toxicity
 from tagreef.llm.urls import RULES, judge_urls
+from tagreef.shared import scratch_path
 
 #: A public SentencePiece model with byte fallback.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
+#: A public byte-level vocabulary; the id behind its last one is free and separates documents.
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+SEPARATOR = 50256
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -128,3 +135,13 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
         (F.col("decoded").eqNullSafe(F.col("text"))).alias("exact"),
     )
+
+
+@register()
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as token files, counted again by their separators."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = scratch_path(spark, "tokens")
+    written = write_token_files(docs, folder, token_ranks(RANKS), PATTERN, SEPARATOR)
+    counted = count_tokens(written, SEPARATOR)
+    return counted.join(written.select("path", "doc", "doc_id"), ["path", "doc"]).select("doc_id", "n_tokens")
