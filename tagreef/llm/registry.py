@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagreef.llm import decontaminate as contamination
+from tagreef.llm.embeddings import near_vectors
 from tagreef.llm.hmm import score_texts
 from tagreef.llm.minmax import near_duplicates
 from tagreef.llm.pieces import decode_ids, encode_texts
@@ -145,3 +146,8 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = write_token_files(docs, folder, token_ranks(RANKS), PATTERN, SEPARATOR)
     counted = count_tokens(written, SEPARATOR)
     return counted.join(written.select("path", "doc", "doc_id"), ["path", "doc"]).select("doc_id", "n_tokens")
+
+
+@register()
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
