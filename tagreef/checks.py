@@ -36,8 +36,9 @@ from tagreef.plans.jobs import (
     image_list,
     index_images,
     ingest_uploads,
-    search_selective,
+    search_catalog,
     search_tag_files,
+    store_uploads,
 )
 from tagreef.operators.sizes import spread
 from tagreef.schema import CATALOG
@@ -46,9 +47,11 @@ from tagreef.sources.catalog import (
     append_catalog,
     compact_catalog,
     read_catalog,
+    read_errors,
     to_catalog_rows,
     union_catalogs,
 )
+from tagreef.sources.folders import read_accounts, read_pages
 from tagreef.sources.text_files import (
     catalog_to_tag_file,
     read_image_list,
@@ -60,6 +63,8 @@ from tagreef.streaming.streams import (
     batch_rows,
     ingest_lines,
     ingest_upload_stream,
+    line_stream,
+    read_batches_of_text,
     save_batches_as_text,
     search_stream,
     slice_batches,
@@ -159,7 +164,7 @@ def keyword_search_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(f"""SELECT "binary" FROM {CATALOG_SQL} WHERE features LIKE '%z%q%x%'""")
 def search_stored_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search_selective(spark, stored_catalog(spark, sf_dir), "zqx")
+    return search_catalog(spark, stored_catalog(spark, sf_dir), "zqx")
 
 
 def part_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,7 +304,7 @@ def image_list_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"SELECT * FROM {CATALOG_SQL} UNION ALL SELECT 'b' || item_id, NULL, text FROM benchmark"
 )
 def catalog_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two appends to one catalog, compacted, read as a union of its parts."""
+    """An appended catalog, compacted, read as a union with other rows."""
     path = scratch_path(spark, "catalog")
     more = table(spark, sf_dir, "benchmark").select(
         F.concat(F.lit("b"), F.col("item_id")).alias("path"), F.col("text").alias("binary")
@@ -494,7 +499,7 @@ MARKUP_SQL = (
 
 
 def tags_sql(tag: str, html: str) -> str:
-    regex = rf"""(?i)<{tag}\b(?:[^<>"'']|"[^"]*"|''[^'']*'')*>"""
+    regex = rf"""(?i)<{tag}(?:[\s/](?:[^<>"'']|"[^"]*"|''[^'']*'')*)?>"""
     return f"regexp_extract_all({MARKUP_SQL.format(html=html)}, '{regex}')"
 
 
@@ -569,6 +574,43 @@ IMAGES_SQL = f"""(SELECT page_id, url, CAST(pos - 1 AS INTEGER) AS pos, {attr_sq
     ) AS t)"""
 
 HAS_SQL = "({0} LIKE '%jpg%' OR {0} LIKE '%png%' OR {0} LIKE '%gif%')"
+# More tags, in turn, with what the parser must make of them: custom
+# elements are no images, and characters may be written as references.
+ODD_TAGS = (
+    '<img-box src="http://x.example.com/jpg/',
+    '<img src="http:&#x2F;&#47;x.example.com&sol;jpg/',
+    '<img/src="http://x.example.com/caf&eacute;.png?a=1&amp;b=2&#46;c/',
+    '<imgs src="http://x.example.com/jpg/',
+    '<img src="http://x.example.com/&unknown;&#0;&#x110000;&amp;amp;jpg/',
+)
+ODD_LINKS = (
+    None,
+    "http://x.example.com/jpg/",
+    "http://x.example.com/café.png?a=1&b=2.c/",
+    None,
+    "http://x.example.com/&unknown;\ufffd\ufffd&amp;jpg/",
+)
+
+
+@register(
+    f"""SELECT page_id, url, CAST(place - 1 AS INTEGER) AS pos, src FROM (
+            SELECT page_id, url, place, {_pick_sql('page_id', [_quoted(link) if link else 'NULL' for link in ODD_LINKS])}
+                || regexp_extract(part, '^[^"]*') AS src
+            FROM (SELECT page_id, url, unnest(parts[2:]) AS part, generate_subscripts(parts[2:], 1) AS place
+                FROM (SELECT page_id, url, string_split(
+                    regexp_replace(html, '(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>', '', 'g'),
+                    '<a href="/') AS parts FROM pages) AS t) AS t) AS t
+        WHERE src IS NOT NULL"""
+)
+def page_images_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored pages whose links are odd tags."""
+    path = scratch_path(spark, "pages")
+    odd = _pick("page_id", [F.lit(tag) for tag in ODD_TAGS])
+    pages = text_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    pages.withColumn("html", F.replace("html", F.lit('<a href="/'), odd)).write.parquet(path)
+    return extract_images(read_pages(spark, path)).select("page_id", "url", "pos", "src")
+
+
 LINK_SQL = f"""CASE
     WHEN url LIKE '%me.me%' AND {HAS_SQL.format('src')} AND src LIKE '%http%' THEN src
     WHEN url LIKE '%doutu%' AND data_original IS NULL THEN NULL
@@ -659,8 +701,9 @@ def texts_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(
-    f"""SELECT conv_id || '-' || (turn // 4) AS path, regexp_replace(text, '{FOLDER_SQL}', '', 'g') AS text
-        FROM conversations WHERE {LANG_SQL} = 'chi_sim'"""
+    f"""SELECT conv_id || '-' || (turn // 4) AS path,
+        regexp_replace(coalesce(max(text) FILTER ({LANG_SQL} = 'chi_sim'), ''), '{FOLDER_SQL}', '', 'g') AS text
+        FROM conversations GROUP BY ALL"""
 )
 def texts_of_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_ocr_text(turn_texts(spark, sf_dir), "chi_sim")
@@ -718,14 +761,36 @@ def document_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def utf8_reader() -> Callable[[bytes, str], str]:
+def utf8_reader() -> Callable[[list[bytes], str], list[str]]:
     """Stand-in text reader: what follows the head, for the first language."""
-    return lambda content, lang: content[len(PNG_HEAD) :].decode("utf-8") if lang == "eng" else ""
+    return lambda images, lang: [i[len(PNG_HEAD) :].decode("utf-8") if lang == "eng" else "" for i in images]
 
 
-def length_detector() -> Callable[[bytes], list[str]]:
+def length_detector() -> Callable[[list[bytes]], list[list[str]]]:
     """Stand-in detector: two labels that depend on the size of the image."""
-    return lambda content: [f"size{len(content) % 7}", "image"]
+    return lambda images: [[f"size{len(i) % 7}", "image"] for i in images]
+
+
+def _failing(images: list[bytes]) -> None:
+    """Stand-in failure: images whose size is a multiple of 3 cannot be read."""
+    if any(len(image) % 3 == 0 for image in images):
+        raise ValueError("unreadable")
+
+
+def failing_reader() -> Callable[[list[bytes], str], list[str]]:
+    def read(images: list[bytes], lang: str) -> list[str]:
+        _failing(images)
+        return utf8_reader()(images, lang)
+
+    return read
+
+
+def failing_detector() -> Callable[[list[bytes]], list[list[str]]]:
+    def detect(images: list[bytes]) -> list[list[str]]:
+        _failing(images)
+        return length_detector()(images)
+
+    return detect
 
 
 @register(
@@ -740,13 +805,44 @@ def texts_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     f"""SELECT {DOC_NAME_SQL} AS path, pos, CASE pos WHEN 0 THEN
-            'size' || octet_length({DOC_BYTES_SQL}) % 7 ELSE 'image' END AS name
+            'size' || octet_length({DOC_BYTES_SQL}) % 7 ELSE 'image' END AS name,
+        CAST(NULL AS VARCHAR) AS error
         FROM documents, (VALUES (0), (1)) AS p(pos)"""
 )
 def objects_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect_objects(document_uploads(spark, sf_dir), length_detector)
 
 
+UNREADABLE_SQL = f"octet_length({DOC_BYTES_SQL}) % 3 = 0"
+
+
+@register(
+    f"""SELECT {DOC_NAME_SQL} AS path, 'eng' AS lang, text, CAST(NULL AS VARCHAR) AS error
+        FROM documents WHERE NOT {UNREADABLE_SQL}
+    UNION ALL SELECT {DOC_NAME_SQL}, NULL, NULL, 'ValueError: unreadable' FROM documents WHERE {UNREADABLE_SQL}"""
+)
+def texts_read_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_texts(document_uploads(spark, sf_dir), failing_reader, "eng")
+
+
+@register(
+    f"""SELECT {DOC_NAME_SQL} AS path, pos, CASE pos WHEN 0 THEN
+            'size' || octet_length({DOC_BYTES_SQL}) % 7 ELSE 'image' END AS name, CAST(NULL AS VARCHAR) AS error
+        FROM documents, (VALUES (0), (1)) AS p(pos) WHERE NOT {UNREADABLE_SQL}
+    UNION ALL SELECT {DOC_NAME_SQL}, NULL, NULL, 'ValueError: unreadable' FROM documents WHERE {UNREADABLE_SQL}"""
+)
+def objects_found_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect_objects(document_uploads(spark, sf_dir), failing_detector)
+
+
+@register(
+    f"""SELECT {DOC_NAME_SQL} AS path, CASE WHEN {UNREADABLE_SQL} THEN ''
+        ELSE regexp_replace(text, '{FOLDER_SQL}', '', 'g') END AS text FROM documents"""
+)
+def texts_merged_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_ocr_text(read_texts(document_uploads(spark, sf_dir), failing_reader))
+
+
 UPLOADED_SQL = f"""(SELECT {DOC_NAME_SQL} AS path, {tag_sql('text')} AS features,
     'data:image/png;base64,' || base64({DOC_BYTES_SQL}) AS "binary" FROM documents
     WHERE regexp_extract({DOC_NAME_SQL}, '[^.]*$') IN
@@ -755,7 +851,34 @@ UPLOADED_SQL = f"""(SELECT {DOC_NAME_SQL} AS path, {tag_sql('text')} AS features
 
 @register(f"SELECT * FROM {UPLOADED_SQL} AS u")
 def upload_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest_uploads(document_uploads(spark, sf_dir), utf8_reader)[0]
+    return ingest_uploads(document_uploads(spark, sf_dir), utf8_reader)[0].drop("error")
+
+
+@register(
+    f"""SELECT path, 'ValueError: unreadable' AS error FROM (
+            SELECT {DOC_NAME_SQL} AS path, {DOC_BYTES_SQL} AS content FROM documents) AS d
+        WHERE regexp_extract(path, '[^.]*$') IN ('png','jpg','JPG','PNG','bmp','gif','jpeg','JPEG')
+            AND octet_length(content) % 3 = 0"""
+)
+def upload_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uploads stored twice over in one catalog, halves apart, then its errors read."""
+    path = scratch_path(spark, "uploads")
+    uploads = document_uploads(spark, sf_dir)
+    for half in (0, 1):
+        part = uploads.filter(F.octet_length("content") % 2 == half)
+        store_uploads(part, path, failing_reader)
+    return read_errors(spark, path)
+
+
+@register(f"SELECT * FROM {UPLOADED_SQL} AS u")
+def uploads_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appends to one catalog."""
+    path = scratch_path(spark, "uploads")
+    uploads = document_uploads(spark, sf_dir)
+    for half in (0, 1):
+        part = uploads.filter(F.octet_length("content") % 2 == half)
+        store_uploads(part, path, utf8_reader)
+    return read_catalog(spark, path)
 
 
 @register(
@@ -777,7 +900,7 @@ def upload_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upload_ingest_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = F.concat(F.lit(PNG_HEAD), F.encode("text", "UTF-8"))
     seen = table(spark, sf_dir, "benchmark").select(images.data_uri(content).alias("binary"))
-    return ingest_uploads(document_uploads(spark, sf_dir), utf8_reader, seen)[0]
+    return ingest_uploads(document_uploads(spark, sf_dir), utf8_reader, seen)[0].drop("error")
 
 
 INDEXED_TAG_SQL = tag_sql(
@@ -800,6 +923,18 @@ def folder_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index_images(uploads, utf8_reader, length_detector, dictionary)[0]
 
 
+@register(
+    f"""SELECT 'same.png' AS "Image", {tag_sql(f"(text || 'size' || octet_length({DOC_BYTES_SQL}) % 7 || 'image')", FOLDER_SQL)} AS "Tag",
+        'data:image/png;base64,' || base64({DOC_BYTES_SQL}) AS "Base64",
+        CAST(NULL AS VARCHAR) AS error
+        FROM documents"""
+)
+def folder_index_same_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images of one name, as sub-folders have them, keep their own labels."""
+    uploads = document_uploads(spark, sf_dir).select(F.lit("same.png").alias("name"), "content")
+    return index_images(uploads, utf8_reader, length_detector)[0]
+
+
 @register(
     f"""SELECT {DOC_NAME_SQL} AS file, 'data:image/png;base64,' || base64({DOC_BYTES_SQL}) AS uri
         FROM documents"""
@@ -812,10 +947,11 @@ def folder_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ACCOUNTS_SQL = """(SELECT CAST(c_custkey AS INTEGER) AS id, lower(c_name) AS username,
     md5(c_name) AS password_hash, c_custkey || '@mail.example' AS email
-    FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))"""
+    FROM customer)"""
 
 SIGNUPS_SQL = """(SELECT o_orderkey AS seq,
     CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN ' '
+        WHEN o_orderkey % 2 = 0 THEN 'Member#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0')
         ELSE 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') END AS username,
     CAST(o_orderkey % 35 AS INTEGER) AS password_length,
     md5(CAST(o_orderkey AS VARCHAR)) AS password_hash,
@@ -826,7 +962,8 @@ SIGNUPS_SQL = """(SELECT o_orderkey AS seq,
 VALID_SQL = """(trim(username) <> '' AND length(username) <= 30
     AND password_length BETWEEN 1 AND 30 AND (trim(email) = '' OR length(email) <= 50))"""
 
-PATCHES_SQL = """(SELECT event_id AS seq, 'customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0') AS username,
+PATCHES_SQL = """(SELECT event_id AS seq, CASE WHEN event_id % 7 = 0 THEN 'member#' ELSE 'customer#' END
+        || lpad(CAST(user_id AS VARCHAR), 9, '0') AS username,
     CASE event_type WHEN 'click' THEN '' ELSE md5(CAST(event_id AS VARCHAR)) END AS password_hash,
     CASE event_type WHEN 'view' THEN '' WHEN 'error' THEN NULL
         ELSE event_id || '@mail.example' END AS email
@@ -834,8 +971,7 @@ PATCHES_SQL = """(SELECT event_id AS seq, 'customer#' || lpad(CAST(user_id AS VA
 
 
 def customer_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members = F.col("c_mktsegment").isin("BUILDING", "MACHINERY")
-    return table(spark, sf_dir, "customer").filter(members).select(
+    return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("int").alias("id"),
         F.lower("c_name").alias("username"),
         F.md5("c_name").alias("password_hash"),
@@ -852,7 +988,10 @@ def order_signups(spark: SparkSession, sf_dir: str) -> DataFrame:
     blank = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("seq"),
-        F.when(blank, F.lit(" ")).otherwise(_member_name("Customer#", "o_custkey")).alias("username"),
+        F.when(blank, F.lit(" "))
+        .when(F.col("o_orderkey") % 2 == 0, _member_name("Member#", "o_custkey"))
+        .otherwise(_member_name("Customer#", "o_custkey"))
+        .alias("username"),
         (F.col("o_orderkey") % 35).cast("int").alias("password_length"),
         F.md5(key).alias("password_hash"),
         F.when(F.col("o_orderpriority") == "2-HIGH", F.lit(""))
@@ -867,7 +1006,9 @@ def event_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("seq"),
-        _member_name("customer#", "user_id").alias("username"),
+        F.when(F.col("event_id") % 7 == 0, _member_name("member#", "user_id"))
+        .otherwise(_member_name("customer#", "user_id"))
+        .alias("username"),
         F.when(kind == "click", F.lit("")).otherwise(F.md5(key)).alias("password_hash"),
         F.when(kind == "view", F.lit(""))
         .when(kind != "error", F.concat(key, F.lit("@mail.example")))
@@ -938,6 +1079,13 @@ def accounts_after_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )[0]
 
 
+@register(f"SELECT * FROM {ACCOUNTS_SQL} AS a")
+def accounts_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "accounts")
+    customer_accounts(spark, sf_dir).write.parquet(path)
+    return read_accounts(spark, path)
+
+
 @register(f"SELECT * FROM {ACCOUNTS_SQL} AS a WHERE username = 'customer#000000001'")
 def account_of_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_accounts(customer_accounts(spark, sf_dir), "customer#000000001")
@@ -987,20 +1135,47 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
-@register("""SELECT 'fromStreaming' AS path, CAST(NULL AS VARCHAR) AS features, props AS "binary" FROM events""")
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table_stream(spark, sf_dir, "events").select(F.col("props").alias("value"))
+
+
+LINES_SQL = """SELECT 'fromStreaming' AS path, CAST(NULL AS VARCHAR) AS features, {} AS "binary" FROM {}"""
+
+
+@register(LINES_SQL.format("props", "events"))
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "lines")
-    lines = table_stream(spark, sf_dir, "events").select(F.col("props").alias("value"))
-    ingest_lines(lines, f"{path}/catalog", f"{path}/checkpoint", once=True).awaitTermination()
+    lines = event_lines(spark, sf_dir)
+    ingest_lines(lines, f"{path}/catalog", "events", f"{path}/checkpoint", once=True).awaitTermination()
+    return read_catalog(spark, f"{path}/catalog")
+
+
+@register(f"{LINES_SQL.format('props', 'events')} UNION ALL {LINES_SQL.format('text', 'conversations')}")
+def stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two line streams into one catalog: each has its own batches."""
+    path = scratch_path(spark, "lines")
+    turns = table_stream(spark, sf_dir, "conversations").select(F.col("text").alias("value"))
+    for name, lines in (("events", event_lines(spark, sf_dir)), ("turns", turns)):
+        ingest_lines(lines, f"{path}/catalog", name, f"{path}/ckpt-{name}", once=True).awaitTermination()
     return read_catalog(spark, f"{path}/catalog")
 
 
 @register("SELECT props AS value FROM events")
 def stream_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "text")
-    lines = table_stream(spark, sf_dir, "events").select(F.col("props").alias("value"))
-    save_batches_as_text(lines, f"{path}/out", f"{path}/checkpoint", once=True).awaitTermination()
-    return spark.read.text(f"{path}/out-*")
+    lines = event_lines(spark, sf_dir)
+    save_batches_as_text(lines, f"{path}/out", "events", f"{path}/checkpoint", once=True).awaitTermination()
+    return read_batches_of_text(spark, f"{path}/out")
+
+
+@register(LINES_SQL.format("props", "events"))
+def stream_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event properties written as text files, streamed line by line into a catalog."""
+    path = scratch_path(spark, "lines")
+    table(spark, sf_dir, "events").select("props").write.text(f"{path}/in")
+    lines = line_stream(spark, "text", path=f"{path}/in")
+    ingest_lines(lines, f"{path}/catalog", "lines", f"{path}/checkpoint", once=True).awaitTermination()
+    return read_catalog(spark, f"{path}/catalog")
 
 
 @register(SIZES_SQL)
@@ -1011,7 +1186,7 @@ def stream_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("request_id"), F.col("p_name").alias("keyword")
     )
     search_stream(
-        requests, f"{path}/catalog", f"{path}/out", f"{path}/checkpoint", once=True
+        requests, f"{path}/catalog", f"{path}/out", "parts", f"{path}/checkpoint", once=True
     ).awaitTermination()
     return spark.read.option("recursiveFileLookup", "true").parquet(f"{path}/out/requests")
 
@@ -1021,7 +1196,9 @@ def stream_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "uploads")
-    append_catalog(spark.createDataFrame([], CATALOG), f"{path}/catalog")
+    none = spark.createDataFrame([], CATALOG)
+    append_catalog(none, f"{path}/catalog")
+    payload_hashes(none).write.parquet(f"{path}/hashes")
     extension = _pick("doc_id", [F.lit(extension) for extension in EXTENSIONS])
     uploads = table_stream(spark, sf_dir, "documents").select(
         F.concat(F.col("doc_id"), F.lit("."), extension).alias("path"),
@@ -1031,9 +1208,10 @@ def stream_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
         uploads,
         f"{path}/catalog",
         f"{path}/refused",
+        "documents",
         f"{path}/checkpoint",
         utf8_reader,
-        new_only=True,
+        hashes_path=f"{path}/hashes",
         once=True,
     ).awaitTermination()
     return read_catalog(spark, f"{path}/catalog")

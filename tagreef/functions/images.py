@@ -97,8 +97,3 @@ def is_rename_image(name: Column) -> Column:
 def is_upload_allowed(name: Column, allowed: Iterable[str] = UPLOAD_EXTENSIONS) -> Column:
     """There is a dot and the text after the last one is in the allow list."""
     return F.contains(name, F.lit(".")) & last_ext(name).isin(*allowed)
-
-
-def contains_payload(text: Column, payload: Column | str) -> Column:
-    """Plain containment; a literal payload reaches Parquet as StringContains."""
-    return F.contains(text, F.lit(payload) if isinstance(payload, str) else payload)

@@ -12,7 +12,7 @@ which makes it linear in the text.
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -20,6 +20,16 @@ def clean_keyword(keyword: Column) -> Column:
     return F.replace(F.lower(keyword), F.lit(" "), F.lit(""))
 
 
+def cleaned(keyword: str) -> str:
+    """:func:`clean_keyword` of one keyword held by the driver.
+
+    Spark lowers it, as it lowers tags and keyword columns: Python's own rules
+    differ for a few letters, and with the versions of both.
+    """
+    text = F.lit(keyword)
+    return SparkSession.active().range(1).select(clean_keyword(text)).first()[0]
+
+
 def keyword_pattern(keyword: Column) -> Column:
     """The LIKE pattern of a keyword column."""
     return F.concat(
@@ -92,9 +102,9 @@ def compile_keyword(pattern: str) -> str:
     return "(?s)^" + "".join(skips) + end
 
 
-def pattern_of(keyword: str) -> str:
-    """The LIKE pattern of one keyword held by the driver."""
-    return "%" + "%".join(keyword.lower().replace(" ", "")) + "%"
+def pattern_of(clean: str) -> str:
+    """The LIKE pattern of one cleaned keyword held by the driver."""
+    return "%" + "%".join(clean) + "%"
 
 
 def fixed_chars(pattern: str) -> list[str]:
@@ -110,7 +120,7 @@ def matches_keyword(features: Column, keyword: str) -> Column:
     the bytes is several times cheaper than running the regex to the row's end.
     ``features`` is mentioned once per character, so it should be a stored column.
     """
-    pattern = pattern_of(keyword)
+    pattern = pattern_of(cleaned(keyword))
     if not pattern.strip("%"):
         return features.isNotNull()
     test = features.rlike(compile_keyword(pattern))

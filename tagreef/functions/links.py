@@ -1,5 +1,8 @@
 """Tags and attributes of stored HTML, and the image link rules by site."""
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,26 +15,27 @@ NOT_MARKUP = (
 TAG_REST = r"""(?:[^<>"']|"[^"]*"|'[^']*')*+>"""
 ATTRIBUTE = r"""([^\s"'<>/=]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
-# How attribute text writes special characters.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+# The sites with rules of their own, in the order they are tried: what
+# the page's URL holds ("" is any), the attribute with the link, one of the marks the
+# link holds, and a further one.
+SITES = (
+    ("me.me", "src", ("jpg", "png", "gif"), "http"),
+    ("doutu", "data-original", ("jpg", "png", "gif"), "http"),
+    ("jandan", "src", ("jpg", "png"), "w"),
+    ("jandan", "org_src", ("gif",), "w"),
+    ("", "src", ("jpg", "png", "gif"), "http"),
+)
 
-# What an image link holds, by kind, and the sites with own rules.
-IMAGE_MARKS = ("jpg", "png", "gif")
-STILL_MARKS = ("jpg", "png")
-MOVING_MARKS = ("gif",)
-WEB_MARK = "http"
-SRC_SITE = "me.me"
-LAZY_SITE = "doutu"
-LAZY_ATTRIBUTE = "data-original"
-MOVING_SITE = "jandan"
-MOVING_ATTRIBUTE = "org_src"
-MOVING_SITE_MARK = "w"
+# Named characters, from the standard's list; numbers 128-159 stand for the letters
+# of the Windows code page, where it has any.
+NAMED = json.dumps({name[:-1]: text for name, text in html5.items() if name.endswith(";")})
+WINDOWS = json.dumps({n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)})
 
 
 def tags_of(html: Column, tag: str) -> Column:
-    """All opening tags of one kind, in document order."""
+    """All opening tags of one kind, in document order; ``<img-box>`` is no ``<img>``."""
     markup = F.regexp_replace(html, NOT_MARKUP, "")
-    return F.regexp_extract_all(markup, F.lit(rf"(?i)<{tag}\b{TAG_REST}"), F.lit(0))
+    return F.regexp_extract_all(markup, F.lit(rf"(?i)<{tag}(?=[\s/>]){TAG_REST}"), F.lit(0))
 
 
 def attributes_of(tag: Column) -> Column:
@@ -44,9 +48,41 @@ def attributes_of(tag: Column) -> Column:
 def _plain_value(raw: Column) -> Column:
     quoted = raw.startswith('"') | raw.startswith("'")
     value = F.when(quoted, F.substr(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
-    for entity, char in ENTITIES:
-        value = F.replace(value, F.lit(entity), F.lit(char))
-    return value
+    return F.when(F.contains(value, F.lit("&")), unescape(value)).otherwise(value)
+
+
+def unescape(text: Column) -> Column:
+    """Text with its character references resolved: named ones, which end in ``;``, and
+    numbers in either base, with or without it. Unknown ones stay as they are."""
+    parts = F.split(text, "&")
+    named = F.from_json(F.lit(NAMED), "map<string,string>")
+    windows = F.from_json(F.lit(WINDOWS), "map<string,string>")
+
+    def number(part: Column, regex: str, base: int) -> Column:
+        # Nine digits are beyond any character and still fit.
+        digits = F.substring(F.regexp_extract(part, regex, 1), 1, 9)
+        return F.conv(digits, base, 10).cast("long")
+
+    def character(code: Column) -> Column:
+        wrong = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+        plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(wrong, F.lit("\ufffd")).otherwise(F.coalesce(windows[code.cast("string")], plain))
+
+    def resolved(part: Column) -> Column:
+        hexadecimal, decimal, name = r"^#[xX]0*([0-9a-fA-F]+);?", r"^#0*([0-9]+);?", r"^([A-Za-z][A-Za-z0-9]*);"
+        zero = part.rlike(r"^#([xX])?0+(;|[^0-9a-fA-F]|$)")
+        found = named[F.regexp_extract(part, name, 1)]
+        rest = lambda regex: F.regexp_replace(part, regex, "")
+        return (
+            F.when(zero, F.concat(F.lit("\ufffd"), rest(r"^#[xX]?0+;?")))
+            .when(part.rlike(hexadecimal), F.concat(character(number(part, hexadecimal, 16)), rest(hexadecimal)))
+            .when(part.rlike(decimal), F.concat(character(number(part, decimal, 10)), rest(decimal)))
+            .when(found.isNotNull(), F.concat(found, rest(name)))
+            .otherwise(F.concat(F.lit("&"), part))
+        )
+
+    tail = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), resolved)
+    return F.concat(F.get(parts, F.lit(0)), F.array_join(tail, ""))
 
 
 def attribute(attributes: Column, name: str) -> Column:
@@ -63,21 +99,17 @@ def _has(text: Column, marks: tuple[str, ...], also: str) -> Column:
     return found & text.contains(also)
 
 
-def image_link(url: Column, src: Column, data_original: Column, org_src: Column) -> Column:
+def image_link(url: Column, links: dict[str, Column]) -> Column:
     """Link to download for one image tag, NULL to skip it; the first rule wins.
 
-    Some sites keep the picture in another attribute. Where a site's rule needs
-    an attribute the tag lacks, the tag is skipped and no later rule is tried.
+    ``links`` are the tag's attributes by name. Where a rule needs another
+    attribute than ``src`` and the tag lacks it, the tag is skipped and no later
+    rule is tried.
     """
-    plain = _has(src, IMAGE_MARKS, WEB_MARK)
-    lazy = url.contains(LAZY_SITE)
-    moving = url.contains(MOVING_SITE)
-    return (
-        F.when(url.contains(SRC_SITE) & plain, src)
-        .when(lazy & data_original.isNull(), F.lit(None))
-        .when(lazy & _has(data_original, IMAGE_MARKS, WEB_MARK), data_original)
-        .when(moving & _has(src, STILL_MARKS, MOVING_SITE_MARK), src)
-        .when(moving & org_src.isNull(), F.lit(None))
-        .when(moving & _has(org_src, MOVING_MARKS, MOVING_SITE_MARK), org_src)
-        .when(plain, src)
-    )
+    chosen = F.when(F.lit(False), F.lit(None).cast("string"))
+    for site, name, marks, also in SITES:
+        here, link = url.contains(site) if site else F.lit(True), links[name]
+        if name != "src":
+            chosen = chosen.when(here & link.isNull(), F.lit(None))
+        chosen = chosen.when(here & _has(link, marks, also), link)
+    return chosen

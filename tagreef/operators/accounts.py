@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tagreef.functions.text import trim_space
 from tagreef.operators.grouping import first_per_key
 from tagreef.operators.numbering import with_index
+from tagreef.operators.sizes import broadcast_if_small
 from tagreef.schema import ACCOUNTS
 from tagreef.shared import saved
 
@@ -84,5 +85,10 @@ def apply_profile_patches(accounts: DataFrame, patches: DataFrame) -> tuple[Data
     patched = accounts.join(last, "username", "left").select(
         "id", "username", *[F.coalesce(f"_{name}", name).alias(name) for name in fields]
     )
-    unknown = patches.join(accounts.select("username"), "username", "left_anti")
+    # Names meet accounts once each; the unknown ones, usually few, then find their changes.
+    names = patches.select("username").distinct()
+    strange = names.join(accounts.select("username"), "username", "left_anti")
+    nameless = F.col("username").isNull()
+    unknown = patches.join(broadcast_if_small(saved(strange)), "username", "left_semi")
+    unknown = unknown.unionByName(patches.filter(nameless))
     return patched, unknown.select(*patches.columns)

@@ -3,10 +3,13 @@
 Both are Pandas UDFs over the image column. The image stays in the row on the
 JVM side and only the result comes back, so nothing is shuffled or joined to put
 text and image together again. A slot takes a *factory*: it is called once per
-task, where it loads the model, and returns the function for one image.
+task, where it loads the model, and returns the function for a list of images.
+When that fails for a list, it is called again for each image alone, so that a
+failure is the one image's, and is told in ``error``.
 
 Image rows are big: an Arrow batch of them is bounded by
-``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB unless set).
+``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB unless set), and a list has
+``IMAGES_PER_CALL`` images at most.
 """
 
 from collections.abc import Callable, Iterator
@@ -18,8 +21,28 @@ from pyspark.sql import functions as F
 from tagreef.functions.text import strip_tag
 from tagreef.operators.labels import LANGUAGES
 
-TextReader = Callable[[bytes, str], str]
-Detector = Callable[[bytes], list[str]]
+TextReader = Callable[[list[bytes], str], list[str]]
+Detector = Callable[[list[bytes]], list[list[str]]]
+
+IMAGES_PER_CALL = 64
+
+
+def _each(call: Callable[[list[bytes]], list], images: list[bytes]) -> list[tuple[object, str | None]]:
+    """(result, error) of each image."""
+    try:
+        results = list(call(images))
+        if len(results) != len(images):
+            raise ValueError(f"{len(results)} results for {len(images)} images")
+        return [(result, None) for result in results]
+    except Exception as failure:  # any failure of a user's function
+        if len(images) == 1:
+            return [(None, f"{type(failure).__name__}: {failure}")]
+    return [one for image in images for one in _each(call, [image])]
+
+
+def _lists(images: pd.Series) -> Iterator[list[bytes]]:
+    for low in range(0, len(images), IMAGES_PER_CALL):
+        yield images[low : low + IMAGES_PER_CALL].tolist()
 
 
 def text_reader(
@@ -36,24 +59,25 @@ def text_reader(
     def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         reader = factory()
         for images in batches:
-            yield pd.DataFrame(
-                [_read_one(reader, image, languages) for image in images],
-                columns=["texts", "error"],
-            )
+            rows = [row for part in _lists(images) for row in _read_all(reader, part, languages)]
+            yield pd.DataFrame(rows, columns=["texts", "error"])
 
     return read
 
 
-def _read_one(
-    reader: TextReader, image: bytes, languages: tuple[str, ...]
-) -> tuple[list, str | None]:
-    texts = []
-    try:
-        for lang in languages:
-            texts.append({"lang": lang, "text": reader(image, lang)})
-    except Exception as failure:  # any failure of a user's reader
-        return texts, f"{type(failure).__name__}: {failure}"
-    return texts, None
+def _read_all(
+    reader: TextReader, images: list[bytes], languages: tuple[str, ...]
+) -> list[tuple[list, str | None]]:
+    texts: list[list] = [[] for _ in images]
+    errors: list[str | None] = [None] * len(images)
+    for lang in languages:
+        live = [k for k, error in enumerate(errors) if error is None]
+        if live:
+            for k, (text, error) in zip(live, _each(lambda part: reader(part, lang), [images[k] for k in live])):
+                errors[k] = error
+                if error is None:
+                    texts[k].append({"lang": lang, "text": text})
+    return list(zip(texts, errors))
 
 
 def joined_text(read: Column) -> Column:
@@ -62,24 +86,19 @@ def joined_text(read: Column) -> Column:
 
 
 def label_reader(factory: Callable[[], Detector]) -> Callable[[str], Column]:
-    """UDF giving the ordered label names of an image; a failure gives none."""
+    """UDF giving ``struct<labels: array<string>, error>`` of an image, labels in order."""
 
-    @F.pandas_udf("array<string>")
-    def detect(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("labels array<string>, error string")
+    def detect(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         detector = factory()
         for images in batches:
-            yield pd.Series([_detect_one(detector, image) for image in images], dtype=object)
+            found = [one for part in _lists(images) for one in _each(detector, part)]
+            rows = [(list(labels or []), error) for labels, error in found]
+            yield pd.DataFrame(rows, columns=["labels", "error"])
 
     return detect
 
 
-def _detect_one(detector: Detector, image: bytes) -> list[str]:
-    try:
-        return list(detector(image))
-    except Exception:  # any failure of a user's detector
-        return []
-
-
 def read_texts(
     images: DataFrame, factory: Callable[[], TextReader], language: str = "all"
 ) -> DataFrame:
@@ -94,6 +113,12 @@ def read_texts(
 
 
 def detect_objects(images: DataFrame, factory: Callable[[], Detector]) -> DataFrame:
-    """``(path, pos, name)``: the labels of ``(path, content)`` images, in order."""
+    """``(path, pos, name, error)``: the labels of ``(path, content)`` images, in order.
+
+    An image without labels has no row; one whose detection failed has a row with
+    the error and no label.
+    """
     detect = label_reader(factory)
-    return images.select("path", F.posexplode(detect("content")).alias("pos", "name"))
+    found = images.select("path", detect("content").alias("_found"))
+    rows = found.select("path", F.posexplode_outer("_found.labels").alias("pos", "name"), "_found.error")
+    return rows.filter(F.col("name").isNotNull() | F.col("error").isNotNull())

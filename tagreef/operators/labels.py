@@ -1,6 +1,6 @@
 """Text and object labels of images."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagreef.functions.text import strip_tag
@@ -23,16 +23,14 @@ def concat_labels(detections: DataFrame) -> DataFrame:
 def merge_ocr_text(texts: DataFrame, language: str = "all") -> DataFrame:
     """``(path, text)``: the texts of an image, all languages in order or one of them.
 
-    ``texts`` has one row per path and language; each language is a plain
-    maximum, so nothing is collected per image.
+    Every path of ``texts`` has a row: the text is empty where no language asked
+    for was read. Several texts of one language follow one another, sorted.
     """
     wanted = LANGUAGES if language == "all" else (language,)
     each = [
-        F.coalesce(F.max(F.when(F.col("lang") == lang, F.col("text"))), F.lit(""))
-        for lang in wanted
+        F.array_sort(F.collect_list(F.when(F.col("lang") == lang, F.col("text")))) for lang in wanted
     ]
-    asked = texts.filter(F.col("lang").isin(*wanted))
-    merged = asked.groupBy("path").agg(F.concat(*each).alias("text"))
+    merged = texts.groupBy("path").agg(F.array_join(F.flatten(F.array(*each)), "").alias("text"))
     return merged.select("path", strip_tag(F.col("text")).alias("text"))
 
 
@@ -43,6 +41,15 @@ def add_translations(labels: DataFrame, dictionary: DataFrame) -> DataFrame:
     the dictionary for both, it counts as English. The distinct words are looked
     up first; as long as the words found are small, no label row is shuffled.
     """
+    known = known_translations(dictionary)
+    words = saved(labels.select("name").distinct().join(known, "name"))
+    return labels.join(broadcast_if_small(words), "name", "left").select(
+        *labels.columns, "translation"
+    )
+
+
+def known_translations(dictionary: DataFrame) -> DataFrame:
+    """``(name, translation)``, one for each word that a rule translates."""
     rule = F.lit(False)
     for source, target in TRANSLATED:
         rule = rule | ((F.col("src_lang") == source) & (F.col("dst_lang") == target))
@@ -50,12 +57,20 @@ def add_translations(labels: DataFrame, dictionary: DataFrame) -> DataFrame:
     known = first_per_key(
         known.select(F.col("term").alias("name"), "src_lang", "translation"), ["name"], ["src_lang"]
     )
-    words = saved(
-        labels.select("name").distinct().join(known, "name").select("name", "translation")
-    )
-    return labels.join(broadcast_if_small(words), "name", "left").select(
-        *labels.columns, "translation"
-    )
+    return known.select("name", "translation")
+
+
+def row_label_text(labels: Column, translations: Column | None = None) -> Column:
+    """As :func:`label_text`, of the labels array of a row and a map of translations."""
+
+    def spaced(words: Column) -> Column:
+        return F.array_join(F.transform(words, lambda word: F.concat(word, F.lit(" "))), "")
+
+    labels = F.coalesce(labels, F.array().cast("array<string>"))
+    if translations is None:
+        return spaced(labels)
+    found = F.filter(F.transform(labels, lambda word: translations[word]), lambda word: word.isNotNull())
+    return F.concat(spaced(labels), spaced(found))
 
 
 def label_text(detections: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:

@@ -3,51 +3,29 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A row is compared with every bound, so there are not many of them.
-BUCKETS = 256
-ROWS_PER_BUCKET = 10_000
-SAMPLE_PER_BUCKET = 32
+from tagreef.shared import saved
 
 
-def with_index(
-    df: DataFrame, order: list[str], name: str, rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
+def with_index(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Number the rows 0, 1, 2 .. by ``order``, which must tell any two rows apart.
 
-    The rows are cut into buckets by bounds taken from a small sample by hash,
-    numbered inside each bucket, and moved by the number of rows in the buckets
-    before. Since ``order`` is unique no bucket can be hot. The bounds are
-    literals, so a task that is run again sees the same buckets. The frame is
-    read several times: give a :func:`~tagreef.shared.saved` one unless it is a
-    plain scan.
+    Spark deals the rows out by ranges of ``order``, as many as a shuffle has
+    partitions; every row is numbered inside its range and moved by the number of
+    rows in the ranges before. The dealt rows are saved once with the number of
+    their range, since a range is drawn from a sample and would differ when it
+    is dealt again. Since ``order`` is unique no range can be hot. Only one row
+    per range meets in one task.
     """
-    keys = df.select(*order)
-    n = df.count()
-    buckets = min(BUCKETS, 1 + n // rows_per_bucket)
-    # About 32 rows per bucket reach the driver, however many there are.
-    one_in = max(1, n // (buckets * SAMPLE_PER_BUCKET))
-    sample = keys.filter(F.pmod(F.xxhash64(*order), F.lit(one_in)) == 0)
-    drawn = sample.orderBy(*order).collect() if buckets > 1 else []
-    step = max(1, len(drawn) // buckets)
-    bounds = [
-        F.struct(*[F.lit(row[c]).cast(kind).alias(c) for c, kind in keys.dtypes])
-        for row in drawn[step::step]
-    ]
-    bucket = F.lit(0)
-    if bounds:
-        key = F.struct(*order)
-        bucket = F.size(F.filter(F.array(*bounds), lambda bound: bound <= key))
-    bucketed = df.withColumn("_bucket", bucket)
-    # One row per bucket: a bounded window and a bounded broadcast.
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    dealt = saved(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        bucketed.groupBy("_bucket").agg(F.count("*").alias("_n"))
-        .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        dealt.groupBy("_range").agg(F.count("*").alias("_n"))
+        .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
-    inside = Window.partitionBy("_bucket").orderBy(*order)
+    inside = Window.partitionBy("_range").orderBy(*order)
     return (
-        bucketed.withColumn("_rank", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_bucket")
+        dealt.withColumn("_rank", F.row_number().over(inside))
+        .join(F.broadcast(offsets), "_range")
         .withColumn(name, F.col("_before") + F.col("_rank") - 1)
-        .drop("_bucket", "_before", "_rank")
+        .drop("_range", "_before", "_rank")
     )

@@ -3,17 +3,13 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagreef.functions.links import (
-    LAZY_ATTRIBUTE,
-    MOVING_ATTRIBUTE,
-    attribute,
-    attributes_of,
-    image_link,
-    tags_of,
-)
+from tagreef.functions.links import attribute, attributes_of, image_link, tags_of
 from tagreef.functions.text import fetch_url, last_ext, stamp_name
 from tagreef.operators.numbering import with_index
-from tagreef.shared import saved
+
+
+# The attributes of an image tag that may hold its link, by column.
+IMAGE_ATTRIBUTES = {"src": "src", "data_original": "data-original", "org_src": "org_src"}
 
 
 def extract_tags(pages: DataFrame, tag: str, attrs: dict[str, str]) -> DataFrame:
@@ -31,13 +27,12 @@ def extract_tags(pages: DataFrame, tag: str, attrs: dict[str, str]) -> DataFrame
 
 def extract_images(pages: DataFrame) -> DataFrame:
     """The image tags that carry ``src``."""
-    attrs = {"src": "src", "data_original": LAZY_ATTRIBUTE, "org_src": MOVING_ATTRIBUTE}
-    return extract_tags(pages, "img", attrs).filter(F.col("src").isNotNull())
+    return extract_tags(pages, "img", IMAGE_ATTRIBUTES).filter(F.col("src").isNotNull())
 
 
 def choose_links(images: DataFrame) -> DataFrame:
     """``(page_id, pos, link)`` of the image tags whose site rule gives a link."""
-    link = image_link(*(F.col(c) for c in ("url", "src", "data_original", "org_src")))
+    link = image_link(F.col("url"), {name: F.col(c) for c, name in IMAGE_ATTRIBUTES.items()})
     return images.select("page_id", "pos", link.alias("link")).filter(F.col("link").isNotNull())
 
 
@@ -53,7 +48,7 @@ def download_manifest(links: DataFrame, ts: Column, repair: bool = False) -> Dat
     """
     link = F.col("link")
     stamp = stamp_name(F.timestamp_micros(F.unix_micros(ts) + F.col("_nth")))
-    return with_index(saved(links), ["page_id", "pos"], "_nth").select(
+    return with_index(links, ["page_id", "pos"], "_nth").select(
         "page_id",
         "pos",
         "link",

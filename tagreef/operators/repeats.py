@@ -1,7 +1,8 @@
 """Images that are already in an index."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tagreef.functions.images import uri_payload
 from tagreef.operators.grouping import first_per_key
@@ -90,6 +91,12 @@ def payload_hashes(catalog: DataFrame) -> DataFrame:
     return catalog.select(payload_sha(F.col("binary")).alias("payload_sha"))
 
 
+def read_hashes(spark: SparkSession, path: str) -> DataFrame:
+    """Hashes kept beside a catalog, those of stream batches in sub-folders included."""
+    schema = StructType([StructField("payload_sha", StringType())])
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
+
 def payload_sha(uri: Column) -> Column:
     return F.sha2(uri_payload(uri), 256)
 
@@ -103,41 +110,45 @@ def drop_repeats(
 ) -> DataFrame:
     """Catalog rows of ``batch`` whose image the catalog does not hold yet.
 
-    Within the batch the first row by ``order`` of each image stays. ``exact``
-    drops an image whose payload lies anywhere in a catalog image, at a cost of
-    one catalog scan per slice of payloads; ``hash`` compares whole payloads in
-    one pass. They differ when one payload is a proper part of another.
-    ``catalog`` may be a table made by :func:`payload_hashes` for ``hash``.
+    Within the batch the first row by ``order`` of each image stays; rows without
+    an image are no repeats of one another and all stay. ``exact`` drops an image
+    whose payload lies anywhere in a catalog image, at a cost of one catalog scan
+    per slice of payloads; ``hash`` compares whole payloads in one pass. They
+    differ when one payload is a proper part of another. ``catalog`` may be a
+    table made by :func:`payload_hashes` for ``hash``.
 
-    The choice is made on hashes and ``order`` alone; images are read again at
-    the end and are not shuffled as long as the chosen keys are small.
+    The choice is made on hashes and ``order`` alone. What is dropped, usually
+    little, then meets the images; they are not shuffled as long as it is small.
     """
-    sha = F.coalesce(payload_sha(F.col("binary")), F.lit(""))
-    hashed = batch.withColumn("_sha", sha).withColumn("_place", F.struct(*order))
-    places = hashed.groupBy("_sha", "_place").agg(F.count("*").alias("_copies"))
-    first = places.groupBy("_sha").agg(F.min(F.struct("_place", "_copies")).alias("_first"))
-    first = first.select("_sha", "_first.*")
+    hashed = batch.withColumn("_sha", payload_sha(F.col("binary"))).withColumn("_place", F.struct(*order))
+    known = hashed.filter(F.col("_sha").isNotNull())
+    places = known.groupBy("_sha", "_place").agg(F.count("*").alias("_copies"))
+    places = saved(places)
+    first = places.groupBy("_sha").agg(F.min("_place").alias("_place"))
     if how == "hash":
         seen = catalog if "payload_sha" in catalog.columns else payload_hashes(catalog)
-        seen = seen.select(F.col("payload_sha").alias("_sha")).distinct()
-        first = first.join(seen, "_sha", "left_anti")
+        held = seen.select(F.col("payload_sha").alias("_sha")).distinct()
     elif how == "exact":
-        asked = _rows_at(hashed, saved(first)).filter(F.col("binary").isNotNull())
+        asked = _rows_at(known, saved(first))
         payloads = asked.select(uri_payload(F.col("binary")).alias("payload"))
         found = containing_rows(catalog.select("binary"), "binary", payloads, slice_bytes)
-        if found is not None:
-            held = found.select(F.col("needle_id").alias("_sha")).distinct()
-            first = first.join(held, "_sha", "left_anti")
+        held = first.limit(0) if found is None else found.select(F.col("needle_id").alias("_sha")).distinct()
     else:
         raise ValueError(f"how must be 'hash' or 'exact', not {how!r}")
-    first = saved(first)
-    kept = _rows_at(hashed, first.filter("_copies = 1"))
-    copied = first.filter("_copies > 1")
-    if not copied.isEmpty():
+    # Kinds of rows by image and place: held by the catalog, or not the first, or several at the first.
+    held = held.select("_sha", F.lit(True).alias("_held"))
+    kinds = places.join(first.withColumnRenamed("_place", "_first"), "_sha").join(held, "_sha", "left")
+    dropped = F.col("_held").isNotNull() | (F.col("_place") != F.col("_first"))
+    kinds = saved(kinds.select("_sha", "_place", dropped.alias("_drop"), (F.col("_copies") > 1).alias("_several")))
+    special = broadcast_if_small(kinds.filter("_drop OR _several"))
+    kept = hashed.join(special.select("_sha", "_place"), ["_sha", "_place"], "left_anti")
+    kept = kept.select(*batch.columns)
+    several = kinds.filter("_several AND NOT _drop")
+    if not several.isEmpty():
         # The same image at the same place: any of the copies will do.
-        copies = _rows_at(hashed, copied).drop("_place")
-        kept = kept.drop("_place").unionByName(first_per_key(copies, ["_sha"], list(order)))
-    return kept.select(*batch.columns)
+        copies = _rows_at(hashed, several).select(*batch.columns, "_sha")
+        kept = kept.unionByName(first_per_key(copies, ["_sha"], list(order)).select(*batch.columns))
+    return kept
 
 
 def _rows_at(hashed: DataFrame, first: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagreef.functions.keyword import (
+    clean_keyword,
     compile_keyword,
     fixed_chars,
     keyword_regex,
@@ -64,7 +65,8 @@ def search_batch(
     """
     keywords = asked_keywords(requests)
     columns = ["keyword", *keep, image_text()]
-    few = [row[0] for row in keywords.limit(literal_keywords + 1).collect()]
+    both = keywords.select("keyword", clean_keyword(F.col("keyword")))
+    few = [tuple(row) for row in both.limit(literal_keywords + 1).collect()]
     if len(few) <= literal_keywords:
         return catalog.withColumn("keyword", F.explode(_literal_hits(few))).select(*columns)
 
@@ -87,21 +89,23 @@ def search_batch(
     return found.withColumnRenamed("needle", "keyword").select(*columns)
 
 
-def _literal_hits(keywords: list[str]) -> Column:
+def _literal_hits(keywords: list[tuple[str, str]]) -> Column:
     """Array of the keywords a row matches; the empty array without keywords.
 
+    A keyword comes with its cleaned form.
+
     One SQL expression: hundreds of tests built column by column would take the
     driver longer than many a search. The lambda names the text, so that it is
     computed once for all tests.
     """
-    tests = ", ".join(_literal_hit(keyword) for keyword in keywords)
+    tests = ", ".join(_literal_hit(keyword, clean) for keyword, clean in keywords)
     hits = f"array_compact(CAST(array({tests}) AS array<string>))"
     return F.expr(f"flatten(transform(array(features), t -> {hits}))")
 
 
-def _literal_hit(keyword: str) -> str:
+def _literal_hit(keyword: str, clean: str) -> str:
     """:func:`matches_keyword` on ``t`` in SQL, giving the keyword or NULL."""
-    pattern = pattern_of(keyword)
+    pattern = pattern_of(clean)
     tests = [f"contains(t, {_literal(char)})" for char in fixed_chars(pattern)]
     if pattern.strip("%"):
         tests.append(f"rlike(t, {_literal(compile_keyword(pattern))})")

@@ -19,16 +19,16 @@ from tagreef.operators.accounts import apply_profile_patches, apply_signups
 from tagreef.operators.extract import (
     Detector,
     TextReader,
-    detect_objects,
     joined_text,
+    label_reader,
     text_reader,
 )
-from tagreef.operators.labels import label_text
+from tagreef.operators.labels import known_translations, row_label_text
 from tagreef.operators.pages import download_manifest, extract_image_links, skip_existing
 from tagreef.operators.repeats import drop_repeats
 from tagreef.operators.search import search, search_request
-from tagreef.operators.sizes import broadcast_if_small
-from tagreef.shared import saved, scratch_path
+from tagreef.operators.sizes import BROADCAST_BYTES, table_bytes
+from tagreef.shared import saved
 from tagreef.sources.catalog import append_catalog, read_catalog
 from tagreef.sources.folders import read_image_folder
 from tagreef.sources.text_files import (
@@ -43,36 +43,36 @@ NAME_ERROR = 1001
 NAME_MESSAGE = "Only support .png .PNG .jpg .JPG .bmp .gif"
 TYPE_MESSAGE = "Unknown image type"
 
-# A search that hits more files than this reads the catalog in one pass.
+# A search that hits more files than this reads all of them in one pass.
 FEW_FILES = 10_000
 
 
-def search_catalog(spark: SparkSession, path: str, keyword: str) -> DataFrame:
-    """The images a keyword finds in a catalog."""
-    return search_request(read_catalog(spark, path), keyword)
-
-
-def search_tag_files(spark: SparkSession, path: str, keyword: str) -> DataFrame:
-    """The images a keyword finds in tag files."""
-    return search_request(tag_file_to_catalog(read_tag_file(spark, path)), keyword)
+def hit_files(catalog: DataFrame, keyword: str) -> DataFrame:
+    """``(file)``: files of a stored catalog with a hit; only the tags are read."""
+    hits = catalog.filter(matches_keyword(F.col("features"), keyword))
+    return hits.select(F.col("_metadata.file_path").alias("file")).distinct()
 
 
-def search_selective(spark: SparkSession, path: str, keyword: str) -> DataFrame:
-    """As :func:`search_catalog`, for a keyword that is expected to hit few files.
+def search_catalog(spark: SparkSession, path: str, keyword: str) -> DataFrame:
+    """The images a keyword finds in a catalog.
 
-    Almost all bytes of a catalog are images. This scans the tags alone first and
-    then reads images only from the files with a hit. A keyword that hits more
-    files than the driver should list is answered by the plain search.
+    Almost all bytes of a catalog are images. The tags alone are scanned first,
+    and then images are read from the files with a hit only. A keyword that hits
+    more files than the driver should list finds them in one pass over all; the
+    answer is the same.
     """
-    if keyword == "":
-        return search_catalog(spark, path, keyword)
     catalog = read_catalog(spark, path)
-    file = F.col("_metadata.file_path")
-    hits = catalog.filter(matches_keyword(F.col("features"), keyword))
-    files = [row[0] for row in hits.select(file).distinct().limit(FEW_FILES + 1).collect()]
+    if keyword == "":
+        return search_request(catalog, keyword)
+    files = [row[0] for row in hit_files(catalog, keyword).limit(FEW_FILES + 1).collect()]
     if len(files) > FEW_FILES:
         return search(catalog, keyword)
-    return search(catalog.filter(file.isin(files)), keyword)
+    return search(catalog.filter(F.col("_metadata.file_path").isin(files)), keyword)
+
+
+def search_tag_files(spark: SparkSession, path: str, keyword: str) -> DataFrame:
+    """The images a keyword finds in tag files."""
+    return search_request(tag_file_to_catalog(read_tag_file(spark, path)), keyword)
 
 
 def ingest_uploads(
@@ -85,7 +85,9 @@ def ingest_uploads(
 
     A refused name or an unknown image type ends an upload before its text is
     read. With ``seen`` (a catalog or its payload hashes), known images are left
-    out.
+    out. Rows have a fourth column ``error``: why a text could not be read, NULL
+    if it was. It is stored beside the catalog's columns; see
+    :func:`~tagreef.sources.catalog.read_errors`.
     """
     allowed = list(allowed)
     named = F.coalesce(is_upload_allowed(F.col("path"), allowed), F.lit(False))
@@ -109,7 +111,8 @@ def ingest_uploads(
     read = text_reader(reader, "all")
     features = upload_tag(joined_text(F.col("_read")))
     rows = images.withColumn("_read", read("content"))
-    return rows.select("path", features.alias("features"), "binary"), refused
+    error = F.col("_read.error").alias("error")
+    return rows.select("path", features.alias("features"), "binary", error), refused
 
 
 def store_uploads(
@@ -132,30 +135,52 @@ def index_images(
 ) -> tuple[DataFrame, DataFrame]:
     """``(name, content)`` images to ``(Image, Tag, Base64, error)`` rows, and refused names.
 
-    Found objects are saved to the shared folder before they are used: the
-    detector is the dear step and runs once per image, whatever is lost later.
+    Text and labels are found in the image's own row, so images of one name keep
+    apart and no image is joined or shuffled. Labels are translated by a map that
+    is sent to the rows; see :func:`_translation_map`. ``error`` tells the first
+    failure, of the reader or the detector.
     """
     typed = images.withColumn("_type", image_type(F.col("content")))
     refused = typed.filter(F.col("_type").isNull()).select("name")
     good = typed.filter(F.col("_type").isNotNull())
     read = text_reader(reader, "eng")
-    rows = good.withColumn("_read", read("content")).select(
+    rows = good.withColumn("_read", read("content"))
+    error, labels = F.col("_read.error"), F.lit("")
+    if detector is not None:
+        rows = rows.withColumn("_found", label_reader(detector)("content"))
+        error = F.coalesce(error, F.col("_found.error"))
+        translations = None
+        if dictionary is not None:
+            known = _translation_map(dictionary, good, detector)
+            rows = rows.crossJoin(F.broadcast(known))
+            translations = F.col("_translations")
+        labels = strip_tag(row_label_text(F.col("_found.labels"), translations))
+    tag = folder_tag(F.concat(joined_text(F.col("_read")), labels))
+    out = rows.select(
         F.col("name").alias("Image"),
-        joined_text(F.col("_read")).alias("_text"),
+        tag.alias("Tag"),
         data_uri(F.col("content"), F.col("_type")).alias("Base64"),
-        F.col("_read.error").alias("error"),
+        error.alias("error"),
     )
-    labels: Column = F.lit("")
-    if detector is not None:
-        found = detect_objects(good.withColumnRenamed("name", "path"), detector)
-        folder = scratch_path(images.sparkSession, "detections")
-        found.write.parquet(folder)
-        found = images.sparkSession.read.schema(found.schema).parquet(folder)
-        texts = saved(label_text(found, dictionary)).withColumnRenamed("path", "Image")
-        rows = rows.join(broadcast_if_small(texts), "Image", "left")
-        labels = F.coalesce(strip_tag(F.col("labels")), F.lit(""))
-    tag = folder_tag(F.concat("_text", labels))
-    return rows.select("Image", tag.alias("Tag"), "Base64", "error"), refused
+    return out, refused
+
+
+def _translation_map(dictionary: DataFrame, images: DataFrame, detector: Callable[[], Detector]) -> DataFrame:
+    """One row with a map of translations, of a checked size.
+
+    A dictionary beyond ``BROADCAST_BYTES`` is first cut to the words that the
+    detector finds in the images: it then runs twice, and a detector names no
+    more words than it has classes. If even these are too many, it is an error.
+    """
+    known = known_translations(dictionary)
+    if table_bytes(known) > BROADCAST_BYTES:
+        found = images.select(label_reader(detector)("content").alias("_found"))
+        words = found.select(F.explode("_found.labels").alias("name")).distinct()
+        known = saved(known.join(words, "name", "left_semi"))
+        if table_bytes(known) > BROADCAST_BYTES:
+            raise ValueError("too many translated words to send to every task")
+    entries = F.collect_list(F.struct("name", "translation"))
+    return known.agg(F.map_from_entries(entries).alias("_translations"))
 
 
 def index_folder(

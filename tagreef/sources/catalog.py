@@ -4,6 +4,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tagreef.functions.images import data_uri
 from tagreef.functions.text import upload_tag
@@ -15,14 +16,29 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CATALOG).option("recursiveFileLookup", "true").parquet(path)
 
 
+def read_errors(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, error)`` of the catalog rows whose text could not be read."""
+    schema = StructType([CATALOG["path"], StructField("error", StringType())])
+    rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    return rows.filter(F.col("error").isNotNull())
+
+
+def _stored_columns(rows: DataFrame) -> DataFrame:
+    """Catalog columns, and ``error`` where there is one: readers of the catalog skip it."""
+    return rows.select(*CATALOG.names, *(["error"] if "error" in rows.columns else []))
+
+
 def append_catalog(rows: DataFrame, path: str) -> None:
-    rows.select(*CATALOG.names).write.mode("append").parquet(path)
+    _stored_columns(rows).write.mode("append").parquet(path)
+
 
+def write_catalog_batch(rows: DataFrame, path: str, batch: str) -> None:
+    """Write one stream batch to its own sub-folder; the same batch again replaces it.
 
-def write_catalog_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Append one stream batch; writing the same batch again replaces it."""
-    target = f"{path}/batch-{batch_id:012d}"
-    rows.select(*CATALOG.names).write.mode("overwrite").parquet(target)
+    ``batch`` names the stream, the run of it and the number of the batch, see
+    :func:`~tagreef.streaming.streams.batch_name`.
+    """
+    _stored_columns(rows).write.mode("overwrite").parquet(f"{path}/{batch}")
 
 
 def compact_catalog(spark: SparkSession, path: str, target: str) -> None:

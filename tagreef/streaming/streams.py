@@ -1,9 +1,13 @@
 """Line, upload and request streams in fixed micro-batches.
 
-Each batch is written under a name made from its number, and writing it again
-replaces it, so a batch replayed after a failure adds no row twice.
+Each batch is written under the name of its stream, the id that the stream's
+checkpoint holds, and its number. Writing it again replaces it, so a batch
+replayed after a failure adds no row twice; another stream, or the same one begun
+anew with another checkpoint, never touches it.
 """
 
+import json
+import re
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tagreef.functions.images import UPLOAD_EXTENSIONS
 from tagreef.operators.extract import TextReader
+from tagreef.operators.repeats import payload_hashes, read_hashes
 from tagreef.operators.search import request_sizes, search_batch
 from tagreef.plans.jobs import ingest_uploads
 from tagreef.sources.catalog import read_catalog, write_catalog_batch
@@ -43,27 +48,52 @@ def run_batches(
     )
 
 
+def stream_run(spark: SparkSession, name: str, checkpoint: str) -> str:
+    """``name-<id>``: a stream and the run of it that a checkpoint belongs to.
+
+    Spark writes the id when it makes the checkpoint, before the first batch, and
+    keeps it over restarts.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_.-]*", name):
+        raise ValueError(f"a stream name is made of letters, digits, '.', '_' and '-': {name!r}")
+    held = spark.read.text(f"{checkpoint}/metadata").first()[0]
+    return f"{name}-{json.loads(held)['id']}"
+
+
+def batch_name(spark: SparkSession, name: str, checkpoint: str, batch_id: int) -> str:
+    """Folder of one batch of a run of a stream."""
+    return f"{stream_run(spark, name, checkpoint)}/batch-{batch_id:012d}"
+
+
 def save_batches_as_text(
     lines: DataFrame,
     prefix: str,
+    name: str,
     checkpoint: str,
     once: bool = False,
     start_ms: int = 0,
     seconds: int = BATCH_SECONDS,
 ) -> StreamingQuery:
-    """Each batch to its own text folder ``prefix-<ms>``.
+    """Each batch to a text folder ``prefix-<ms>/<name>-<id>``.
 
     ``ms`` is ``start_ms`` plus the batch number times the batch length. It does
-    not read the clock, so a replayed batch finds its old folder.
+    not read the clock, so a replayed batch finds its old folder. Read them with
+    :func:`read_batches_of_text`.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        target = f"{prefix}-{start_ms + batch_id * seconds * 1000}"
+        run = stream_run(batch.sparkSession, name, checkpoint)
+        target = f"{prefix}-{start_ms + batch_id * seconds * 1000}/{run}"
         batch.select("value").write.mode("overwrite").text(target)
 
     return run_batches(lines, save, checkpoint, once, seconds)
 
 
+def read_batches_of_text(spark: SparkSession, prefix: str) -> DataFrame:
+    """The lines of all batches of all streams under a prefix."""
+    return spark.read.option("recursiveFileLookup", "true").text(f"{prefix}-*")
+
+
 def preview(lines: DataFrame, n: int = 10, once: bool = False) -> StreamingQuery:
     """Print the head of each batch."""
     trigger = {"availableNow": True} if once else {"processingTime": f"{BATCH_SECONDS} seconds"}
@@ -85,61 +115,84 @@ def line_rows(lines: DataFrame) -> DataFrame:
 
 
 def ingest_lines(
-    lines: DataFrame, catalog_path: str, checkpoint: str, once: bool = False
+    lines: DataFrame,
+    catalog_path: str,
+    name: str,
+    checkpoint: str,
+    once: bool = False,
+    seconds: int = BATCH_SECONDS,
 ) -> StreamingQuery:
     """Append every line to a catalog."""
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        write_catalog_batch(line_rows(batch), catalog_path, batch_id)
+        folder = batch_name(batch.sparkSession, name, checkpoint, batch_id)
+        write_catalog_batch(line_rows(batch), catalog_path, folder)
 
-    return run_batches(lines, append, checkpoint, once)
+    return run_batches(lines, append, checkpoint, once, seconds)
 
 
 def ingest_upload_stream(
     uploads: DataFrame,
     catalog_path: str,
     refused_path: str,
+    name: str,
     checkpoint: str,
     reader: Callable[[], TextReader],
-    new_only: bool = False,
+    hashes_path: str | None = None,
     allowed: Iterable[str] = UPLOAD_EXTENSIONS,
     once: bool = False,
 ) -> StreamingQuery:
     """Uploads into a catalog as they come, refusals beside it.
 
-    ``new_only`` drops images the catalog holds. A replayed batch does not look
-    at its own earlier rows, or it would take every image for a repeat.
+    With ``hashes_path``, images whose hash is kept there are left out, and every
+    batch adds the hashes of its own: a batch never reads the catalog's images.
+    :func:`~tagreef.operators.repeats.payload_hashes` makes the first hashes of a
+    catalog that has rows. A replayed batch does not look at its own earlier
+    hashes, or it would take every image for a repeat; the hashes are written
+    from the rows that the catalog got.
     """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        folder = batch_name(spark, name, checkpoint, batch_id)
         seen = None
-        if new_only:
-            own = F.contains("_metadata.file_path", F.lit(f"/batch-{batch_id:012d}/"))
-            seen = read_catalog(batch.sparkSession, catalog_path).filter(~own)
+        if hashes_path is not None:
+            own = F.contains("_metadata.file_path", F.lit(f"/{folder}/"))
+            seen = read_hashes(spark, hashes_path).filter(~own)
         rows, refused = ingest_uploads(batch, reader, seen, allowed)
-        write_catalog_batch(rows, catalog_path, batch_id)
-        refused.write.mode("overwrite").parquet(f"{refused_path}/batch-{batch_id:012d}")
+        write_catalog_batch(rows, catalog_path, folder)
+        if hashes_path is not None:
+            written = read_catalog(spark, f"{catalog_path}/{folder}")
+            payload_hashes(written).write.mode("overwrite").parquet(f"{hashes_path}/{folder}")
+        refused.write.mode("overwrite").parquet(f"{refused_path}/{folder}")
 
     return run_batches(uploads, ingest, checkpoint, once)
 
 
 def search_stream(
-    requests: DataFrame, catalog_path: str, target: str, checkpoint: str, once: bool = False
+    requests: DataFrame,
+    catalog_path: str,
+    target: str,
+    name: str,
+    checkpoint: str,
+    once: bool = False,
 ) -> StreamingQuery:
     """Answer requests as they come, on the catalog as it is at each batch.
 
-    A batch writes the hits of its distinct keywords to ``target/hits`` and its
-    requests with their result sizes to ``target/requests``.
+    A batch writes the hits of its distinct keywords, ``(keyword, path)``, to
+    ``target/hits`` and its requests with their result sizes to
+    ``target/requests``. Images are not copied: a hit's image is in the catalog.
     """
 
     def answer(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        hits_path = f"{target}/hits/batch-{batch_id:012d}"
-        hits = search_batch(read_catalog(spark, catalog_path), batch, "path")
+        folder = batch_name(spark, name, checkpoint, batch_id)
+        hits_path = f"{target}/hits/{folder}"
+        hits = search_batch(read_catalog(spark, catalog_path), batch, "path").select("keyword", "path")
         hits.write.mode("overwrite").parquet(hits_path)
         written = spark.read.schema(hits.schema).parquet(hits_path)
         sizes = request_sizes(batch, written)
-        sizes.write.mode("overwrite").parquet(f"{target}/requests/batch-{batch_id:012d}")
+        sizes.write.mode("overwrite").parquet(f"{target}/requests/{folder}")
 
     return run_batches(requests, answer, checkpoint, once)
 

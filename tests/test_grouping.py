@@ -11,7 +11,7 @@ def test_index_has_no_gap(spark):
         F.when(F.col("id") % 7 != 0, F.col("id")).alias("n"),
         "id",
     )
-    numbered = with_index(rows, ["name", "n", "id"], "i", rows_per_bucket=100).orderBy("i").collect()
+    numbered = with_index(rows, ["name", "n", "id"], "i").orderBy("i").collect()
     assert [r["i"] for r in numbered] == list(range(5000))
     keys = [(r["name"], r["n"] if r["n"] is not None else -1, r["id"]) for r in numbered]
     assert keys == sorted(keys)
@@ -76,4 +76,6 @@ def test_merge_texts(spark):
         "path string, lang string, text string",
     )
     assert sorted(tuple(r) for r in merge_ocr_text(texts).collect()) == [("p", "AbBC"), ("q", "only")]
-    assert [tuple(r) for r in merge_ocr_text(texts, "deu").collect()] == [("p", "D")]
+    assert sorted(tuple(r) for r in merge_ocr_text(texts, "deu").collect()) == [("p", "D"), ("q", "")]
+    failed = spark.createDataFrame([("r", None, None), ("s", "eng", "b"), ("s", "eng", "a")], texts.schema)
+    assert sorted(tuple(r) for r in merge_ocr_text(failed).collect()) == [("r", ""), ("s", "ab")]

@@ -179,3 +179,34 @@ def test_plans(spark, tmp_path, catalog):
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
         assert "Python" not in plan
         assert "Exchange hashpartitioning" not in plan
+
+
+def test_all_letters_are_lowered_alike(spark):
+    """Every character, as Spark lowers it, is found by every way of search."""
+    codes = [c for c in range(0x20, 0x110000) if not 0xD800 <= c < 0xE000]
+    odd = [c for c in codes if chr(c).lower() != chr(c) or chr(c).upper() != chr(c)]
+    rows = spark.createDataFrame([(str(c), chr(c) + "y") for c in odd], "path string, text string")
+    catalog = rows.select("path", F.lower("text").alias("features"), F.lit("u").alias("binary"))
+    # Those that Python and Spark lower differently, and some that they do not.
+    lowered = {r["path"]: r["features"] for r in catalog.collect()}
+    differ = [c for c in odd if lowered[str(c)] != (chr(c) + "y").lower()]
+    asked = [chr(c) + "y" for c in differ + odd[:: len(odd) // 20]]
+    requests = spark.createDataFrame(list(enumerate(asked)), "request_id long, keyword string")
+    literal = hits(search_batch(catalog, requests, "path", literal_keywords=len(asked)))
+    assert hits(search_batch(catalog, requests, "path", literal_keywords=0)) == literal
+    assert {k for k, _ in literal} == set(asked)
+    for keyword in asked[:12]:
+        assert paths(search(catalog, keyword, "path")) == sorted(p for k, p in literal if k == keyword)
+
+
+def hits(df):
+    return {(r["keyword"], r["path"]) for r in df.collect()}
+
+
+def test_tags_alone_are_read_for_hits(spark, tmp_path, catalog):
+    path = str(tmp_path / "c")
+    catalog.write.parquet(path)
+    requests = spark.createDataFrame([(1, "ct"), (2, "dog")], "request_id long, keyword string")
+    found = search_batch(spark.read.parquet(path), requests, "path").select("keyword", "path")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema" in plan and "binary" not in plan

@@ -71,3 +71,23 @@ def test_no_nested_loop(spark):
     asked = spark.range(10).select(F.col("id").cast("string").alias("payload"))
     plan = is_new(index, asked)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("how", ["hash", "exact"])
+def test_rows_without_an_image_stay(spark, how):
+    rows = [("a", None), ("b", None), ("c", "data:image/png;base64,QUJD"), ("d", "data:image/png;base64,QUJD")]
+    batch = spark.createDataFrame([(p, "f", b) for p, b in rows], "path string, features string, binary string")
+    kept = drop_repeats(batch, batch.limit(0), how)
+    assert sorted(r["path"] for r in kept.collect()) == ["a", "b", "c"]
+    held = batch.filter("path = 'd'")
+    assert sorted(r["path"] for r in drop_repeats(batch, held, how).collect()) == ["a", "b"]
+
+
+def test_images_are_not_shuffled(spark, tmp_path):
+    path = str(tmp_path / "c")
+    spark.range(50).selectExpr("string(id) AS path", "'f' AS features", "concat('data:x,', id % 40) AS binary").write.parquet(path)
+    batch = spark.read.parquet(path)
+    kept = drop_repeats(batch, batch.limit(0))
+    assert kept.count() == 40
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan

@@ -4,11 +4,12 @@ from datetime import datetime
 import pytest
 from pyspark import cloudpickle
 
+from tagreef.operators.search import search_request
 from tagreef.plans.jobs import (
+    hit_files,
     index_folder,
     list_folder,
     search_catalog,
-    search_selective,
     search_tag_files,
     store_uploads,
 )
@@ -17,6 +18,7 @@ from tagreef.sources.catalog import (
     append_catalog,
     compact_catalog,
     read_catalog,
+    read_errors,
     union_catalogs,
     upload_rows,
     write_catalog_batch,
@@ -34,10 +36,10 @@ PNG = b"\x89PNG\r\n\x1a\n"
 
 
 def reader():
-    def read(content, lang):
-        if b"broken" in content:
+    def read(images, lang):
+        if any(b"broken" in image for image in images):
             raise ValueError("no text")
-        return content[len(PNG):].decode("utf-8") if lang == "eng" else ""
+        return [image[len(PNG):].decode("utf-8") if lang == "eng" else "" for image in images]
 
     return read
 
@@ -81,15 +83,17 @@ def test_catalog_parts_and_compaction(spark, tmp_path):
     append_catalog(rows, path)
     append_catalog(rows, path)
     for _ in range(2):  # a replayed batch
-        write_catalog_batch(rows.limit(1), path, 3)
+        write_catalog_batch(rows.limit(1), path, "lines-1/batch-3")
     assert read_catalog(spark, path).count() == 5
     compact_catalog(spark, path, str(tmp_path / "d"))
     assert sorted(map(str, read_catalog(spark, str(tmp_path / "d")).collect())) == sorted(
         map(str, read_catalog(spark, path).collect())
     )
     for keyword in ("ct", "zzz", "", "og"):
-        plain = sorted(r[0] for r in search_catalog(spark, path, keyword).collect())
-        assert sorted(r[0] for r in search_selective(spark, path, keyword).collect()) == plain
+        plain = sorted(r[0] for r in search_request(read_catalog(spark, path), keyword).collect())
+        assert sorted(r[0] for r in search_catalog(spark, path, keyword).collect()) == plain
+    plan = hit_files(read_catalog(spark, path), "ct")._jdf.queryExecution().executedPlan().toString()
+    assert "binary" not in plan
     assert union_catalogs(rows, rows.drop("features")).count() == 4
 
 
@@ -117,7 +121,7 @@ def test_folder_scan(spark, folder):
 
 
 def detector():
-    return lambda content: ["dog", "person"] if b"Hello" in content else []
+    return lambda images: [["dog", "person"] if b"Hello" in image else [] for image in images]
 
 
 def test_folder_index(spark, folder, tmp_path):
@@ -155,6 +159,9 @@ def test_uploads(spark, tmp_path):
     ]
     rows = read_catalog(spark, str(tmp_path / "c")).collect()
     assert sorted((r["path"], r["features"]) for r in rows) == [("a.png", "abc"), ("d.bmp", "NoTag")]
+    assert [tuple(r) for r in read_errors(spark, str(tmp_path / "c")).collect()] == [
+        ("d.bmp", "ValueError: no text")
+    ]
 
 
 def test_accounts_table(spark, tmp_path):

@@ -1,8 +1,11 @@
 import sys
+from datetime import datetime
 
+import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from tagreef.operators.repeats import payload_hashes
 from tagreef.schema import CATALOG, REQUESTS
 from tagreef.sources.catalog import append_catalog, read_catalog
 from tagreef.sources.folders import stream_image_folder
@@ -12,6 +15,7 @@ from tagreef.streaming.streams import (
     ingest_upload_stream,
     line_stream,
     preview,
+    read_batches_of_text,
     save_batches_as_text,
     search_stream,
     slice_batches,
@@ -33,9 +37,9 @@ def test_lines_to_text_folders(spark, tmp_path):
     def run():
         lines = line_stream(spark, "text", path=str(tmp_path / "in"), maxFilesPerTrigger="2")
         save_batches_as_text(
-            lines, str(tmp_path / "out"), str(tmp_path / "ckpt"), once=True
+            lines, str(tmp_path / "out"), "lines", str(tmp_path / "ckpt"), once=True
         ).awaitTermination()
-        return sorted(r[0] for r in spark.read.text(f"{tmp_path}/out-*").collect())
+        return sorted(r[0] for r in read_batches_of_text(spark, f"{tmp_path}/out").collect())
 
     assert run() == [f"base64xxxx{i}" for i in range(1, 6)]
     assert sorted(p.name for p in tmp_path.glob("out-*")) == ["out-0", "out-10000", "out-5000"]
@@ -50,7 +54,7 @@ def test_lines_to_catalog(spark, tmp_path):
     append_catalog(spark.createDataFrame([("p", "cat", "u")], CATALOG), catalog)
     for _ in range(2):
         lines = line_stream(spark, "text", path=str(tmp_path / "in"))
-        ingest_lines(lines, catalog, str(tmp_path / "ckpt"), once=True).awaitTermination()
+        ingest_lines(lines, catalog, "lines", str(tmp_path / "ckpt"), once=True).awaitTermination()
     rows = read_catalog(spark, catalog).filter("path = 'fromStreaming'").collect()
     assert sorted(r["binary"] for r in rows) == ["base64xxxx1", "base64xxxx2", "base64xxxx3"]
     assert all(r["features"] is None for r in rows)
@@ -62,32 +66,81 @@ def test_preview_runs(spark, tmp_path):
 
 
 def reader():
-    return lambda content, lang: content[len(PNG):].decode() if lang == "eng" else ""
+    return lambda images, lang: [i[len(PNG):].decode() if lang == "eng" else "" for i in images]
+
+
+def lose_commits(checkpoint):
+    """Leave a checkpoint as a driver does that ends between a batch and its commit."""
+    for file in (checkpoint / "commits").iterdir():
+        file.unlink()
+
+
+def test_a_replayed_batch_replaces_itself_only(spark, tmp_path):
+    send(tmp_path / "in", 1, 3)
+    catalog, checkpoint = str(tmp_path / "c"), tmp_path / "ckpt"
+
+    def run(name, checkpoint):
+        lines = line_stream(spark, "text", path=str(tmp_path / "in"))
+        ingest_lines(lines, catalog, name, str(checkpoint), once=True).awaitTermination()
+        return sorted(r["binary"][-1] for r in read_catalog(spark, catalog).collect())
+
+    assert run("a", checkpoint) == ["1", "2", "3"]
+    lose_commits(checkpoint)
+    assert run("a", checkpoint) == ["1", "2", "3"]
+    # Another stream, and the same one begun anew: nothing of the old is lost.
+    assert run("b", tmp_path / "other") == ["1", "1", "2", "2", "3", "3"]
+    send(tmp_path / "in", 4, 4)
+    assert run("a", tmp_path / "anew") == sorted("123" * 3 + "4")
+    with pytest.raises(Exception, match="stream name"):
+        run("a/b", tmp_path / "bad")
+
+
+def test_batches_on_a_clock(spark, tmp_path):
+    """The usual trigger: batches go on until the stream is stopped."""
+    send(tmp_path / "in", 1, 1)
+    lines = line_stream(spark, "text", path=str(tmp_path / "in"))
+    query = ingest_lines(lines, str(tmp_path / "c"), "lines", str(tmp_path / "ckpt"))
+    assert query.lastProgress is None or query.isActive
+    query.processAllAvailable()
+    send(tmp_path / "in", 2, 2)
+    query.processAllAvailable()
+    query.stop()
+    assert sorted(r["binary"] for r in read_catalog(spark, str(tmp_path / "c")).collect()) == [
+        "base64xxxx1", "base64xxxx2",
+    ]
+    starts = [datetime.fromisoformat(p["timestamp"]).second for p in query.recentProgress if p["numInputRows"]]
+    assert len(starts) == 2 and starts[-1] % 5 == 0
 
 
 def test_upload_stream(spark, tmp_path):
-    folder, catalog = tmp_path / "in", str(tmp_path / "c")
+    folder, catalog, hashes = tmp_path / "in", str(tmp_path / "c"), str(tmp_path / "h")
     folder.mkdir()
-    append_catalog(spark.createDataFrame([], CATALOG), catalog)
+    held = spark.createDataFrame([("old.png", "old", "data:image/png;base64,iVBORw0KGgpPbGQ=")], CATALOG)
+    append_catalog(held, catalog)
+    payload_hashes(held).write.parquet(hashes)
     (folder / "a.png").write_bytes(PNG + b"One")
     (folder / "b.png").write_bytes(PNG + b"One")
     (folder / "c.txt").write_bytes(PNG)
 
     def run(checkpoint):
         ingest_upload_stream(
-            stream_image_folder(spark, str(folder)), catalog, str(tmp_path / "no"),
-            str(tmp_path / checkpoint), reader, new_only=True, once=True,
+            stream_image_folder(spark, str(folder)), catalog, str(tmp_path / "no"), "uploads",
+            str(tmp_path / checkpoint), reader, hashes_path=hashes, once=True,
         ).awaitTermination()
-        return sorted((r["path"], r["features"]) for r in read_catalog(spark, catalog).collect())
+        rows = read_catalog(spark, catalog).filter("path <> 'old.png'").collect()
+        return sorted((r["path"], r["features"]) for r in rows)
 
     assert run("ckpt") == [("a.png", "one")]
-    # The same batch again, as after a lost commit: its own rows are no repeats.
-    assert run("lost") == [("a.png", "one")]
+    # The same batch again, its commit lost: its own rows are no repeats.
+    lose_commits(tmp_path / "ckpt")
+    assert run("ckpt") == [("a.png", "one")]
     (folder / "d.png").write_bytes(PNG + b"Two")
     (folder / "e.png").write_bytes(PNG + b"One")
     assert run("ckpt") == [("a.png", "one"), ("d.png", "two")]
+    # Begun anew, the stream finds every image there.
+    assert run("anew") == [("a.png", "one"), ("d.png", "two")]
     refused = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "no"))
-    assert [r["path"] for r in refused.collect()] == ["c.txt"]
+    assert [r["path"] for r in refused.collect()] == ["c.txt", "c.txt"]
 
 
 def test_search_stream_sees_new_rows(spark, tmp_path):
@@ -98,7 +151,7 @@ def test_search_stream_sees_new_rows(spark, tmp_path):
         spark.createDataFrame(rows, REQUESTS).coalesce(1).write.mode("append").parquet(asked)
         search_stream(
             spark.readStream.schema(REQUESTS).parquet(asked), catalog, str(tmp_path / "out"),
-            str(tmp_path / "ckpt"), once=True,
+            "asked", str(tmp_path / "ckpt"), once=True,
         ).awaitTermination()
         answers = spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/out/requests")
         return {r["request_id"]: r["n_hits"] for r in answers.collect()}
