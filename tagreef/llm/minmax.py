@@ -22,6 +22,8 @@ from tagreef.llm.words import PLAIN, Words, mixed, powers, span_sums, word_piece
 #: Bands of ``ROWS`` values each: a link at 0.8 escapes all bands with odds of 3e-6.
 BANDS, ROWS = 32, 5
 PERMUTATIONS = BANDS * ROWS // 2
+#: Sides of a block of classes that are compared with one another.
+OUTSIDERS, MEMBERS = 512, 4096
 
 _rng = np.random.default_rng(7)
 _MASKS = _rng.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64)
@@ -67,7 +69,8 @@ def band_keys(signs: np.ndarray) -> np.ndarray:
 
 
 def _describe(docs: DataFrame, doc_id: str, text: str, size: int, lower: bool) -> DataFrame:
-    """(id, n, key, bands): size and digest of the shingle set, band keys; null without a set."""
+    """(id, n, key, bands, sign): size and digest of the shingle set, band keys and the
+    last byte of every signature value; null without a set."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,61 +79,145 @@ def _describe(docs: DataFrame, doc_id: str, text: str, size: int, lower: bool) -
                 full = np.diff(cuts) > 0
                 keys: list[bytes | None] = [None] * (high - low)
                 bands: list[np.ndarray | None] = [None] * (high - low)
+                bytes_: list[bytes | None] = [None] * (high - low)
                 if full.any():
-                    found = iter(band_keys(signatures(hashes, cuts)))
-                    for k in np.flatnonzero(full).tolist():
+                    signs = signatures(hashes, cuts)
+                    found = zip(band_keys(signs), mixed(signs).astype(np.uint8))
+                    for k, (own, last) in zip(np.flatnonzero(full).tolist(), found):
                         keys[k] = hashlib.blake2b(hashes[cuts[k] : cuts[k + 1]], digest_size=16).digest()
-                        bands[k] = next(found)
+                        bands[k], bytes_[k] = own, last.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[low:high],
                         pa.array(np.diff(cuts), pa.int64()),
                         pa.array(keys, pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
+                        pa.array(bytes_, pa.binary()),
                     ],
-                    ["id", "n", "key", "bands"],
+                    ["id", "n", "key", "bands", "sign"],
                 )
 
     columns = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    return columns.mapInArrow(describe, "id long, n long, key binary, bands array<long>")
+    return columns.mapInArrow(describe, "id long, n long, key binary, bands array<long>, sign binary")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, size: int, lower: bool) -> DataFrame:
-    """(id, hashes): shingle sets of the wanted ids, as bytes of sorted 64-bit hashes."""
+    """(id, hashes, brief): shingle sets of the wanted ids, as bytes of sorted 64-bit hashes,
+    and of the last 16 bits of each."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, words in word_pieces(batch.column(1), PLAIN, lower):
                 hashes, cuts = shingle_sets(words, size)
                 whole = [hashes[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+                brief = [hashes[a:b].astype(np.uint16).tobytes() for a, b in zip(cuts, cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[low:high], pa.array(whole, pa.binary())], ["id", "hashes"]
+                    [batch.column(0)[low:high], pa.array(whole, pa.binary()), pa.array(brief, pa.binary())],
+                    ["id", "hashes", "brief"],
                 )
 
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    found = texts.join(wanted, "id", "left_semi").mapInArrow(sets, "id long, hashes binary")
+    found = texts.join(wanted, "id", "left_semi").mapInArrow(sets, "id long, hashes binary, brief binary")
     return found.dropDuplicates(["id"])
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets share ``percent`` of their union."""
+def _tested(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, shared, united): sizes of the intersection and the union of each pair's sets."""
 
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, mine = None, np.zeros(0, np.uint64)
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            for k, (b, x, y) in enumerate(zip(batch.column(1), batch.column(2), batch.column(3))):
-                if b.as_py() != last:
-                    last, mine = b.as_py(), np.frombuffer(y.as_buffer(), np.uint64)
+            shared, united = [], []
+            for b, x, y in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                if b != last:
+                    last, mine = b, np.frombuffer(y.as_buffer(), np.uint64)
                 other = np.frombuffer(x.as_buffer(), np.uint64)
-                shared = len(np.intersect1d(mine, other, assume_unique=True))
-                keep[k] = 100 * shared >= percent * (len(mine) + len(other) - shared)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+                shared.append(len(np.intersect1d(mine, other, assume_unique=True)))
+                united.append(len(mine) + len(other) - shared[-1])
+            arrays = [batch.column(0), batch.column(1), pa.array(shared, pa.int64()), pa.array(united, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "shared", "united"])
 
     left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("y"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return both.mapInArrow(confirm, "a long, b long")
+    return both.mapInArrow(test, "a long, b long, shared long, united long")
+
+
+def _is_link(percent: int):
+    return 100 * F.col("shared") >= percent * F.col("united")
+
+
+def _crossed(placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a band's classes in different components, one outside the head's, that may be links.
+
+    Outsiders and members meet in blocks of bounded size. A pair goes on if
+    neither the sizes of the sets, nor their distances from the head (Jaccard
+    distance obeys the triangle inequality), nor their signatures, by six
+    standard deviations, rule a link out, and if 16 bits of each shingle leave
+    room for one: equal shingles have equal bits, so these never count too few.
+    """
+    band = placed.groupBy("band").agg(
+        F.count("*").alias("m"), F.count(F.when(F.col("of") != F.col("head"), 1)).alias("o")
+    )
+    rows = placed.join(band.filter("o > 0"), "band")
+    parts_o, parts_m = F.ceil(F.col("o") / OUTSIDERS).cast("int"), F.ceil(F.col("m") / MEMBERS).cast("int")
+    own_o, own_m = (F.pmod(F.xxhash64("a"), n).cast("int") for n in (parts_o, parts_m))
+    fields = ["a", "na", "of", "far", "sign", "brief"]
+    left = rows.filter("of <> head").select(
+        "band", own_o.alias("i"), F.explode(F.sequence(F.lit(0), parts_m - 1)).alias("j"), F.lit(True).alias("out"), *fields
+    )
+    right = rows.select(
+        "band", F.explode(F.sequence(F.lit(0), parts_o - 1)).alias("i"), own_m.alias("j"), F.lit(False).alias("out"), *fields
+    )
+    blocks = left.unionAll(right).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    share = percent / 100
+    agree = (share - 6 * (share * (1 - share) / (2 * PERMUTATIONS)) ** 0.5) * 2 * PERMUTATIONS
+    reach = 1 - share + 1e-9
+
+    def block_pairs(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        out = np.asarray(block.column("out"))
+        a, na, of, far = (block.column(c).to_numpy() for c in ("a", "na", "of", "far"))
+        signs = np.frombuffer(b"".join(block.column("sign").to_pylist()), np.uint8).reshape(len(a), -1)
+        mine, others = np.flatnonzero(out), np.flatnonzero(~out)
+        brief = [np.frombuffer(x, np.uint16) for x in block.column("brief").to_pylist()]
+        sizes = np.array([len(x) for x in brief])
+        holds, found = np.zeros(1 << 16, bool), []
+        for x in mine.tolist():
+            y = others[(of[others] != of[x]) & (sizes[others] > 0)]
+            small, large = np.minimum(na[y], na[x]), np.maximum(na[y], na[x])
+            y = y[(100 * small >= percent * large) & ~(np.abs(far[y] - far[x]) > reach)]
+            y = y[(signs[y] == signs[x]).sum(1) >= agree] if len(y) else y
+            if len(y):
+                holds[brief[x]] = True
+                hits = holds[np.concatenate([brief[k] for k in y.tolist()])]
+                shared = np.add.reduceat(hits.astype(np.int64), np.cumsum(sizes[y]) - sizes[y])
+                holds[brief[x]] = False
+                y = y[100 * shared >= percent * (sizes[y] + sizes[x] - shared)]
+            found.append(np.column_stack([np.full(len(y), a[x]), a[y]]))
+        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+        return pairs.max(1, initial=0), pairs.min(1, initial=1 << 62)
+
+    def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def done(part: pa.Table) -> pa.RecordBatch:
+            a, b = block_pairs(part)
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        last = None
+        for batch in batches:
+            key = np.column_stack([batch.column(c).to_numpy() for c in ("band", "i", "j")])
+            cuts = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
+            for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)]):
+                if held and tuple(key[low]) != last:
+                    yield done(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(low, high - low))
+                last = tuple(key[low])
+        if held:
+            yield done(pa.Table.from_batches(held))
+
+    return blocks.mapInArrow(cross, "a long, b long").distinct()
 
 
 def _similar_sizes(percent: int):
@@ -158,13 +245,13 @@ def near_duplicates(
 
     Equal sets are one class, and classes meet in bands: every class of a band
     is compared with its least one, by full sets. Classes that are not in that
-    one's component by then are compared with all the others of the band outside
-    their own component, so that nothing proposed by a band stays undecided.
+    one's component by then meet all the others of the band outside their own component,
+    so that nothing proposed by a band stays undecided.
     """
     described = stored(_describe(docs, doc_id, text, size, lower), "shingles")
     full = described.filter("key IS NOT NULL AND id IS NOT NULL")
     classes = full.groupBy("key").agg(F.min("id").alias("class"))
-    member = stored(full.join(classes, "key").select("id", "class", "n", "bands"), "members")
+    member = stored(full.join(classes, "key").select("id", "class", "n", "bands", "sign"), "members")
 
     bands = member.filter("id = class").select(F.explode("bands").alias("band"), F.col("class").alias("a"), "n")
     heads = bands.groupBy("band").agg(F.min(F.struct("a", "n")).alias("head"), F.max("a").alias("last"))
@@ -175,22 +262,24 @@ def near_duplicates(
     first = met.filter(F.col("a") != F.col("b")).filter(_similar_sizes(percent)).select("a", "b").distinct()
     wanted = met.select(F.col("a").alias("id")).distinct()
     sets = stored(_sets(docs, wanted, doc_id, text, size, lower), "sets")
-    links = stored(_confirmed(first, sets, percent), "links")
-    linked = components(links)
+    tested = stored(_tested(first, sets), "tested")
+    linked = components(tested.filter(_is_link(percent)))
 
     # Second pass: what the least class of a band did not settle.
     of = linked.withColumnRenamed("id", "a").withColumnRenamed("component", "of")
     placed = met.join(of, "a", "left").withColumn("of", F.coalesce("of", "a"))
     head = of.withColumnRenamed("a", "b").withColumnRenamed("of", "head")
     placed = placed.join(head, "b", "left").withColumn("head", F.coalesce("head", "b"))
-    placed = stored(placed.select("band", "a", "na", "of", "b", "head"), "placed")
-    outside = placed.filter("of <> head").select(
-        "band", "a", "na", "of", F.col("b").alias("tested"),
+    open_ = placed.filter("of <> head").select("band").distinct()
+    placed = placed.join(open_, "band", "left_semi")
+    far = tested.select("a", "b", (1 - F.col("shared") / F.col("united")).alias("far"))
+    placed = placed.join(far, ["a", "b"], "left").withColumn(
+        "far", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("far"))
     )
-    others = placed.select("band", F.col("a").alias("b"), F.col("na").alias("nb"), F.col("of").alias("its"))
-    second = outside.join(others, "band").filter("of <> its AND b <> tested").filter(_similar_sizes(percent))
-    second = second.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    more = stored(_confirmed(second, sets, percent), "links")
+    signs = member.filter("id = class").select(F.col("class").alias("a"), "sign").dropDuplicates(["a"])
+    briefs = sets.select(F.col("id").alias("a"), "brief")
+    placed = stored(placed.join(signs, "a").join(briefs, "a"), "placed")
+    more = _tested(_crossed(placed, percent), sets).filter(_is_link(percent)).select("a", "b")
     final = components(linked.select(F.col("id").alias("a"), F.col("component").alias("b")).unionAll(more))
 
     reached = member.select("id", "class").distinct().join(final.withColumnRenamed("id", "class"), "class", "left")
