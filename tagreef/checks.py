@@ -109,11 +109,17 @@ def documents_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_catalog_rows(docs, kind="png")
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
 def stored_catalog(spark: SparkSession, sf_dir: str) -> str:
-    """The same catalog written as a search finds it; returns its path."""
-    path = scratch_path(spark, "catalog")
-    append_catalog(documents_catalog(spark, sf_dir), path)
-    return path
+    """The same catalog written as a search finds it, once per application; its path."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        path = scratch_path(spark, "catalog")
+        append_catalog(documents_catalog(spark, sf_dir), path)
+        _STORED[key] = path
+    return _STORED[key]
 
 
 SPACE_SQL = (

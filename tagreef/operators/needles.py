@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagreef.operators.sizes import BROADCAST_BYTES, table_bytes
+from tagreef.operators.sizes import BROADCAST_BYTES, broadcast_if_small, table_bytes
 from tagreef.shared import saved
 
 SLICE_BYTES = BROADCAST_BYTES
@@ -69,6 +69,9 @@ def match_needles(
             for part in _slices(distinct_keys, "_key", n)
         ]
     )
+    # One row per key: small for characters, so that a key that most needles hold
+    # gathers in no task; where it is large, adaptive execution splits such a key.
+    counts = broadcast_if_small(saved(counts))
     # A key that no row holds has no count: its needles match nothing.
     rarest = F.min(F.struct("count", "_key", "_filed")).alias("_best")
     filed = (

@@ -1,5 +1,7 @@
 """Images that are already in an index."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -17,6 +19,9 @@ PIECE_STARTS = "[bkv]"
 PIECE_LENGTH = 24
 PIECES_PER_PAYLOAD = 8
 
+# Up to this many payloads without a piece are literal tests of one scan.
+LITERAL_PAYLOADS = 200
+
 
 def _pieces(text: Column) -> Column:
     """Distinct pieces of a text, overlapping ones too (the regex is a look-ahead)."""
@@ -31,34 +36,53 @@ def containing_rows(
     in it; ``needle_id`` is the payload's SHA-256.
 
     Every piece of a payload is a piece of each text around it, so a payload is
-    filed under its rarest one. A payload without a piece (a short one) is filed
-    under its rarest character; the empty payload is in every row.
+    filed under its rarest one. Payloads without a piece (short ones) are literal
+    tests; many of them are filed under their rarest character, and only then are
+    texts split into characters. The empty payload is in every row.
     """
     text = F.col(column)
+    index = index.filter(text.isNotNull())
     pieces = _pieces(F.col("needle"))
     # Any part of the pieces will do as keys; the smallest hashes are a fair draw.
     hashed = F.transform(pieces, lambda p: F.struct(F.xxhash64(p).alias("h"), p.alias("p")))
     drawn = F.transform(F.slice(F.array_sort(hashed), 1, PIECES_PER_PAYLOAD), lambda d: d["p"])
-    nothing = F.array(F.lit(""))
-    chars = F.when(F.col("needle") == "", nothing).otherwise(
-        F.array_distinct(F.split("needle", ""))
-    )
     needles = saved(
         payloads.select(F.col("payload").alias("needle")).filter(F.col("needle").isNotNull())
         .distinct()
     )
-    row_keys = _pieces(text)
-    if not needles.filter(F.size(pieces) == 0).isEmpty():
-        row_keys = F.concat(row_keys, F.array_distinct(F.split(text, "")), nothing)
-    found = match_needles(
-        index.filter(text.isNotNull()),
+    long = match_needles(
+        index,
+        needles.filter(F.size(pieces) > 0),
+        row_keys=_pieces(text),
+        needle_keys=drawn,
+        verify=F.contains(text, F.col("needle")),
+        slice_bytes=slice_bytes,
+    )
+    short = _short_matches(index, text, needles.filter(F.size(pieces) == 0), slice_bytes)
+    parts = [part for part in (long, short) if part is not None]
+    if not parts:
+        return None
+    return reduce(DataFrame.unionByName, parts).withColumnRenamed("needle", "payload")
+
+
+def _short_matches(index: DataFrame, text: Column, needles: DataFrame, slice_bytes: int) -> DataFrame | None:
+    few = [row["needle"] for row in needles.limit(LITERAL_PAYLOADS + 1).collect()]
+    if not few:
+        return None
+    if len(few) <= LITERAL_PAYLOADS:
+        tests = [F.when(F.contains(text, F.lit(needle)), F.lit(needle)) for needle in few]
+        found = index.withColumn("needle", F.explode(F.array_compact(F.array(*tests))))
+        return found.withColumn("needle_id", F.sha2("needle", 256))
+    nothing = F.array(F.lit(""))
+    chars = F.array_distinct(F.split("needle", ""))
+    return match_needles(
+        index,
         needles,
-        row_keys=row_keys,
-        needle_keys=F.when(F.size(pieces) > 0, drawn).otherwise(chars),
+        row_keys=F.concat(F.array_distinct(F.split(text, "")), nothing),
+        needle_keys=F.when(F.col("needle") == "", nothing).otherwise(chars),
         verify=F.contains(text, F.col("needle")),
         slice_bytes=slice_bytes,
     )
-    return None if found is None else found.withColumnRenamed("needle", "payload")
 
 
 def is_new(
