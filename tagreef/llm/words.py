@@ -2,7 +2,8 @@
 
 A word is a maximal run of bytes that a table of 256 flags marks; texts never
 run into each other. Work goes in pieces of whole texts of about ``PIECE_BYTES``,
-so that memory is bounded by the piece or by the longest text.
+and of ``PIECE_TEXTS`` texts at most, so that memory is bounded by the piece or by
+the longest text.
 """
 
 from collections.abc import Iterator
@@ -12,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 PIECE_BYTES = 1 << 21
+PIECE_TEXTS = 1 << 13
 
 # An odd base and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -113,6 +115,7 @@ def pieces(column: pa.Array, size: int = PIECE_BYTES) -> Iterator[tuple[int, int
     low = 0
     while low < len(cuts) - 1:
         high = max(low + 1, int(np.searchsorted(cuts, cuts[low] + size, "right")) - 1)
+        high = min(high, low + PIECE_TEXTS)
         yield low, high, raw[cuts[low] : cuts[high]], cuts[low : high + 1] - cuts[low]
         low = high
 
@@ -148,13 +151,3 @@ def spans_of(lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     before = np.cumsum(lengths) - lengths
     return np.arange(lengths.sum()) - np.repeat(before, lengths)
-
-
-def slices(batch: pa.RecordBatch, column: str, size: int = 8 * PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """A batch in runs of rows whose texts have about ``size`` bytes."""
-    _, cuts = text_bytes(batch.column(column))
-    low = 0
-    while low < batch.num_rows:
-        high = max(low + 1, int(np.searchsorted(cuts, cuts[low] + size, "right")) - 1)
-        yield batch.slice(low, high - low)
-        low = high
