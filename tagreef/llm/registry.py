@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagreef.llm import decontaminate as contamination
+from tagreef.llm import oracle
 from tagreef.llm.embeddings import near_vectors
 from tagreef.llm.hmm import score_texts
 from tagreef.llm.minmax import near_duplicates
@@ -41,7 +42,7 @@ def register(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-@register()
+@register(oracle.DECONTAMINATION)
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = contamination.find_benchmark_spans(docs, table(spark, sf_dir, "benchmark"))
@@ -56,12 +57,12 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
-@register()
+@register(oracle.NEAR_DUPLICATES)
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
-@register()
+@register(oracle.SUBSTRING_DEDUP)
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), form="words")
     digest = F.sha2(F.encode("text", "UTF-8"), 256)
@@ -148,6 +149,6 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.join(written.select("path", "doc", "doc_id"), ["path", "doc"]).select("doc_id", "n_tokens")
 
 
-@register()
+@register(oracle.NEAR_VECTORS)
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
