@@ -22,9 +22,9 @@ from pyspark.sql import types as T
 from tagreef.llm.words import INVERSE, BASE, mixed, pieces as text_pieces, powers, span_sums, spans_of
 
 #: Bytes of text whose distinct words are worked out together.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 2 << 20
 #: Most cells (words x positions x piece lengths) of one matrix, unless one word has more.
-CELLS = 1 << 22
+CELLS = 1 << 20
 
 BLANK, MARK = 0x20, 0x2581
 #: Stands for a mark that the text itself holds; no piece has it.

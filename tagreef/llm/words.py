@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 19
 PIECE_TEXTS = 1 << 13
 
 # An odd base and its inverse modulo 2**64.
