@@ -126,10 +126,13 @@ def _cells(matches: DataFrame) -> DataFrame:
             row, source, begin, end = (np.repeat(x, parts) for x in (row, source, there, there + n))
             cell = begin // CELL + k
             begin, end = np.maximum(begin, cell * CELL), np.minimum(end, (cell + 1) * CELL)
+            # A word or line said over and over asks for the same few cells each time.
+            block = np.asarray(batch.column("block")).astype(np.int64)[row]
+            asked = np.unique(np.column_stack([block, source, begin, end - begin]), axis=0)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("block").take(pa.array(row)), pa.array(source),
-                    pa.array(begin.astype(np.int32)), pa.array((end - begin).astype(np.int32)),
+                    pa.array(asked[:, 0].astype(np.int32)), pa.array(asked[:, 1]),
+                    pa.array(asked[:, 2].astype(np.int32)), pa.array(asked[:, 3].astype(np.int32)),
                 ],
                 ["block", "source", "start", "n"],
             )
