@@ -36,7 +36,12 @@ ADDED = ("n_words", "n_removed", "spans")
 
 
 def seed_runs(words: Words, size: int) -> tuple[np.ndarray, ...]:
-    """(seed, run, text, start, n): n windows from start on that share a seed's place."""
+    """(seed, run, text, start, n): n windows from start on that share a seed's place.
+
+    Of equal runs in one text the first two stand for all: the first may be the
+    earliest of all texts, the second then asks for its passage, and the
+    automaton finds every further one.
+    """
     at, _ = words.windows(size)
     if not len(at):
         none = np.zeros(0, np.int64)
@@ -57,6 +62,12 @@ def seed_runs(words: Words, size: int) -> tuple[np.ndarray, ...]:
     start, seed = at[cut], grams[anchor[cut]].view(np.int64)
     text = np.searchsorted(words.first, start, "right") - 1
     run = span_sums(words.hashes, start, start + n + size - 1).view(np.int64)
+    order = np.lexsort((start, run, seed, text))
+    third = np.zeros(len(order), bool)
+    third[2:] = True
+    for part in (text, seed, run):
+        third[2:] &= part[order][2:] == part[order][:-2]
+    seed, run, text, start, n = (part[order[~third]] for part in (seed, run, text, start, n))
     return seed, run, text, start - words.first[text], n
 
 
