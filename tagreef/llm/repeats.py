@@ -38,9 +38,7 @@ ADDED = ("n_words", "n_removed", "spans")
 def seed_runs(words: Words, size: int) -> tuple[np.ndarray, ...]:
     """(seed, run, text, start, n): n windows from start on that share a seed's place.
 
-    Of equal runs in one text the first two stand for all: the first may be the
-    earliest of all texts, the second then asks for its passage, and the
-    automaton finds every further one.
+    Equal runs of a text follow one another, in the order of their starts.
     """
     at, _ = words.windows(size)
     if not len(at):
@@ -63,28 +61,38 @@ def seed_runs(words: Words, size: int) -> tuple[np.ndarray, ...]:
     text = np.searchsorted(words.first, start, "right") - 1
     run = span_sums(words.hashes, start, start + n + size - 1).view(np.int64)
     order = np.lexsort((start, run, seed, text))
-    third = np.zeros(len(order), bool)
-    third[2:] = True
-    for part in (text, seed, run):
-        third[2:] &= part[order][2:] == part[order][:-2]
-    seed, run, text, start, n = (part[order[~third]] for part in (seed, run, text, start, n))
+    seed, run, text, start, n = (part[order] for part in (seed, run, text, start, n))
     return seed, run, text, start - words.first[text], n
 
 
 def _seeds(docs: DataFrame, size: int) -> DataFrame:
+    """(seed, run, id, start, more, n): equal runs of a text are one row.
+
+    ``start`` is the first of them, ``more`` holds the starts of all others, null if none.
+    """
+
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, _, words in word_pieces(batch.column("text")):
                 seed, run, text, start, n = seed_runs(words, size)
+                fresh = np.ones(len(seed), bool)
+                fresh[1:] = (text[1:] != text[:-1]) | (seed[1:] != seed[:-1]) | (run[1:] != run[:-1])
+                others = np.diff(np.append(np.flatnonzero(fresh), len(fresh))) - 1
+                more = pa.ListArray.from_arrays(
+                    pa.array(np.append(0, np.cumsum(others)).astype(np.int32)),
+                    pa.array(start[~fresh].astype(np.int32)),
+                    mask=pa.array(others == 0),
+                )
+                seed, run, text, start, n = (part[fresh] for part in (seed, run, text, start, n))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(seed), pa.array(run), batch.column("id").take(pa.array(low + text)),
-                        pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)),
+                        pa.array(start.astype(np.int32)), more, pa.array(n.astype(np.int32)),
                     ],
-                    ["seed", "run", "id", "start", "n"],
+                    ["seed", "run", "id", "start", "more", "n"],
                 )
 
-    return docs.mapInArrow(seeds, "seed long, run long, id long, start int, n int")
+    return docs.mapInArrow(seeds, "seed long, run long, id long, start int, more array<int>, n int")
 
 
 def _windows(docs: DataFrame, size: int) -> DataFrame:
@@ -122,6 +130,13 @@ def _cells(matches: DataFrame) -> DataFrame:
             row = np.repeat(np.arange(len(held)), np.asarray(held.value_lengths()))
             flat = held.flatten()
             start, n, source, there = (np.asarray(flat.field(k)).astype(np.int64) for k in range(4))
+            # Every place of a run asks, but for the one asked for.
+            more = flat.field(4)
+            again = np.repeat(np.arange(len(row)), np.asarray(more.value_lengths().fill_null(0)))
+            start = np.concatenate([start, np.asarray(more.flatten()).astype(np.int64)])
+            row, n, source, there = (np.concatenate([x, x[again]]) for x in (row, n, source, there))
+            copy = (np.asarray(batch.column("id"))[row] != source) | (start != there)
+            row, start, n, source, there = (x[copy] for x in (row, start, n, source, there))
             order = np.lexsort((start, row))
             row, start, n, source, there = (x[order] for x in (row, start, n, source, there))
             fresh = np.ones(len(row), bool)
@@ -268,7 +283,8 @@ def remove_repeats(
     blocks = block_count(docs, text)
 
     seeds = _seeds(slim, size)
-    again = seeds.groupBy("seed").agg(F.count("*").alias("times")).filter("times > 1").select("seed")
+    again = seeds.groupBy("seed").agg((F.count("*") + F.count("more")).alias("times"))
+    again = again.filter("times > 1").select("seed")
     again = stored(seeds.join(again, "seed", "left_semi"), "seeds")
     runs = again.groupBy("seed", "run").agg(F.min(F.struct("id", "start")).alias("first"), F.min("n").alias("n"))
     runs = stored(runs, "runs")
@@ -281,15 +297,15 @@ def remove_repeats(
     firsts = firsts.filter("times > 1").select("window", "first")
 
     place = F.struct("id", "start")
-    copies = again.select("seed", "run", "id", "start").join(runs, ["seed", "run"]).filter(place != F.col("first"))
-    copies = copies.select("id", "start", "n", F.col("first.id").alias("source"), F.col("first.start").alias("there"))
+    source, there = F.col("first.id").alias("source"), F.col("first.start").alias("there")
+    copies = again.select("seed", "run", "id", "start", "more").join(runs, ["seed", "run"])
+    copies = copies.filter((place != F.col("first")) | F.col("more").isNotNull())
+    copies = copies.select("id", "start", "n", source, there, "more")
     single = windows.join(firsts, "window").filter(place != F.col("first"))
-    single = single.select(
-        "id", "start", F.lit(1).alias("n"), F.col("first.id").alias("source"), F.col("first.start").alias("there")
-    )
+    single = single.select("id", "start", F.lit(1).alias("n"), source, there, F.lit(None).cast("array<int>").alias("more"))
     matches = copies.unionAll(single).groupBy("id")
-    matches = matches.agg(F.collect_list(F.struct("start", "n", "source", "there")).alias("matches"))
-    matches = matches.select(block_of("id", blocks).alias("block"), "matches")
+    matches = matches.agg(F.collect_list(F.struct("start", "n", "source", "there", "more")).alias("matches"))
+    matches = matches.select(block_of("id", blocks).alias("block"), "id", "matches")
     cells = stored(_cells(matches), "cells")
 
     asked = cells.select("source", "start", "n").distinct().groupBy("source")

@@ -65,3 +65,23 @@ def test_text_form_and_edges(spark, docs_of):
     assert next(r[2:4] for r in found if r[0] == 7) == (20020, 20019)
     assert all(r[4:] == ("s", 1) for r in found)
     assert remove_repeats(docs_of(docs).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("length", [60, 100, 300])
+def test_third_copy_of_a_part(spark, docs_of, length):
+    """The second copy asks for more than the third holds: W P X Q W P X R V P Y."""
+
+    def fresh(name, n):
+        return [f"{name}{k}" for k in range(n)]
+
+    docs = []
+    for doc_id, shift in ((1, 0), (2, 17), (3, 41)):
+        own = f"d{doc_id}"
+        w, p, x = fresh(own + "w", 30 + shift), fresh(own + "p", length), fresh(own + "x", 30)
+        text = w + p + x + fresh(own + "q", 25) + w + p + x + fresh(own + "r", 25)
+        docs.append((doc_id, " ".join(text + fresh(own + "v", 30) + p + fresh(own + "y", 30))))
+    # Later copies in another document: a whole one, then twice the shared part.
+    docs.append((4, " ".join(text + fresh("a", 25) + p + fresh("b", 25) + p + fresh("c", 25) + p)))
+    found = expected(docs)
+    assert all(found[doc_id][1] >= 2 * length + 60 for doc_id in (1, 2, 3))
+    assert rows(remove_repeats(docs_of(docs), form="words")) == found
