@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tagreef.llm.components import components
 from tagreef.llm.tables import stored
 from tagreef.llm.words import PLAIN, Words, mixed, powers, span_sums, word_pieces
+from tagreef.operators.numbering import with_index
 
 #: Bands of ``ROWS`` values each: a link at 0.8 escapes all bands with odds of 3e-6.
 BANDS, ROWS = 32, 5
@@ -225,6 +226,48 @@ def _similar_sizes(percent: int):
     return 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
 
 
+def _ids_repeat(docs: DataFrame, doc_id: str) -> bool:
+    ids = docs.select(F.col(doc_id).cast("long").alias("id")).filter("id IS NOT NULL")
+    return bool(ids.groupBy("id").agg(F.count("*").alias("rows")).filter("rows > 1").take(1))
+
+
+def _digest(text: str):
+    return F.coalesce(F.sha2(F.encode(text, "UTF-8"), 256), F.lit(""))
+
+
+def _numbered(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(number, id, text) rows, and (id, digest, number): a number for each text of each id.
+
+    Numbers rise with the ids, so the least number of a group has its least id.
+    """
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).filter("id IS NOT NULL")
+    rows = rows.withColumn("digest", _digest("text"))
+    numbers = stored(with_index(rows.select("id", "digest").distinct(), ["id", "digest"], "number"), "numbers")
+    return stored(rows.join(numbers, ["id", "digest"]).select("number", "id", "text"), "numbered"), numbers
+
+
+def first_of_groups(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80
+) -> DataFrame:
+    """One row of ``docs`` of each group of near duplicates, and every row with a null id.
+
+    It is the row with the least id. Where ids repeat, every text is a document
+    of its own: of a group's texts under its least id the one with the least
+    SHA-256 stays, and of rows equal in id and text the least by all columns.
+    """
+    named, columns = docs.filter(F.col(doc_id).isNotNull()), docs.columns
+    if not _ids_repeat(docs, doc_id):
+        found = _unique_near_duplicates(named, doc_id, text, size, percent, True).filter("kept")
+        named = named.join(found.select(F.col("doc_id").alias(doc_id)), doc_id, "left_semi")
+        return named.select(*columns).unionAll(docs.filter(F.col(doc_id).isNull()))
+    rows, numbers = _numbered(docs, doc_id, text)
+    found = _unique_near_duplicates(rows, "number", "text", size, percent, True).filter("kept")
+    kept = numbers.join(found.select(F.col("doc_id").alias("number")), "number", "left_semi").select("id", "digest")
+    named = named.select(F.col(doc_id).cast("long").alias("id"), _digest(text).alias("digest"), F.struct(*columns).alias("row"))
+    named = named.join(kept, ["id", "digest"], "left_semi").groupBy("id", "digest").agg(F.min("row").alias("row"))
+    return named.select("row.*").unionAll(docs.filter(F.col(doc_id).isNull()))
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -242,6 +285,27 @@ def near_duplicates(
     texts have no set and link with nothing. Rows that share an id take the
     least component that any of them has; a row with a null id links with
     nothing, has a null component and is kept. Other columns play no part.
+    """
+    if not _ids_repeat(docs, doc_id):
+        return _unique_near_duplicates(docs, doc_id, text, size, percent, lower)
+    rows, numbers = _numbered(docs, doc_id, text)
+    found = stored(_unique_near_duplicates(rows, "number", "text", size, percent, lower), "numbered-found")
+    found = found.select(F.col("doc_id").alias("number"), "n_shingles", F.col("component_id").alias("least"))
+    least = numbers.select(F.col("number").alias("least"), F.col("id").alias("component_id"))
+    found = stored(found.join(numbers.select("number", "id"), "number").join(least, "least"), "found")
+    reached = found.groupBy("id").agg(F.min("component_id").alias("component_id"))
+    out = found.select("id", "n_shingles").join(reached, "id")
+    out = out.select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("component_id") == F.col("id")).alias("kept")
+    )
+    null = docs.filter(F.col(doc_id).cast("long").isNull())
+    return out.unionAll(_unique_near_duplicates(null, doc_id, text, size, percent, lower))
+
+
+def _unique_near_duplicates(
+    docs: DataFrame, doc_id: str, text: str, size: int, percent: int, lower: bool
+) -> DataFrame:
+    """As :func:`near_duplicates`, where rows that share an id have one text.
 
     Equal sets are one class, and classes meet in bands: every class of a band
     is compared with its least one, by full sets. Classes that are not in that
@@ -284,7 +348,6 @@ def near_duplicates(
 
     reached = member.select("id", "class").distinct().join(final.withColumnRenamed("id", "class"), "class", "left")
     reached = reached.select("id", F.coalesce("component", "class").alias("component"))
-    # Rows that share an id may be of several classes.
     reached = reached.groupBy("id").agg(F.min("component").alias("component"))
     out = described.select("id", "n").join(reached, "id", "left")
     component = F.coalesce("component", "id")

@@ -60,3 +60,17 @@ def test_votes_are_unbiased():
     signs = signatures(np.concatenate([mine, other]), np.array([0, 900, 1800]))
     agree = (signs[0] == signs[1]).mean()
     assert abs(agree - 0.5) < 3 * 0.5 / (2 * PERMUTATIONS) ** 0.5
+
+
+def test_several_texts_of_one_id(spark, docs_of):
+    """Every text of an id proposes links, whichever of its rows comes first."""
+    rng = random.Random(5)
+    a, b, c, d = ([f"{name}{k}" for k in range(120)] for name in "abcd")
+    docs = [(50, " ".join(x)) for x in (a, b, c, d)] + [(50, " ".join(a))]
+    docs += [(9, edited(a, rng, 2)), (60, edited(b, rng, 2)), (61, edited(c, rng, 2)), (62, edited(d, rng, 2))]
+    docs += [(None, " ".join(a)), (63, "alone"), (63, None)]
+    found = sorted(near_duplicates(docs_of(docs)).collect(), key=lambda r: (r[0] or 0, r[1]))
+    want = {None: None, 9: 9, 50: 9, 60: 50, 61: 50, 62: 50, 63: 63}
+    assert [(r.doc_id, r.component_id) for r in found] == [(k, want[k]) for k in sorted((x[0] for x in docs), key=lambda k: k or 0)]
+    assert all(r.kept == (r.doc_id == r.component_id or r.doc_id is None) for r in found)
+    assert [r.n_shingles for r in found if r.doc_id == 50] == [116] * 5
