@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagreef.llm import decontaminate as contamination
-from tagreef.llm.minmax import near_duplicates
+from tagreef.llm.minmax import first_of_groups
 from tagreef.llm.pieces import encode_texts
 from tagreef.llm.quality import fit_quality
 from tagreef.llm.registry import PIECES
@@ -32,10 +32,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the least id."""
-    found = near_duplicates(docs, size=5, percent=80).filter("kept AND doc_id IS NOT NULL").select("doc_id")
-    named = docs.filter("doc_id IS NOT NULL").join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionAll(docs.filter("doc_id IS NULL"))
+    """One document of each group of near duplicates: the one with the least id.
+
+    Texts that share an id are documents of their own; see :func:`first_of_groups`.
+    """
+    return first_of_groups(docs, size=5, percent=80)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -55,3 +55,14 @@ def test_stages_keep_columns_and_odd_rows(spark):
     assert ids == [0, 0, 1, 2, 3]
     for name, f in corpus_pipeline.STAGES:
         assert f(spark, docs.limit(0), SF_DIR).count() == 0, name
+
+
+def test_near_dedup_keeps_each_text_of_an_id(spark):
+    """Only near copies go, not other texts under an id; of equal texts the least row stays."""
+    near = " ".join(f"n{k}" for k in range(100))
+    rows = [(3, "one text", "en", "s", 8), (3, "other words", "en", "s", 11), (3, "one text", "de", "s", 8),
+            (7, near, "en", "s", 1), (7, near + " more", "en", "s", 1), (8, near, "en", "s", 1), (8, "free", "en", "s", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = [tuple(r) for r in dict(corpus_pipeline.STAGES)["MinHash near-dedup"](spark, docs, SF_DIR).collect()]
+    assert sorted(r for r in found if r[0] != 7) == [rows[2], rows[1], rows[6]]
+    assert [r[0] for r in found].count(7) == 1
