@@ -49,3 +49,41 @@ NEAR_VECTORS = """WITH RECURSIVE vectors AS MATERIALIZED (SELECT vec_id, label,
  reach(vec_id, other) AS (SELECT vec_id, vec_id FROM vectors UNION SELECT r.vec_id, l.b FROM reach AS r JOIN links AS l ON r.other = l.a),
  least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
  SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM least"""
+
+#: CRC-32 of a text's bytes, by its defining shifts.
+CRC32 = """xor(list_reduce(list_concat([4294967295], list_transform(range(1, len({0}) + 1), lambda k: CAST(ascii(substr({0}, k, 1)) AS BIGINT))),
+     lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)),
+     lambda c, step: xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
+
+
+def _field(column: str) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({text}) || ':' || {text} END"
+
+
+def _leaf(*columns: str) -> str:
+    return f"sha256({' || '.join(map(_field, columns))})"
+
+
+MANIFEST = f"""WITH RECURSIVE leaves AS MATERIALIZED (SELECT doc_id, coalesce('=' || lang, '') AS name,
+     {_leaf('doc_id', 'source', 'lang', 'n_chars', 'text')} AS leaf,
+     CASE WHEN {CRC32.format('CAST(doc_id AS VARCHAR)')} % 7 = 0 THEN {_leaf('doc_id', 'source', 'lang', '(n_chars + 1)', 'text')} END AS changed FROM documents),
+ placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY name ORDER BY doc_id, leaf) - 1 AS spot, count(*) OVER (PARTITION BY name) AS n FROM leaves),
+ nodes(name, level, spot, n, digest) AS (SELECT name, 0, spot, n, leaf FROM placed
+     UNION ALL SELECT name, level + 1, spot // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY spot)) FROM nodes WHERE n > 1
+     GROUP BY name, level, spot // 2, (n + 1) // 2),
+ subroots AS MATERIALIZED (SELECT name, digest, row_number() OVER (ORDER BY encode(name)) - 1 AS spot, count(*) OVER () AS n FROM nodes WHERE n = 1),
+ crown(level, spot, n, digest) AS (SELECT 0, spot, n, digest FROM subroots
+     UNION ALL SELECT level + 1, spot // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY spot)) FROM crown WHERE n > 1
+     GROUP BY level, spot // 2, (n + 1) // 2),
+ low AS MATERIALIZED (SELECT * FROM nodes), high AS MATERIALIZED (SELECT * FROM crown),
+ climbs(doc_id, name, leaf, level, spot, n, digest, proof) AS (SELECT doc_id, name, leaf, 0, spot, n, coalesce(changed, leaf), '' FROM placed
+     UNION ALL SELECT c.doc_id, c.name, c.leaf, c.level + 1, c.spot // 2, (c.n + 1) // 2,
+       sha256(CASE WHEN c.spot % 2 = 1 THEN coalesce(o.digest, '') || c.digest ELSE c.digest || coalesce(o.digest, '') END), c.proof || coalesce(o.digest, '')
+     FROM climbs AS c LEFT JOIN low AS o ON o.name = c.name AND o.level = c.level AND o.spot = xor(c.spot, 1) WHERE c.n > 1),
+ ends(doc_id, leaf, subroot, level, spot, n, digest, proof) AS (SELECT doc_id, leaf, s.digest, 0, s.spot, s.n, c.digest, proof FROM climbs AS c JOIN subroots AS s ON c.name = s.name WHERE c.n = 1
+     UNION ALL SELECT c.doc_id, c.leaf, c.subroot, c.level + 1, c.spot // 2, (c.n + 1) // 2,
+       sha256(CASE WHEN c.spot % 2 = 1 THEN coalesce(o.digest, '') || c.digest ELSE c.digest || coalesce(o.digest, '') END), c.proof || coalesce(o.digest, '')
+     FROM ends AS c LEFT JOIN high AS o ON o.level = c.level AND o.spot = xor(c.spot, 1) WHERE c.n > 1)
+ SELECT doc_id, leaf, subroot, r.digest AS root, sha256(proof) AS proof_sha256, e.digest AS folded_root, e.digest = r.digest AS verified
+ FROM ends AS e, (SELECT digest FROM crown WHERE n = 1) AS r WHERE e.n = 1"""

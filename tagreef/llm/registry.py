@@ -10,6 +10,7 @@ from tagreef.llm import decontaminate as contamination
 from tagreef.llm import oracle
 from tagreef.llm.embeddings import near_vectors
 from tagreef.llm.hmm import score_texts
+from tagreef.llm.manifest import leaf_of, merkle_manifest
 from tagreef.llm.minmax import near_duplicates
 from tagreef.llm.pieces import decode_ids, encode_texts
 from tagreef.llm.quality import fit_quality
@@ -152,3 +153,15 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(oracle.NEAR_VECTORS)
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+LEAF = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+@register(oracle.MANIFEST)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest of all documents; where 7 divides an id's checksum, ``n_chars`` has been tampered with."""
+    docs = table(spark, sf_dir, "documents").select(*LEAF)
+    changed = (F.col(c) + 1 if c == "n_chars" else F.col(c) for c in LEAF)
+    tampered = F.col("doc_id").isNotNull() & (remainder("doc_id", 7) == 0)
+    return merkle_manifest(docs, leaf_of(*map(F.col, LEAF)), F.when(tampered, leaf_of(*changed)))
