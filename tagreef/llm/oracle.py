@@ -87,3 +87,16 @@ MANIFEST = f"""WITH RECURSIVE leaves AS MATERIALIZED (SELECT doc_id, coalesce('=
      FROM ends AS c LEFT JOIN high AS o ON o.level = c.level AND o.spot = xor(c.spot, 1) WHERE c.n > 1)
  SELECT doc_id, leaf, subroot, r.digest AS root, sha256(proof) AS proof_sha256, e.digest AS folded_root, e.digest = r.digest AS verified
  FROM ends AS e, (SELECT digest FROM crown WHERE n = 1) AS r WHERE e.n = 1"""
+
+HARD_NEGATIVES = """WITH valid AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+     list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+     WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ scored AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+     FROM valid AS a JOIN valid AS b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+ positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+     row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM scored WHERE same),
+ ranked AS (SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+     vec_id AS negative_id, positive_score, score AS negative_score
+     FROM positives AS p JOIN scored AS s ON p.anchor_id = s.anchor_id AND NOT same AND place <= 5
+     AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+ SELECT * FROM ranked WHERE rank <= 3"""

@@ -12,9 +12,11 @@ from tagreef.llm.embeddings import near_vectors
 from tagreef.llm.hmm import score_texts
 from tagreef.llm.manifest import leaf_of, merkle_manifest
 from tagreef.llm.minmax import near_duplicates
+from tagreef.llm.negatives import mine_negatives
 from tagreef.llm.pieces import decode_ids, encode_texts
 from tagreef.llm.quality import fit_quality
 from tagreef.llm.repeats import remove_repeats
+from tagreef.llm.rules import COUNTS, apply_rules, fit_rules
 from tagreef.llm.tables import remainder, table
 from tagreef.llm.tokens import count_tokens, token_ranks, write_token_files
 from tagreef.llm.toxicity import fit_toxicity
@@ -165,3 +167,19 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = (F.col(c) + 1 if c == "n_chars" else F.col(c) for c in LEAF)
     tampered = F.col("doc_id").isNotNull() & (remainder("doc_id", 7) == 0)
     return merkle_manifest(docs, leaf_of(*map(F.col, LEAF)), F.when(tampered, leaf_of(*changed)))
+
+
+@register()
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_rules(docs, table(spark, sf_dir, "labels"), F.lit(True))
+    judged = apply_rules(docs, model)
+    return judged.select("doc_id", *COUNTS, "base_failed", "kept", "probability")
+
+
+@register(oracle.HARD_NEGATIVES)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector; labels of every seventh are wrong on purpose."""
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", wrong)
+    return mine_negatives(rows, F.col("vec_id") % 50 == 0)
