@@ -1,7 +1,10 @@
 """Stored intermediates and counts that the operators share."""
 
 import gc
+from collections.abc import Callable
+from typing import TypeVar
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,20 @@ from tagreef.shared import scratch_path
 BLOCK_BYTES = 8 << 20
 
 
+Value = TypeVar("Value")
+
+
+def sent(spark: SparkSession, value: Value) -> Callable[[], Value]:
+    """A broadcast of an object of this package's own classes.
+
+    Broadcasts name classes, which the workers would have to import; here the bytes
+    of the object hold its class, so that workers need no copy of the package. The
+    returned function loads it: call it once per task.
+    """
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(held.value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,7 +5,7 @@ import pytest
 import sentencepiece
 from brute import SF_DIR
 
-from tagreef.llm.pieces import PieceModel, decode_ids, encode_texts
+from tagreef.llm.pieces import DECODED, PieceModel, decode_ids, encode_texts, merged
 from tagreef.llm.registry import PIECES, QUERIES
 
 TEXTS = [
@@ -20,49 +20,76 @@ def model():
 
 
 @pytest.fixture(scope="module")
-def table():
-    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
-    ids = [k for k in range(sp.get_piece_size()) if not (sp.is_byte(k) or sp.is_control(k) or sp.is_unknown(k))]
-    return {sp.id_to_piece(k).replace("▁", " "): (k, sp.get_score(k)) for k in ids}, min(sp.get_score(k) for k in ids)
-
-
-def brute(text, table):
-    """Best cut by a table over all positions, one text at a time."""
-    pieces, lowest = table
-    if not text:
-        return []
-    text = (" " + text).replace("▁", "\udfff")
-    best = [(0.0, None, None)] + [(-float("inf"), None, None)] * len(text)
-    for j in range(1, len(text) + 1):
-        for i in range(max(0, j - 16), j):
-            found = pieces.get(text[i:j])
-            if found is None and j - i == 1:
-                found = (-1, 2 * lowest - 10)
-            if found and best[i][0] + found[1] > best[j][0]:
-                best[j] = (best[i][0] + found[1], i, found[0])
-    out, j = [], len(text)
-    while j:
-        _, i, k = best[j]
-        raw = text[i:j].replace("\udfff", "▁").encode() if k < 0 else b""
-        out[:0] = [k] if k >= 0 else [3 + b for b in raw]
-        j = i
-    return out
-
-
-def test_cuts_equal_brute_force(model, table):
-    rng = random.Random(4)
-    letters = "the anowrdéß ,.\n▁日"
-    texts = TEXTS + ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(300)]
-    ids, cuts = model.encode([None, *texts])
-    got = [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:])]
-    assert got == [[], *(brute(t, table) for t in texts)]
-    assert model.decode(ids, cuts) == ["", *texts]
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PIECES)
 
 
-def test_documents(model, table, documents):
-    texts = [t for _, t in documents[:40]]
+def coded(model, texts):
     ids, cuts = model.encode(texts)
-    assert [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:])] == [brute(t, table) for t in texts]
+    assert model.decode(ids, cuts) == [t or "" for t in texts]
+    return [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:])]
+
+
+def test_ids_are_the_librarys(model, library):
+    rng = random.Random(4)
+    letters = "the anowrdéß ,.\n\t日😀0123"
+    texts = [t for t in TEXTS if "▁" not in t]
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randrange(90))) for _ in range(600)]
+    texts += ["a" * k + " " * (k % 23) + "ab" * (k % 7) for k in range(60)]
+    assert coded(model, [None, *texts]) == [[], *(library.encode(t) for t in texts)]
+
+
+def test_ids_of_documents(model, library, spark):
+    """Also in small groups, in which other words advance together."""
+    docs = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/documents.parquet")
+    texts = [r.text for r in docs.select("text").collect()]
+    expected = [library.encode(t) for t in texts]
+    assert coded(model, texts) == expected
+    assert [coded(model, [t])[0] for t in texts[:60]] == expected[:60]
+
+
+def test_marks_of_the_text_itself_survive(model):
+    """The library takes them for blanks; here they are their bytes."""
+    coded(model, ["▁", " ▁ ▁▁"])
+    ids, _ = model.encode(["a▁b"])
+    assert [int(k) for k in ids if k in model.byte_ids] == model.byte_ids[list("▁".encode())].tolist()
+
+
+def test_pairs_apart_against_merging(model, library):
+    """The undoing of merges against merging the pair's characters."""
+    rng = np.random.default_rng(3)
+    words = {w: k for k in range(library.get_piece_size()) if not library.is_byte(k) for w in [library.id_to_piece(k).replace("▁", " ")]}
+    order = {w: int(-library.get_score(k)) for w, k in words.items() if len(w) > 1 and not library.is_control(k) and not library.is_unknown(k)}
+    names = [w for w in words if w in order or len(w) == 1]
+    pairs = [(names[a], names[b]) for a, b in rng.integers(0, len(names), (1500, 2))]
+    # Neighbours that make a piece, or nearly.
+    pairs += [(w[:k], w[k:]) for w in list(order)[:3000:7] for k in range(1, len(w)) if w[:k] in words and w[k:] in words]
+    pairs += [(w[:k] , w[k:] + v) for w, v in zip(list(order)[:900:3], names[300:600]) for k in range(1, len(w)) if w[:k] in words and w[k:] + v in words]
+    left, right = (np.array([words[p[i]] for p in pairs]) for i in (0, 1))
+    expected = [merged(a + b, order)[0] == [a, b] for a, b in pairs]
+    assert 200 < sum(expected) < len(pairs) - 200
+    assert model.apart(left, right).tolist() == expected
+    assert model.apart(left, right).tolist() == expected  # from what is kept
+
+
+def test_other_models_are_refused(tmp_path, monkeypatch, library):
+    class Changed:
+        def __init__(self, model_file):
+            pass
+
+        def __getattr__(self, name):
+            return getattr(library, name)
+
+        def get_score(self, k):
+            return -float(k * 7919 % 32003)
+
+    monkeypatch.setattr(sentencepiece, "SentencePieceProcessor", Changed)
+    with pytest.raises(ValueError, match="no order of merges"):
+        PieceModel.load(PIECES)
+    monkeypatch.setattr(Changed, "get_score", lambda self, k: library.get_score(k))
+    monkeypatch.setattr(Changed, "decode", lambda self, ids: library.decode(ids).strip(), raising=False)
+    with pytest.raises(ValueError, match="changes texts"):
+        PieceModel.load(PIECES)
 
 
 def test_query_round_trip(spark, documents):
@@ -81,8 +108,20 @@ def test_edges(spark, docs_of):
     assert encode_texts(docs.limit(0), PIECES).count() == 0
 
 
-def test_a_very_long_word(model):
-    text = "ab" * 200_000
-    ids, cuts = model.encode([text])
-    assert model.decode(ids, cuts) == [text]
-    assert np.diff(cuts)[0] < len(text)
+def test_a_very_long_word(model, library):
+    text = "ab" * 50_000
+    assert coded(model, [text]) == [library.encode(text)]
+
+
+def test_decoding_in_runs(spark, model):
+    """Texts longer than a run, runs that end within a batch, nulls among them."""
+    texts = ["x y " * DECODED, None, "", *(f"doc {k} é" for k in range(5000)), "z " * (DECODED // 2), "last"]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string").coalesce(1)
+    back = decode_ids(encode_texts(rows, PIECES).drop("text"), PIECES).collect()
+    assert [r.text for r in sorted(back)] == texts
+
+
+def test_unknown_ids_are_an_error(spark):
+    for ids in ([32000], [-1]):
+        with pytest.raises(Exception, match="an id that the model does not have"):
+            decode_ids(spark.createDataFrame([(ids,)], "ids array<int>"), PIECES).collect()
