@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagreef.llm.tables import stored
-from tagreef.llm.words import ALNUM, Words, word_pieces
+from tagreef.llm.tables import own_names, sent, stored
+from tagreef.llm.words import ALNUM, Words, spans_of, word_pieces
 
 NGRAM = 13
-#: Most bytes of item texts that one pass over the documents holds.
-SLICE_BYTES = 32 << 20
+#: Most bytes of item texts that one pass over the documents holds. A word has a byte
+#: and a gap at least, and a window 32 bytes in the table: 17 bytes a byte at most.
+SLICE_BYTES = 8 << 20
 
 HITS = T.StructType(
     [
@@ -25,46 +26,76 @@ HITS = T.StructType(
 
 
 class Grams:
-    """Windows of items by length: sorted hashes, and by hash the words and items."""
+    """Windows of items: by length sorted hashes, and for each the bytes of its words and its item.
+
+    The items' words stand once, one blank apart, in ``data``; a window is a range of
+    it. Of equal windows of one item the first is held.
+    """
 
     def __init__(self, items: list[tuple[int, str]], size: int):
-        found: dict[int, dict[int, dict[bytes, set[int]]]] = {}
-        ids = [item for item, _ in items]
+        ids = np.array([item for item, _ in items], np.int64)
+        texts, rows, offset = [], {}, 0
         for low, _, words in word_pieces(pa.array([text for _, text in items], pa.string()), ALNUM, True):
+            sizes = words.ends - words.starts
+            begin = offset + np.cumsum(sizes + 1) - sizes - 1
+            texts.append(_spaced(words, sizes))
+            offset += len(texts[-1])
             counts = words.counts
-            texts = words.texts()
             for length in {size, *counts[(counts > 0) & (counts < size)].tolist()}:
                 at, hashes = words.windows(length)
-                owner = np.searchsorted(words.first, at, "right") - 1
-                for place, code, text in zip(at.tolist(), hashes.tolist(), owner.tolist()):
-                    if length < size and counts[text] != length:
-                        continue
-                    start = place - words.first[text]
-                    gram = b" ".join(texts[text][start : start + length])
-                    grams = found.setdefault(length, {}).setdefault(code, {})
-                    grams.setdefault(gram, set()).add(ids[low + text])
-        self.grams = found
-        self.sorted = {length: np.sort(np.fromiter(codes, np.uint64, len(codes))) for length, codes in found.items()}
+                text = np.searchsorted(words.first, at, "right") - 1
+                if length < size:
+                    whole = counts[text] == length
+                    at, hashes, text = at[whole], hashes[whole], text[whole]
+                last = at + length - 1
+                rows.setdefault(length, []).append((hashes, begin[at], begin[last] + sizes[last], ids[low + text]))
+        self.data = np.concatenate([np.zeros(0, np.uint8), *texts])
+        self.tables = {}
+        for length, parts in rows.items():
+            code, start, end, item = (np.concatenate(x) for x in zip(*parts))
+            order = np.lexsort((start, item, code))
+            code, start, end, item = code[order], start[order], end[order], item[order]
+            keep = np.ones(len(code), bool)
+            for k in np.flatnonzero((code[1:] == code[:-1]) & (item[1:] == item[:-1])).tolist():
+                keep[k + 1] = self._gram(start[k], end[k]) != self._gram(start[k + 1], end[k + 1])
+            self.tables[length] = code[keep], start[keep], end[keep], item[keep]
+
+    def _gram(self, start: int, end: int) -> bytes:
+        return self.data[start:end].tobytes()
+
+    @property
+    def nbytes(self) -> int:
+        return self.data.nbytes + sum(x.nbytes for table in self.tables.values() for x in table)
 
     def hits(self, words: Words) -> dict[int, list[tuple[int, int, set[int]]]]:
         """By text of a piece: (start, length, items) of each window that is an item's."""
         out: dict[int, list[tuple[int, int, set[int]]]] = {}
-        for length, codes in self.sorted.items():
+        for length, (code, start, end, item) in self.tables.items():
             at, hashes = words.windows(length)
-            near = np.searchsorted(codes, hashes)
-            near[near == len(codes)] = 0
-            for k in np.flatnonzero(codes[near] == hashes).tolist():
+            near = np.searchsorted(code, hashes)
+            near[near == len(code)] = 0
+            found = np.flatnonzero(code[near] == hashes) if len(code) else near[:0]
+            past = np.searchsorted(code, hashes[found], "right").tolist()
+            for k, low, high in zip(found.tolist(), near[found].tolist(), past):
                 place = int(at[k])
                 gram = b" ".join(
                     words.data[words.starts[j] : words.ends[j]].tobytes() for j in range(place, place + length)
                 )
-                items = self.grams[length][int(hashes[k])].get(gram)
+                items = {int(item[n]) for n in range(low, high) if self._gram(start[n], end[n]) == gram}
                 if items:
                     text = int(np.searchsorted(words.first, place, "right")) - 1
                     out.setdefault(text, []).append((place - int(words.first[text]), length, items))
         return out
 
 
+def _spaced(words: Words, sizes: np.ndarray) -> np.ndarray:
+    """The bytes of the words, each followed by a blank."""
+    out = np.full(int(sizes.sum()) + len(sizes), 0x20, np.uint8)
+    inside = spans_of(sizes)
+    out[np.repeat(np.cumsum(sizes + 1) - sizes - 1, sizes) + inside] = words.data[np.repeat(words.starts, sizes) + inside]
+    return out
+
+
 def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
     out: list[list[int]] = []
     for start, end in sorted(spans):
@@ -91,16 +122,17 @@ def _slices(items: DataFrame, limit: int) -> Iterator[list[tuple[int, str]]]:
 
 
 def _scan(docs: DataFrame, grams, text: str) -> DataFrame:
-    """Add or extend the hit columns of each row; ``grams`` is a broadcast."""
+    """Add or extend the hit columns of each row; ``grams`` returns what was sent."""
     old = set(HITS.names) <= set(docs.columns)
     kept = [c for c in docs.columns if c not in HITS.names]
     schema = T.StructType([*docs.select(*kept).schema.fields, *HITS.fields])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = grams()
         for batch in batches:
             n_words, spans, items = [], [], []
             for low, _, words in word_pieces(batch.column(text), ALNUM, True):
-                found = grams.value.hits(words)
+                found = table.hits(words)
                 for k, n in enumerate(words.counts.tolist()):
                     hits = found.get(k, [])
                     held = [(a, a + n) for a, n, _ in hits]
@@ -146,10 +178,10 @@ def find_benchmark_spans(
     for run in _slices(items.select("item_id", "text").dropna(), slice_bytes):
         if not first:
             out = stored(out, "benchmark-pass")
-        out = _scan(out, spark.sparkContext.broadcast(Grams(run, size)), text)
+        out = _scan(out, sent(spark, Grams(run, size)), text)
         first = False
     if first:
-        out = _scan(out, spark.sparkContext.broadcast(Grams([], size)), text)
+        out = _scan(out, sent(spark, Grams([], size)), text)
     return out
 
 
@@ -169,14 +201,17 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", remove:
 
     ``remove="documents"`` drops rows of which a twentieth of the words are hit.
     ``remove="spans"`` keeps every row and cuts each span's bytes out of the
-    text, from its first word's first byte to its last word's end.
+    text, from its first word's first byte to its last word's end. The rows come
+    back with their own columns, whatever these are called.
     """
-    found = find_benchmark_spans(docs, items, text, **how)
-    if remove == "documents":
-        return found.filter(~is_contaminated()).select(*docs.columns)
-    if remove != "spans":
+    if remove not in ("documents", "spans"):
         raise ValueError(remove)
-    columns, schema = docs.columns, docs.schema
+    own, back = own_names(docs)
+    text = own.columns[docs.columns.index(text)]
+    found = find_benchmark_spans(own, items, text, **how)
+    if remove == "documents":
+        return back(found.filter(~is_contaminated()))
+    columns, schema = own.columns, own.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,7 +224,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", remove:
             arrays = [pa.array(texts, batch.schema.field(c).type) if c == text else batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays(arrays, columns)
 
-    return found.mapInArrow(cut, schema)
+    return back(found.mapInArrow(cut, schema))
 
 
 def _without(whole: str | None, spans: list, words: Words, k: int) -> str | None:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagreef.llm.fitting import summed
-from tagreef.llm.tables import stored
+from tagreef.llm.tables import sent, stored
 from tagreef.llm.words import PLAIN, Words, word_pieces
 
 STATES = 4
@@ -134,7 +134,7 @@ def _described(docs: DataFrame, vocabulary) -> DataFrame:
     """Each text as a class sequence, sums over its words, and its words beyond the head."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v: Vocabulary = vocabulary.value
+        v: Vocabulary = vocabulary()
         known = np.append(v.word, np.uint64(2**64 - 1))
         count, place = np.append(v.count, 0), np.append(v.place, -1)
         log_kind, end = v.log_kind, np.array([END], np.int16).tobytes()
@@ -346,7 +346,7 @@ def score_texts(
     training = slim.filter("NOT held_out")
     counts = stored(word_counts(training), "counts")
     v = read_vocabulary(counts, training.select("id").count())
-    described = _described(slim, spark.sparkContext.broadcast(v))
+    described = _described(slim, sent(spark, v))
     described = stored(described.withColumn("row", F.monotonically_increasing_id()), "described")
     model = train(described.filter("NOT held_out"), v.class_shares(), states, steps)
 

@@ -59,6 +59,16 @@ def block_of(doc_id: str | Column, blocks: int) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(blocks)).cast("int")
 
 
+def own_names(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The frame under names that no operator adds, and what gives its columns their names back.
+
+    For operators whose added columns must not replace columns of the input.
+    """
+    names = docs.columns
+    places = [f"_{k}" for k in range(len(names))]
+    return docs.toDF(*places), lambda out: out.select(*places).toDF(*names)
+
+
 def remainder(doc_id: str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; 0 for a null id."""
     text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))

@@ -53,3 +53,19 @@ def test_empty_tables_and_clashing_columns(spark, docs_of):
     found = module.find_benchmark_spans(docs, items)
     assert [(r.doc_id, r.n_words, r.spans, r["items"]) for r in found.collect()] == [(1, 2, [], [])]
     assert module.find_benchmark_spans(docs.limit(0), items).count() == 0
+
+
+def test_table_is_bounded_by_the_text():
+    """Bytes of the table, for ordinary words and for the shortest there are."""
+    for text in (ITEM * 300, "a " * 20_000, "x y z " * 9000):
+        grams = module.Grams([(k, f"{k} {text}") for k in range(3)], 13)
+        assert grams.nbytes <= 17 * 3 * (len(text) + 2) + 64
+
+
+def test_own_columns_come_back(spark, docs_of):
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    docs = docs_of([(1, ITEM), (2, "clean")]).selectExpr("doc_id", "text", "'mine' AS items", "77 AS n_words", "9.5 AS spans")
+    for how in ("documents", "spans"):
+        kept = module.decontaminate(docs, items, remove=how)
+        assert kept.columns == docs.columns
+        assert {tuple(r)[2:] for r in kept.collect()} == {("mine", 77, 9.5)}
