@@ -617,6 +617,40 @@ def page_images_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_images(read_pages(spark, path)).select("page_id", "url", "pos", "src")
 
 
+# Tags that only the states of a tokenizer tell apart, in turn, and the
+# links they hold: quotes in bare values, attributes without a value, tags within
+# attributes, texts and comments, old references without ";".
+WILD_TAGS = (
+    """<img alt=it's src="http://x.example.com/jpg/""",
+    """<textarea><img src="http://no.example.com/a.jpg"></textarea><img hidden src="http://x.example.com/png/""",
+    """<p title="<img src='http://no.example.com/b.jpg'>"><img/alt="a>b"/src="http://x.example.com/gif/""",
+    """<img src="http://x.example.com/&copy;&copy &copy=2&amp/jpg/""",
+    """<script>"<img src='//no/c.jpg'>" <!-- <script> </script> <img src='//no/d.jpg'> --></script><img src="http://x.example.com/e/""",
+    """<!--> <img = alt src = "http://x.example.com/f/""",
+    """<title><img src=//no/e.jpg></title ><?img src=//no/f.jpg?></ img><img class=a"b<c src="http://x.example.com/g/""",
+)
+WILD_LINKS = (
+    "http://x.example.com/jpg/", "http://x.example.com/png/", "http://x.example.com/gif/",
+    "http://x.example.com/\u00a9\u00a9 &copy=2&/jpg/", "http://x.example.com/e/", "http://x.example.com/f/", "http://x.example.com/g/",
+)
+
+
+@register(
+    f"""SELECT page_id, url, CAST(place - 1 AS INTEGER) AS pos, {_pick_sql('page_id', [_quoted(link) for link in WILD_LINKS])}
+                || regexp_extract(part, '^[^"]*') AS src
+        FROM (SELECT page_id, url, unnest(parts[2:]) AS part, generate_subscripts(parts[2:], 1) AS place
+            FROM (SELECT page_id, url, string_split(
+                regexp_replace(html, '(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>', '', 'g'),
+                '<a href="/') AS parts FROM pages) AS t) AS t"""
+)
+def page_images_wild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose links are tags of careless or hostile hands."""
+    wild = _pick("page_id", [F.lit(tag) for tag in WILD_TAGS])
+    pages = text_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    pages = pages.withColumn("html", F.replace("html", F.lit('<a href="/'), wild))
+    return extract_images(pages).select("page_id", "url", "pos", "src")
+
+
 LINK_SQL = f"""CASE
     WHEN url LIKE '%me.me%' AND {HAS_SQL.format('src')} AND src LIKE '%http%' THEN src
     WHEN url LIKE '%doutu%' AND data_original IS NULL THEN NULL
