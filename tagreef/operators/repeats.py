@@ -2,15 +2,15 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from tagreef.functions.images import uri_payload
 from tagreef.operators.grouping import first_per_key
 from tagreef.operators.needles import SLICE_BYTES, match_needles
 from tagreef.operators.sizes import broadcast_if_small
 from tagreef.shared import saved
+from tagreef.sources.hashes import HashIndex
 
 # A payload's content-defined pieces: those that start with one of a few
 # characters that are neither rare nor common in base64 and in prose. Any choice
@@ -108,26 +108,21 @@ def is_new(
 
 
 def payload_hashes(catalog: DataFrame) -> DataFrame:
-    """The index to keep beside a catalog: ``payload_sha`` of every image.
+    """What to keep beside a catalog: ``payload_sha`` of every image.
 
-    With it, a batch is checked without reading the images of the catalog again.
+    With it, a batch is checked without reading the images of the catalog again; see
+    :mod:`tagreef.sources.hashes`.
     """
     return catalog.select(payload_sha(F.col("binary")).alias("payload_sha"))
 
 
-def read_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """Hashes kept beside a catalog, those of stream batches in sub-folders included."""
-    schema = StructType([StructField("payload_sha", StringType())])
-    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
-
-
 def payload_sha(uri: Column) -> Column:
     return F.sha2(uri_payload(uri), 256)
 
 
 def drop_repeats(
     batch: DataFrame,
-    catalog: DataFrame,
+    catalog: DataFrame | HashIndex,
     how: str = "hash",
     order: tuple[str, ...] = ("path",),
     slice_bytes: int = SLICE_BYTES,
@@ -138,8 +133,10 @@ def drop_repeats(
     an image are no repeats of one another and all stay. ``exact`` drops an image
     whose payload lies anywhere in a catalog image, at a cost of one catalog scan
     per slice of payloads; ``hash`` compares whole payloads in one pass. They
-    differ when one payload is a proper part of another. ``catalog`` may be a
-    table made by :func:`payload_hashes` for ``hash``.
+    differ when one payload is a proper part of another. For ``hash``, ``catalog`` may
+    be a table made by :func:`payload_hashes`, or a stored index of hashes. The
+    catalog's hashes meet the batch's, which are broadcast behind a size check: they
+    are not shuffled.
 
     The choice is made on hashes and ``order`` alone. What is dropped, usually
     little, then meets the images; they are not shuffled as long as it is small.
@@ -148,12 +145,17 @@ def drop_repeats(
     known = hashed.filter(F.col("_sha").isNotNull())
     places = known.groupBy("_sha", "_place").agg(F.count("*").alias("_copies"))
     places = saved(places)
-    first = places.groupBy("_sha").agg(F.min("_place").alias("_place"))
+    first = saved(places.groupBy("_sha").agg(F.min("_place").alias("_place")))
     if how == "hash":
-        seen = catalog if "payload_sha" in catalog.columns else payload_hashes(catalog)
-        held = seen.select(F.col("payload_sha").alias("_sha")).distinct()
+        asked = first.select(F.col("_sha").alias("payload_sha"))
+        if isinstance(catalog, HashIndex):
+            held = catalog.among(asked)
+        else:
+            seen = catalog if "payload_sha" in catalog.columns else payload_hashes(catalog)
+            held = seen.select("payload_sha").join(broadcast_if_small(asked), "payload_sha", "left_semi").distinct()
+        held = held.withColumnRenamed("payload_sha", "_sha")
     elif how == "exact":
-        asked = _rows_at(known, saved(first))
+        asked = _rows_at(known, first)
         payloads = asked.select(uri_payload(F.col("binary")).alias("payload"))
         found = containing_rows(catalog.select("binary"), "binary", payloads, slice_bytes)
         held = first.limit(0) if found is None else found.select(F.col("needle_id").alias("_sha")).distinct()

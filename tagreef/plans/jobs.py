@@ -31,6 +31,7 @@ from tagreef.operators.sizes import BROADCAST_BYTES, table_bytes
 from tagreef.shared import saved
 from tagreef.sources.catalog import append_catalog, read_catalog
 from tagreef.sources.folders import read_image_folder
+from tagreef.sources.hashes import HashIndex
 from tagreef.sources.text_files import (
     read_tag_file,
     tag_file_to_catalog,
@@ -78,13 +79,13 @@ def search_tag_files(spark: SparkSession, path: str, keyword: str) -> DataFrame:
 def ingest_uploads(
     uploads: DataFrame,
     reader: Callable[[], TextReader],
-    seen: DataFrame | None = None,
+    seen: DataFrame | HashIndex | None = None,
     allowed: Iterable[str] = UPLOAD_EXTENSIONS,
 ) -> tuple[DataFrame, DataFrame]:
     """``(path, content)`` uploads to new catalog rows, and ``(path, error, msg)`` refusals.
 
     A refused name or an unknown image type ends an upload before its text is
-    read. With ``seen`` (a catalog or its payload hashes), known images are left
+    read. With ``seen`` (a catalog, its payload hashes or an index of them), known images are left
     out. Rows have a fourth column ``error``: why a text could not be read, NULL
     if it was. It is stored beside the catalog's columns; see
     :func:`~tagreef.sources.catalog.read_errors`.

@@ -1,9 +1,10 @@
 """Line, upload and request streams in fixed micro-batches.
 
 Each batch is written under the name of its stream, the id that the stream's
-checkpoint holds, and its number. Writing it again replaces it, so a batch
-replayed after a failure adds no row twice; another stream, or the same one begun
-anew with another checkpoint, never touches it.
+checkpoint holds, and its number, and then committed. Writing it again replaces it
+in one step, so a batch replayed after a failure adds no row twice and hides none
+meanwhile; another stream, or the same one begun anew with another checkpoint, never
+touches it.
 """
 
 import json
@@ -13,18 +14,23 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tagreef.functions.images import UPLOAD_EXTENSIONS
 from tagreef.operators.extract import TextReader
-from tagreef.operators.repeats import payload_hashes, read_hashes
+from tagreef.operators.repeats import payload_hashes
 from tagreef.operators.search import request_sizes, search_batch
 from tagreef.plans.jobs import ingest_uploads
 from tagreef.sources.catalog import read_catalog, write_catalog_batch
+from tagreef.sources.commits import read_committed, write_committed
+from tagreef.sources.hashes import HashIndex, write_hash_batch
 
 # Batch length and the path of rows that came as lines.
 BATCH_SECONDS = 5
 STREAM_PATH = "fromStreaming"
 
+LINES = StructType([StructField("value", StringType())])
+
 
 def line_stream(spark: SparkSession, source: str, **options: str) -> DataFrame:
     """Text lines ``(value)`` from ``socket`` (host, port) or ``text`` (path)."""
@@ -74,7 +80,7 @@ def save_batches_as_text(
     start_ms: int = 0,
     seconds: int = BATCH_SECONDS,
 ) -> StreamingQuery:
-    """Each batch to a text folder ``prefix-<ms>/<name>-<id>``.
+    """Each batch to a committed text folder ``prefix-<ms>/<name>-<id>``.
 
     ``ms`` is ``start_ms`` plus the batch number times the batch length. It does
     not read the clock, so a replayed batch finds its old folder. Read them with
@@ -83,15 +89,15 @@ def save_batches_as_text(
 
     def save(batch: DataFrame, batch_id: int) -> None:
         run = stream_run(batch.sparkSession, name, checkpoint)
-        target = f"{prefix}-{start_ms + batch_id * seconds * 1000}/{run}"
-        batch.select("value").write.mode("overwrite").text(target)
+        folder = f"{prefix}-{start_ms + batch_id * seconds * 1000}"
+        write_committed(batch.select("value"), folder, run, "text")
 
     return run_batches(lines, save, checkpoint, once, seconds)
 
 
 def read_batches_of_text(spark: SparkSession, prefix: str) -> DataFrame:
     """The lines of all batches of all streams under a prefix."""
-    return spark.read.option("recursiveFileLookup", "true").text(f"{prefix}-*")
+    return read_committed(spark, f"{prefix}-*", LINES, "text")
 
 
 def preview(lines: DataFrame, n: int = 10, once: bool = False) -> StreamingQuery:
@@ -145,11 +151,12 @@ def ingest_upload_stream(
     """Uploads into a catalog as they come, refusals beside it.
 
     With ``hashes_path``, images whose hash is kept there are left out, and every
-    batch adds the hashes of its own: a batch never reads the catalog's images.
-    :func:`~tagreef.operators.repeats.payload_hashes` makes the first hashes of a
-    catalog that has rows. A replayed batch does not look at its own earlier
-    hashes, or it would take every image for a repeat; the hashes are written
-    from the rows that the catalog got.
+    batch adds the hashes of its own: a batch never reads the catalog's images, and
+    of the hashes only files that may hold one of its own. See
+    :mod:`tagreef.sources.hashes`; ``write_hashes`` there makes the first hashes of a
+    catalog that has rows, ``pack_hashes`` files those of past batches by prefix. A
+    replayed batch does not look at its own earlier hashes, or it would take every
+    image for a repeat; the hashes are written from the rows that the catalog got.
     """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
@@ -157,13 +164,11 @@ def ingest_upload_stream(
         folder = batch_name(spark, name, checkpoint, batch_id)
         seen = None
         if hashes_path is not None:
-            own = F.contains("_metadata.file_path", F.lit(f"/{folder}/"))
-            seen = read_hashes(spark, hashes_path).filter(~own)
+            seen = HashIndex(spark, hashes_path, without=folder)
         rows, refused = ingest_uploads(batch, reader, seen, allowed)
-        write_catalog_batch(rows, catalog_path, folder)
+        written = write_catalog_batch(rows, catalog_path, folder)
         if hashes_path is not None:
-            written = read_catalog(spark, f"{catalog_path}/{folder}")
-            payload_hashes(written).write.mode("overwrite").parquet(f"{hashes_path}/{folder}")
+            write_hash_batch(payload_hashes(read_catalog(spark, written)), hashes_path, folder)
         refused.write.mode("overwrite").parquet(f"{refused_path}/{folder}")
 
     return run_batches(uploads, ingest, checkpoint, once)

@@ -1,0 +1,171 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tagreef.operators.repeats import drop_repeats, payload_hashes
+from tagreef.plans.jobs import search_catalog
+from tagreef.sources.catalog import append_catalog, pack_catalog, read_catalog, read_errors, write_catalog_batch
+from tagreef.sources.commits import commit, committed
+from tagreef.sources.hashes import HashIndex, pack_hashes, read_hashes, write_hash_batch, write_hashes
+
+KIND = "path string, features string, binary string"
+
+
+def rows(spark, *names):
+    return spark.createDataFrame([(n, f"tag{n}", f"data:image/png;base64,{n}") for n in names], KIND)
+
+
+def paths(df):
+    return sorted(r["path"] for r in df.select("path").collect())
+
+
+def test_a_reader_sees_old_or_new_rows(spark, tmp_path):
+    path = str(tmp_path)
+    append_catalog(rows(spark, "plain"), path)
+    write_catalog_batch(rows(spark, "a", "b"), path, "run-1/batch-000000000000")
+    before = read_catalog(spark, path)
+    assert paths(before) == ["a", "b", "plain"]
+    # The batch is written again: a scan that has begun still finds its files.
+    write_catalog_batch(rows(spark, "a", "b", "c"), path, "run-1/batch-000000000000")
+    assert paths(before) == ["a", "b", "plain"]
+    assert paths(read_catalog(spark, path)) == ["a", "b", "c", "plain"]
+    assert [r[0] for r in search_catalog(spark, path, "tagc").collect()] == ["data:image/png;base64,c"]
+
+
+def test_an_attempt_that_was_not_committed_is_not_read(spark, tmp_path):
+    path = str(tmp_path)
+    write_catalog_batch(rows(spark, "a"), path, "run-1/batch-000000000000")
+    rows(spark, "half").write.parquet(f"{path}/run-1/batch-000000000001/attempt-lost")
+
+    def broken(batches):
+        for batch in batches:
+            yield batch
+            raise RuntimeError("lost")
+
+    bad = rows(spark, "b", "c").mapInArrow(broken, KIND)
+    with pytest.raises(Exception, match="lost"):
+        write_catalog_batch(bad, path, "run-1/batch-000000000000")
+    assert paths(read_catalog(spark, path)) == ["a"]
+    assert len(committed(spark, path)) == 1
+
+
+def test_catalogs_without_commits_or_rows(spark, tmp_path):
+    append_catalog(rows(spark, "a"), f"{tmp_path}/x/sub")
+    assert paths(read_catalog(spark, f"{tmp_path}/x")) == ["a"]
+    commit(spark, f"{tmp_path}/y", "begin", [])
+    assert paths(read_catalog(spark, f"{tmp_path}/y")) == []
+
+
+def test_packing_small_files(spark, tmp_path):
+    path = str(tmp_path / "c")
+    large = spark.range(3000).select(
+        F.concat(F.lit("l"), "id").alias("path"), F.lit("t").alias("features"), F.sha2(F.col("id").cast("string"), 512).alias("binary")
+    )
+    append_catalog(large.coalesce(1), path)
+    append_catalog(rows(spark, "p1", "p2").repartition(2), path)
+    for k in range(5):
+        write_catalog_batch(rows(spark, f"s{k}").withColumn("error", F.lit(f"e{k}")), path, f"run-1/batch-{k:012d}")
+    mixed = large.limit(2000).coalesce(1).unionByName(rows(spark, "m"))
+    write_catalog_batch(mixed, path, "run-2/batch-000000000000")
+    write_catalog_batch(rows(spark, "last"), path, "run-2/batch-000000000001")
+    held, files = paths(read_catalog(spark, path)), set(read_catalog(spark, path).inputFiles())
+    old = read_catalog(spark, path)
+
+    assert pack_catalog(spark, path, small=60_000) >= 7
+    assert paths(read_catalog(spark, path)) == held == paths(old)
+    now = set(read_catalog(spark, path).inputFiles())
+    assert len(now) < len(files)
+    kept = {f for f in now if "/packed-" not in f}
+    assert kept <= files  # untouched files keep their names
+    sizes = {f: os.path.getsize(f.removeprefix("file:").replace("//", "")) for f in kept}
+    assert sum(s >= 60_000 for s in sizes.values()) == 2
+    # The last batches of two runs stay.
+    assert all("batch-000000000004/" in f or "batch-000000000001/" in f for f, s in sizes.items() if s < 60_000)
+    assert sorted(r.error for r in read_errors(spark, path).collect()) == [f"e{k}" for k in range(5)]
+    # The last batch may still be written again, and later ones be packed with what was packed before.
+    write_catalog_batch(rows(spark, "last", "more"), path, "run-2/batch-000000000001")
+    write_catalog_batch(rows(spark, "next"), path, "run-2/batch-000000000002")
+    assert pack_catalog(spark, path, small=60_000) >= 2
+    assert paths(read_catalog(spark, path)) == sorted([*held, "more", "next"])
+    assert pack_catalog(spark, path, small=1) == 0
+
+
+def hashes(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "v string").select(F.sha2("v", 256).alias("payload_sha"))
+
+
+def found(index, spark, values):
+    asked = hashes(spark, values)
+    return index.among(asked)
+
+
+def test_look_up_in_an_index(spark, tmp_path):
+    path = str(tmp_path / "h")
+    write_hashes(hashes(spark, [f"v{k}" for k in range(2000)] + ["v1"]).unionByName(
+        spark.createDataFrame([(None,)], "payload_sha string")), path)
+    for k in range(3):
+        write_hash_batch(hashes(spark, [f"b{k}"]), path, f"run-1/batch-{k:012d}")
+    index = HashIndex(spark, path)
+    assert read_hashes(spark, path).count() == 2003
+    for values in (["v7", "b1", "none"], [f"v{k}" for k in range(0, 200, 2)] + ["b2", *(f"n{k}" for k in range(50))], []):
+        got = sorted(r[0] for r in found(index, spark, values).collect())
+        known = [v for v in values if not v.startswith("n")]
+        assert got == sorted(r[0] for r in hashes(spark, known).collect())
+    # A batch that is written again does not meet its own hashes.
+    own = HashIndex(spark, path, without="run-1/batch-000000000002")
+    assert found(own, spark, ["b2"]).count() == 0 and found(own, spark, ["b1"]).count() == 1
+    assert found(HashIndex(spark, str(tmp_path / "h")), spark, ["v3"]).count() == 1
+
+
+def test_only_asked_prefixes_are_read_and_never_shuffled(spark, tmp_path):
+    path = str(tmp_path / "h")
+    write_hashes(hashes(spark, [f"v{k}" for k in range(3000)]), path)
+    asked = hashes(spark, ["v1", "none"])
+    prefixes = {r[0][:2] for r in asked.collect()}
+    held = HashIndex(spark, path).among(asked)
+    places = {f.rpartition("/prefix=")[2][:2] for f in held.inputFiles() if "/prefix=" in f}
+    assert places and places <= prefixes
+    plan = held._jdf.queryExecution().optimizedPlan().toString()
+    assert "payload_sha" in plan
+    physical = held._jdf.queryExecution().executedPlan().toString()
+    scan = physical[physical.index("FileScan") :]
+    assert "SortMergeJoin" not in physical and "ShuffledHashJoin" not in physical
+    assert "EqualTo(payload_sha" in physical and "BroadcastExchange" in physical and scan
+
+
+def test_files_have_bloom_filters(spark, tmp_path):
+    path = str(tmp_path / "h")
+    write_hashes(hashes(spark, [f"v{k}" for k in range(500)]), path)
+    write_hash_batch(hashes(spark, ["b"]), path, "run-1/batch-000000000000")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for file in read_hashes(spark, path).inputFiles():
+        source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(file), conf)
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+        blocks = reader.getFooter().getBlocks()
+        assert all(b.getColumns()[0].getBloomFilterOffset() > 0 for b in blocks)
+        reader.close()
+
+
+def test_packing_hashes(spark, tmp_path):
+    path = str(tmp_path / "h")
+    for k in range(4):
+        write_hash_batch(hashes(spark, [f"b{k}", "same"]), path, f"run-1/batch-{k:012d}")
+    assert pack_hashes(spark, path) == 3 and pack_hashes(spark, path) == 0
+    assert sorted(r[0] for r in read_hashes(spark, path).distinct().collect()) == sorted(
+        r[0] for r in hashes(spark, ["b0", "b1", "b2", "b3", "same"]).collect()
+    )
+    write_hash_batch(hashes(spark, ["again"]), path, "run-1/batch-000000000003")
+    index = HashIndex(spark, path)
+    assert found(index, spark, ["b3"]).count() == 0
+    assert found(index, spark, ["b1", "again", "same"]).count() == 3
+
+
+def test_repeats_by_a_stored_index(spark, tmp_path):
+    path = str(tmp_path / "h")
+    write_hashes(payload_hashes(rows(spark, "AAAA", "BBBB")), path)
+    batch = rows(spark, "BBBB", "CCCC", "CCCC", "DDDD")
+    kept = drop_repeats(batch, HashIndex(spark, path))
+    assert sorted(r["binary"][-4:] for r in kept.collect()) == ["CCCC", "DDDD"]
+    by_table = drop_repeats(batch, read_hashes(spark, path))
+    assert sorted(r["binary"][-4:] for r in by_table.collect()) == ["CCCC", "DDDD"]
