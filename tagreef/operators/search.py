@@ -1,18 +1,12 @@
 """Keyword search: one keyword, or a table of requests."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagreef.functions.keyword import (
-    clean_keyword,
-    compile_keyword,
-    fixed_chars,
-    keyword_regex,
-    literal_chars,
-    matches_keyword,
-    pattern_of,
-)
-from tagreef.operators.needles import SLICE_BYTES, match_needles
+from tagreef.functions.keyword import clean_keyword, compile_keyword, fixed_chars, matches_keyword, pattern_of
+from tagreef.operators.automaton import TRIE_BYTES, walk_keywords
 from tagreef.operators.sizes import broadcast_if_small
 from tagreef.shared import saved
 
@@ -51,7 +45,7 @@ def search_batch(
     requests: DataFrame,
     *keep: str,
     literal_keywords: int = LITERAL_KEYWORDS,
-    slice_bytes: int = SLICE_BYTES,
+    slice_bytes: int = TRIE_BYTES,
 ) -> DataFrame:
     """``(keyword, kept columns, binary)``: the hits of every distinct keyword asked.
 
@@ -59,9 +53,8 @@ def search_batch(
     a third of all requests is searched and returned once; see
     :func:`request_sizes` for the way back to requests.
 
-    Few keywords are literal predicates of one scan. More are matched by
-    :func:`~tagreef.operators.needles.match_needles`, filed under their rarest
-    character. Neither way shuffles the catalog.
+    Few keywords are literal predicates of one scan. More are walked over the tags
+    together, see :mod:`tagreef.operators.automaton`. Neither way shuffles the catalog.
     """
     keywords = asked_keywords(requests)
     columns = ["keyword", *keep, image_text()]
@@ -70,23 +63,8 @@ def search_batch(
     if len(few) <= literal_keywords:
         return catalog.withColumn("keyword", F.explode(_literal_hits(few))).select(*columns)
 
-    keywords = saved(keywords)
-    keyword = F.col("needle")
-    # '' is a key of every row and of the needles made of wildcards only.
-    nothing = F.array(F.lit(""))
-    fixed = literal_chars(keyword)
-    found = match_needles(
-        catalog,
-        keywords.select(F.col("keyword").alias("needle"))
-        .withColumn("_regex", keyword_regex(keyword)),
-        row_keys=F.array_union(F.split("features", ""), nothing),
-        needle_keys=F.when(F.size(fixed) == 0, nothing).otherwise(fixed),
-        verify=F.rlike("features", F.col("_regex")),
-        slice_bytes=slice_bytes,
-    )
-    if found is None:
-        found = catalog.limit(0).withColumn("needle", F.lit(""))
-    return found.withColumnRenamed("needle", "keyword").select(*columns)
+    found = walk_keywords(catalog, saved(both.toDF("keyword", "clean")), slice_bytes)
+    return reduce(DataFrame.unionAll, [hits.select(*columns) for hits in found])
 
 
 def _literal_hits(keywords: list[tuple[str, str]]) -> Column:

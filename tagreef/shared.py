@@ -3,9 +3,14 @@
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import TypeVar
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+Value = TypeVar("Value")
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``, or else the context's own.
@@ -34,3 +39,21 @@ def saved(df: DataFrame) -> DataFrame:
     """Compute a frame once, in the shared folder, for several later uses."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def sent(spark: SparkSession, value: Value) -> Callable[[], Value]:
+    """A broadcast of an object of this package's own classes, of a size that the caller bounds.
+
+    Broadcasts name classes, which the workers would have to import; here the bytes
+    of the object hold its class, so that workers need no copy of the package. The
+    returned function loads it, once for each copy that a task has of it.
+    """
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    loaded: list[Value] = []
+
+    def load() -> Value:
+        if not loaded:
+            loaded.append(cloudpickle.loads(held.value))
+        return loaded[0]
+
+    return load

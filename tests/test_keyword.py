@@ -177,7 +177,9 @@ def test_plans(spark, tmp_path, catalog):
     for literal in (200, 0):
         plan = plan_of(search_batch(stored, requests, "path", literal_keywords=literal))
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-        assert "Python" not in plan
+        # Few keywords stay in the JVM; of many, the walk gets the tags and nothing else.
+        python = [line for line in plan.splitlines() if "Python" in line]
+        assert len(python) == (0 if literal else 1) and "binary" not in "".join(python)
         assert "Exchange hashpartitioning" not in plan
 
 
