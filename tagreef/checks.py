@@ -52,6 +52,7 @@ from tagreef.sources.catalog import (
     union_catalogs,
 )
 from tagreef.sources.folders import read_accounts, read_pages
+from tagreef.sources.piece_index import read_pieces, write_pieces
 from tagreef.sources.text_files import (
     catalog_to_tag_file,
     read_image_list,
@@ -495,6 +496,27 @@ def drop_repeats_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeats(batch, catalog, "exact", order=("item_id",)).select("item_id")
 
 
+@register(ORACLE["repeat_check"])
+def repeat_check_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by a stored index of pieces: one scan of the texts, whatever is asked."""
+    path = scratch_path(spark, "pieces")
+    texts = text_table(spark, sf_dir, "documents", "doc_id", "text")
+    write_pieces(texts, path, text="text", key="doc_id")
+    payloads = table(spark, sf_dir, "benchmark").select(F.col("text").alias("payload"))
+    return is_new(texts, payloads, "text", pieces=read_pieces(spark, path), key="doc_id")
+
+
+@register(ORACLE["drop_repeats_exact"])
+def drop_repeats_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "pieces")
+    uri = images.data_uri(F.encode("text", "UTF-8"), F.lit("png")).alias("binary")
+    batch = table(spark, sf_dir, "benchmark").select("item_id", uri)
+    catalog = read_catalog(spark, stored_catalog(spark, sf_dir))
+    write_pieces(catalog, path)
+    fresh = drop_repeats(batch, catalog, "exact", order=("item_id",), pieces=read_pieces(spark, path))
+    return fresh.select("item_id")
+
+
 # --- pages -------------------------------------------------------------------
 
 

@@ -11,24 +11,12 @@ from tagreef.operators.needles import SLICE_BYTES, match_needles
 from tagreef.operators.sizes import broadcast_if_small
 from tagreef.shared import saved
 from tagreef.sources.hashes import HashIndex
-
-# A payload's content-defined pieces: those that start with one of a few
-# characters that are neither rare nor common in base64 and in prose. Any choice
-# gives right results; it only sets how many pieces a text has.
-PIECE_STARTS = "[bkv]"
-PIECE_LENGTH = 24
-PIECES_PER_PAYLOAD = 8
+from tagreef.sources.piece_index import DRAWN, containing_images, pieces_of
 
 # Up to this many payloads without a piece are literal tests of one scan.
 LITERAL_PAYLOADS = 200
 
 
-def _pieces(text: Column) -> Column:
-    """Distinct pieces of a text, overlapping ones too (the regex is a look-ahead)."""
-    regex = rf"(?s)(?=({PIECE_STARTS}.{{{PIECE_LENGTH - 1}}}))"
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(regex), F.lit(1)))
-
-
 def containing_rows(
     index: DataFrame, column: str, payloads: DataFrame, slice_bytes: int = SLICE_BYTES
 ) -> DataFrame | None:
@@ -42,10 +30,10 @@ def containing_rows(
     """
     text = F.col(column)
     index = index.filter(text.isNotNull())
-    pieces = _pieces(F.col("needle"))
+    pieces = pieces_of(F.col("needle"))
     # Any part of the pieces will do as keys; the smallest hashes are a fair draw.
     hashed = F.transform(pieces, lambda p: F.struct(F.xxhash64(p).alias("h"), p.alias("p")))
-    drawn = F.transform(F.slice(F.array_sort(hashed), 1, PIECES_PER_PAYLOAD), lambda d: d["p"])
+    drawn = F.transform(F.slice(F.array_sort(hashed), 1, DRAWN), lambda d: d["p"])
     needles = saved(
         payloads.select(F.col("payload").alias("needle")).filter(F.col("needle").isNotNull())
         .distinct()
@@ -53,7 +41,7 @@ def containing_rows(
     long = match_needles(
         index,
         needles.filter(F.size(pieces) > 0),
-        row_keys=_pieces(text),
+        row_keys=pieces_of(text),
         needle_keys=drawn,
         verify=F.contains(text, F.col("needle")),
         slice_bytes=slice_bytes,
@@ -85,16 +73,34 @@ def _short_matches(index: DataFrame, text: Column, needles: DataFrame, slice_byt
     )
 
 
+def containing_rows_by(
+    index: DataFrame, column: str, payloads: DataFrame, slice_bytes: int, pieces: DataFrame | None, key: str
+) -> DataFrame | None:
+    """``(payload, needle_id)`` of all matches: by a stored index of pieces, where there is one.
+
+    With it the images are scanned once, whatever the number of payloads; only
+    payloads too short to have a kept piece are looked for in the images themselves.
+    """
+    if pieces is None:
+        return containing_rows(index.select(column), column, payloads, slice_bytes)
+    found, short = containing_images(index.select(*{column, key}), pieces, payloads, column, key)
+    found = found.select("payload", "needle_id")
+    rest = containing_rows(index.select(column), column, short, slice_bytes)
+    return found if rest is None else found.unionByName(rest.select("payload", "needle_id"))
+
+
 def is_new(
-    index: DataFrame, payloads: DataFrame, column: str = "Base64", slice_bytes: int = SLICE_BYTES
+    index: DataFrame, payloads: DataFrame, column: str = "Base64", slice_bytes: int = SLICE_BYTES,
+    pieces: DataFrame | None = None, key: str = "path",
 ) -> DataFrame:
     """``(payload, n_hits, is_new)`` for each distinct payload.
 
     ``n_hits`` counts the index rows whose text contains the payload, and
-    ``is_new`` says that there is none.
+    ``is_new`` says that there is none. ``pieces`` is the stored index of the texts,
+    by ``key``, see :mod:`tagreef.sources.piece_index`.
     """
     asked = payloads.select("payload").filter(F.col("payload").isNotNull()).distinct()
-    found = containing_rows(index.select(column), column, payloads, slice_bytes)
+    found = containing_rows_by(index, column, payloads, slice_bytes, pieces, key)
     if found is None:
         counted = asked.withColumn("n_hits", F.lit(0).cast("long"))
     else:
@@ -126,13 +132,14 @@ def drop_repeats(
     how: str = "hash",
     order: tuple[str, ...] = ("path",),
     slice_bytes: int = SLICE_BYTES,
+    pieces: DataFrame | None = None,
 ) -> DataFrame:
     """Catalog rows of ``batch`` whose image the catalog does not hold yet.
 
     Within the batch the first row by ``order`` of each image stays; rows without
     an image are no repeats of one another and all stay. ``exact`` drops an image
     whose payload lies anywhere in a catalog image, at a cost of one catalog scan
-    per slice of payloads; ``hash`` compares whole payloads in one pass. They
+    if its index of ``pieces`` is given, else one per slice of payloads; ``hash`` compares whole payloads in one pass. They
     differ when one payload is a proper part of another. For ``hash``, ``catalog`` may
     be a table made by :func:`payload_hashes`, or a stored index of hashes. The
     catalog's hashes meet the batch's, which are broadcast behind a size check: they
@@ -157,7 +164,7 @@ def drop_repeats(
     elif how == "exact":
         asked = _rows_at(known, first)
         payloads = asked.select(uri_payload(F.col("binary")).alias("payload"))
-        found = containing_rows(catalog.select("binary"), "binary", payloads, slice_bytes)
+        found = containing_rows_by(catalog, "binary", payloads, slice_bytes, pieces, "path")
         held = first.limit(0) if found is None else found.select(F.col("needle_id").alias("_sha")).distinct()
     else:
         raise ValueError(f"how must be 'hash' or 'exact', not {how!r}")

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagreef.operators.repeats import drop_repeats, is_new, payload_hashes
+from tagreef.operators.sizes import broadcast_if_small
+from tagreef.sources import piece_index
 
 
 def rows(spark, values, schema):
@@ -29,6 +31,44 @@ def test_is_new_equals_plain_containment(spark, slice_bytes):
     assert found == {p: (n, n == 0) for p, n in expected.items()}
 
 
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_a_stored_index_finds_the_same(spark, tmp_path, monkeypatch, limit):
+    """Also where nothing is small enough to broadcast; repeated keys and null texts among the rows."""
+    monkeypatch.setattr(piece_index, "broadcast_if_small", lambda t: broadcast_if_small(t, limit))
+    rng = random.Random(2)
+    texts = ["".join(rng.choices("bkvABCDEFGH0123456789xyz+/", k=rng.randint(0, 3000))) for _ in range(40)]
+    boiler = "".join(rng.choices("bkvABC012xyz", k=900))
+    texts += [boiler + t for t in texts[:15]] + [texts[3]]
+    payloads = [t[n : n + size] for t in texts[:20] for n, size in ((0, 3000), (100, 1500), (5, 30))]
+    payloads += [boiler, boiler[100:700], "gone" * 300, texts[4][:-1] + "!", "", "b"]
+    index = rows(spark, [(f"p{k % 30}", t) for k, t in enumerate(texts)] + [(None, texts[5]), ("p1", None)], "path string, Base64 string")
+    half = F.col("path") < "p2"
+    path = str(tmp_path)
+    piece_index.write_pieces(index.filter(half), path, "run-1/batch-000000000000", text="Base64")
+    piece_index.write_pieces(index.filter(half), path, "run-1/batch-000000000000", text="Base64")
+    piece_index.write_pieces(index.filter(~F.coalesce(half, F.lit(False))), path, text="Base64")
+    asked = rows(spark, [(p,) for p in payloads] + [(None,)], "payload string")
+    pieces = piece_index.read_pieces(spark, path)
+    found = {r["payload"]: r["n_hits"] for r in is_new(index, asked, pieces=pieces).collect()}
+    held = [*texts, texts[5]]
+    assert found == {p: sum(p in t for t in held) for p in payloads}
+    assert sum(n == 0 for n in found.values()) >= 2
+
+
+def test_images_are_scanned_once_for_long_payloads(spark, tmp_path):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("bkvABCDEFGH0123456789xyz+/", k=4000)) for _ in range(30)]
+    rows(spark, [(str(k), t) for k, t in enumerate(texts)], "path string, binary string").write.parquet(f"{tmp_path}/c")
+    index = spark.read.parquet(f"{tmp_path}/c")
+    piece_index.write_pieces(index, f"{tmp_path}/p")
+    asked = rows(spark, [(t[500:3500],) for t in texts], "payload string")
+    found, short = piece_index.containing_images(index, piece_index.read_pieces(spark, f"{tmp_path}/p"), asked)
+    assert found.count() == 30 and short.count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "NestedLoop" not in plan
+    assert "hashpartitioning(image" not in plan  # the images stay where they are
+
+
 def test_is_new_without_hits_or_payloads(spark):
     index = rows(spark, [("abc",)], "Base64 string")
     asked = rows(spark, [("zzz",)], "payload string")
