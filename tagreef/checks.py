@@ -4,8 +4,10 @@ The tables stand in for images: a document's text is the content of an image,
 a page's links are its image tags, customers are accounts.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +36,10 @@ from tagreef.plans.jobs import (
     account_batch,
     crawl_manifest,
     image_list,
+    index_folder,
     index_images,
     ingest_uploads,
+    list_folder,
     search_catalog,
     search_tag_files,
     store_uploads,
@@ -965,6 +969,14 @@ def upload_ingest_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_uploads(document_uploads(spark, sf_dir), utf8_reader, seen)[0].drop("error")
 
 
+def image_dictionary(uploads: DataFrame) -> DataFrame:
+    """A dictionary of one word."""
+    return uploads.select(
+        F.lit("en").alias("src_lang"), F.lit("image").alias("term"),
+        F.lit("zh-CN").alias("dst_lang"), F.lit("IMAGE").alias("translation"),
+    ).distinct()
+
+
 INDEXED_TAG_SQL = tag_sql(
     f"(text || 'size' || octet_length({DOC_BYTES_SQL}) % 7 || 'image' || 'IMAGE')", FOLDER_SQL
 )
@@ -978,11 +990,68 @@ INDEXED_TAG_SQL = tag_sql(
 )
 def folder_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     uploads = document_uploads(spark, sf_dir).withColumnRenamed("path", "name")
-    dictionary = uploads.select(
-        F.lit("en").alias("src_lang"), F.lit("image").alias("term"),
-        F.lit("zh-CN").alias("dst_lang"), F.lit("IMAGE").alias("translation"),
-    ).distinct()
-    return index_images(uploads, utf8_reader, length_detector, dictionary)[0]
+    return index_images(uploads, utf8_reader, length_detector, image_dictionary(uploads))[0]
+
+
+@register(ORACLE["folder_index"])
+def folder_index_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where no dictionary is small enough to go to the rows."""
+    uploads = document_uploads(spark, sf_dir).withColumnRenamed("path", "name")
+    return index_images(uploads, utf8_reader, length_detector, image_dictionary(uploads), map_bytes=0)[0]
+
+
+def written_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The uploads as files of one folder that all executors share."""
+    folder = scratch_path(spark, "folder")
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place = folder if "://" in folder else "file://" + folder.removeprefix("file:")
+        system, root = fs.FileSystem.from_uri(place)
+        system.create_dir(root, recursive=True)
+        for batch in batches:
+            for name, content in zip(batch["path"], batch["content"]):
+                with system.open_output_stream(f"{root}/{name}") as out:
+                    out.write(content)
+            yield batch[["path"]]
+
+    document_uploads(spark, sf_dir).mapInPandas(write, "path string").write.format("noop").mode("overwrite").save()
+    return folder
+
+
+IN_FOLDER_SQL = "(lower({0}) LIKE '%.png%' OR lower({0}) LIKE '%.jpg%' OR lower({0}) LIKE '%.gif%')"
+
+
+@register(
+    f"""SELECT {DOC_NAME_SQL} AS "Image", {INDEXED_TAG_SQL} AS "Tag",
+        'data:image/png;base64,' || base64({DOC_BYTES_SQL}) AS "Base64" FROM documents
+        WHERE {IN_FOLDER_SQL.format(f'({DOC_NAME_SQL})')}"""
+)
+def folder_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder's tag file, written by the whole job and read again."""
+    folder, target = written_folder(spark, sf_dir), scratch_path(spark, "tags")
+    dictionary = image_dictionary(document_uploads(spark, sf_dir))
+    index_folder(spark, folder, target, utf8_reader, length_detector, dictionary)
+    return read_tag_file(spark, target)
+
+
+@register(
+    f"""SELECT {DOC_NAME_SQL} AS name FROM documents WHERE NOT {IN_FOLDER_SQL.format(f'({DOC_NAME_SQL})')}"""
+)
+def folder_left_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The names that a folder's index leaves out."""
+    folder, target = written_folder(spark, sf_dir), scratch_path(spark, "tags")
+    return index_folder(spark, folder, target, utf8_reader)
+
+
+@register(
+    f"""SELECT {DOC_NAME_SQL} AS file, 'data:image/png;base64,' || base64({DOC_BYTES_SQL}) AS uri FROM documents
+        WHERE {IN_FOLDER_SQL.format(f'({DOC_NAME_SQL})')}"""
+)
+def folder_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder's image list, written by the whole job and read again."""
+    folder, target = written_folder(spark, sf_dir), scratch_path(spark, "list")
+    list_folder(spark, folder, target)
+    return read_image_list(spark, target)
 
 
 @register(

@@ -60,6 +60,23 @@ def known_translations(dictionary: DataFrame) -> DataFrame:
     return known.select("name", "translation")
 
 
+def label_texts(found: DataFrame, known: DataFrame) -> DataFrame:
+    """``(image, labels)`` of rows ``(image, names)``: as :func:`row_label_text`, by a join.
+
+    ``image`` is a row's own key, ``names`` its labels in order, ``known`` the words and
+    their translations, one row each, of any number. Words travel with their image's
+    key and place and come together again by the key; a common word is a key of
+    many rows on one side only, which adaptive execution splits.
+    """
+    words = found.select("image", F.posexplode("names").alias("pos", "name"))
+    met = words.join(known, "name").filter(F.col("translation").isNotNull())
+    met = met.groupBy("image").agg(F.array_sort(F.collect_list(F.struct("pos", "translation"))).alias("met"))
+    both = found.join(met, "image", "left")
+    translated = F.transform("met", lambda m: F.concat(m["translation"], F.lit(" ")))
+    text = F.concat(row_label_text(F.col("names")), F.coalesce(F.array_join(translated, ""), F.lit("")))
+    return both.select("image", text.alias("labels"))
+
+
 def row_label_text(labels: Column, translations: Column | None = None) -> Column:
     """As :func:`label_text`, of the labels array of a row and a map of translations."""
 

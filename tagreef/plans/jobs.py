@@ -23,11 +23,12 @@ from tagreef.operators.extract import (
     label_reader,
     text_reader,
 )
-from tagreef.operators.labels import known_translations, row_label_text
+from tagreef.operators.grouping import first_per_key
+from tagreef.operators.labels import known_translations, label_texts, row_label_text
 from tagreef.operators.pages import download_manifest, extract_image_links, skip_existing
 from tagreef.operators.repeats import drop_repeats
 from tagreef.operators.search import search, search_request
-from tagreef.operators.sizes import BROADCAST_BYTES, table_bytes
+from tagreef.operators.sizes import broadcast_if_small, table_bytes
 from tagreef.shared import saved
 from tagreef.sources.catalog import append_catalog, read_catalog
 from tagreef.sources.folders import read_image_folder
@@ -44,6 +45,9 @@ NAME_ERROR = 1001
 NAME_MESSAGE = "Only support .png .PNG .jpg .JPG .bmp .gif"
 TYPE_MESSAGE = "Unknown image type"
 
+# A dictionary of up to this size is a map that every task gets.
+MAP_BYTES = 8 << 20
+
 # A search that hits more files than this reads all of them in one pass.
 FEW_FILES = 10_000
 
@@ -133,55 +137,62 @@ def index_images(
     reader: Callable[[], TextReader],
     detector: Callable[[], Detector] | None = None,
     dictionary: DataFrame | None = None,
+    map_bytes: int = MAP_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
     """``(name, content)`` images to ``(Image, Tag, Base64, error)`` rows, and refused names.
 
     Text and labels are found in the image's own row, so images of one name keep
-    apart and no image is joined or shuffled. Labels are translated by a map that
-    is sent to the rows; see :func:`_translation_map`. ``error`` tells the first
-    failure, of the reader or the detector.
+    apart. Labels are translated by a map that goes to the rows; a dictionary beyond
+    ``map_bytes`` is joined instead, with the same result: labels are found and
+    kept first, without the images, under a key of their own, and the label texts
+    meet the images again. ``error`` tells the first failure, of the reader or the
+    detector.
     """
     typed = images.withColumn("_type", image_type(F.col("content")))
     refused = typed.filter(F.col("_type").isNull()).select("name")
     good = typed.filter(F.col("_type").isNotNull())
     read = text_reader(reader, "eng")
-    rows = good.withColumn("_read", read("content"))
-    error, labels = F.col("_read.error"), F.lit("")
+    labels, failed = F.lit(""), F.lit(None).cast("string")
     if detector is not None:
-        rows = rows.withColumn("_found", label_reader(detector)("content"))
-        error = F.coalesce(error, F.col("_found.error"))
-        translations = None
-        if dictionary is not None:
-            known = _translation_map(dictionary, good, detector)
-            rows = rows.crossJoin(F.broadcast(known))
-            translations = F.col("_translations")
-        labels = strip_tag(row_label_text(F.col("_found.labels"), translations))
-    tag = folder_tag(F.concat(joined_text(F.col("_read")), labels))
+        known = None if dictionary is None else saved(known_translations(dictionary))
+        if known is not None and table_bytes(known) > map_bytes:
+            good = _with_joined_labels(good, detector, known)
+            labels, failed = F.col("_labels"), F.col("_failed")
+        else:
+            good = good.withColumn("_found", label_reader(detector)("content"))
+            translations = None
+            if known is not None:
+                entries = F.map_from_entries(F.collect_list(F.struct("name", "translation")))
+                good = good.withColumn("_known", known.agg(entries.alias("_known")).scalar())
+                translations = F.col("_known")
+            labels, failed = row_label_text(F.col("_found.labels"), translations), F.col("_found.error")
+    rows = good.withColumn("_read", read("content"))
+    tag = folder_tag(F.concat(joined_text(F.col("_read")), strip_tag(labels)))
     out = rows.select(
         F.col("name").alias("Image"),
         tag.alias("Tag"),
         data_uri(F.col("content"), F.col("_type")).alias("Base64"),
-        error.alias("error"),
+        F.coalesce(F.col("_read.error"), failed).alias("error"),
     )
     return out, refused
 
 
-def _translation_map(dictionary: DataFrame, images: DataFrame, detector: Callable[[], Detector]) -> DataFrame:
-    """One row with a map of translations, of a checked size.
+def _with_joined_labels(images: DataFrame, detector: Callable[[], Detector], known: DataFrame) -> DataFrame:
+    """Images with their label texts ``_labels``, by joins with ``known`` of any size.
 
-    A dictionary beyond ``BROADCAST_BYTES`` is first cut to the words that the
-    detector finds in the images: it then runs twice, and a detector names no
-    more words than it has classes. If even these are too many, it is an error.
+    The key of an image is its content's hash: equal images have the labels that were
+    found for one of them, and the detector runs once for each image row. As long as
+    the label texts are small the images are not moved to meet them.
     """
-    known = known_translations(dictionary)
-    if table_bytes(known) > BROADCAST_BYTES:
-        found = images.select(label_reader(detector)("content").alias("_found"))
-        words = found.select(F.explode("_found.labels").alias("name")).distinct()
-        known = saved(known.join(words, "name", "left_semi"))
-        if table_bytes(known) > BROADCAST_BYTES:
-            raise ValueError("too many translated words to send to every task")
-    entries = F.collect_list(F.struct("name", "translation"))
-    return known.agg(F.map_from_entries(entries).alias("_translations"))
+    key = F.sha2("content", 256)
+    found = images.select(key.alias("image"), label_reader(detector)("content").alias("_found"))
+    found = saved(found.select("image", F.col("_found.labels").alias("names"), F.col("_found.error").alias("_failed")))
+    # Of equal images one stands for all: one without a failure, if there is any.
+    found = first_per_key(found.withColumn("_bad", F.col("_failed").isNotNull()), ["image"], ["_bad", "names"])
+    found = saved(found.select("image", F.coalesce("names", F.array().cast("array<string>")).alias("names"), "_failed"))
+    texts = label_texts(found.select("image", "names"), known).withColumnRenamed("labels", "_labels")
+    texts = saved(texts.join(found.select("image", "_failed"), "image"))
+    return images.withColumn("image", key).join(broadcast_if_small(texts), "image").drop("image")
 
 
 def index_folder(
