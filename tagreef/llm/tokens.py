@@ -153,14 +153,14 @@ def count_tokens(files: DataFrame, separator: int, width: int = 2, block_bytes:
     rest = F.when(final & (whole > F.coalesce(F.try_element_at("ends", F.lit(-1)) + 1, F.col("open"))), F.array(whole))
     ends = F.concat("ends", F.coalesce(rest, F.array().cast("array<long>")))
     starts = F.concat(F.array("open"), F.transform("ends", lambda e: e + 1))
-    docs = blocks.select(
-        "path", "closed", starts.alias("starts"), F.size("ends").alias("n"), F.posexplode(ends).alias("k", "end")
-    )
-    start = F.element_at("starts", F.col("k") + 1)
+    # Each document takes its own start and end along, not its block's.
+    docs = blocks.select("path", "closed", F.size("ends").alias("n"), starts.alias("starts"), ends.alias("ends"))
+    spans = F.arrays_zip(F.slice("starts", F.lit(1), F.size("ends")).alias("start"), F.col("ends").alias("end"))
+    docs = docs.select("path", "closed", "n", F.posexplode(spans).alias("k", "span"))
     return docs.select(
         "path",
         (F.col("closed") + F.col("k")).alias("doc"),
-        start.alias("start"),
-        (F.col("end") - start).alias("n_tokens"),
+        F.col("span.start").alias("start"),
+        (F.col("span.end") - F.col("span.start")).alias("n_tokens"),
         (F.col("k") < F.col("n")).alias("closed"),
     )

@@ -9,6 +9,9 @@ were published in that form; full digests confirm, the longest rule wins.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagreef.llm.tables import stored
+from tagreef.operators.sizes import broadcast_if_small
+
 PREFIX_BYTES = 4
 
 # Fixed values: (verdict, host, path) of the rules of the query.
@@ -104,6 +107,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", otherwise:
     best = fitting.groupBy("tail", "head").agg(F.max(F.struct(F.length("rule"), "rule", "ruled")).alias("best"))
     best = best.select("tail", "head", F.col("best.rule").alias("rule"), F.col("best.ruled").alias("ruled"))
 
+    # One row for each host and beginning that a rule fits: while they are small, no
+    # page moves, and a host with most of the pages is no key of a shuffle.
+    best = broadcast_if_small(stored(best, "ruled"))
     out = own.join(best, ["tail", "head"], "left")
     added = {"host", "path", "rule", "verdict"}
     kept = [F.col(p).alias(c) for p, c in zip(places, pages.columns) if c not in added]

@@ -1,10 +1,13 @@
 import random
+import re
+import time
 
 import numpy as np
 import pytest
 import tiktoken
 from brute import SF_DIR
 from public_tokenizers import PATTERN
+from pyspark.sql import functions as F
 
 from tagreef.llm.registry import QUERIES, RANKS, SEPARATOR
 from tagreef.llm.tokens import count_tokens, token_files, token_ranks, write_token_files
@@ -62,3 +65,19 @@ def test_edges(spark, docs_of, tmp_path):
         count_tokens(token_files(spark, str(tmp_path / "odd")), SEPARATOR).collect()
     with pytest.raises(ValueError):
         write_token_files(docs, str(tmp_path), ranks, PATTERN, 5)
+
+
+def test_many_documents_of_one_block(spark, tmp_path):
+    """Time goes with the documents, not with their square."""
+    lengths = np.random.default_rng(1).integers(0, 9, 200_000)
+    tokens = np.concatenate([np.append(np.full(n, 3), 9) for n in lengths]).astype("<u2")
+    (tmp_path / "f").write_bytes(tokens.tobytes())
+    found = count_tokens(token_files(spark, str(tmp_path)), 9)
+    began = time.time()
+    rows = found.agg(F.count("*"), F.sum("n_tokens"), F.max("doc"), F.sum("start")).first()
+    assert tuple(rows) == (200_000, lengths.sum(), 199_999, sum(np.cumsum(lengths + 1) - lengths - 1))
+    assert time.time() - began < 60
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    explode = next(line for line in plan.splitlines() if "Generate posexplode" in line)
+    # Neither of the block's two arrays goes along with a document.
+    assert re.search(r"start, end\)\), \[3, 4\], false", explode)

@@ -64,3 +64,11 @@ def test_edges(spark):
     assert judge_urls(pages.limit(0), rules).count() == 0
     with pytest.raises(ValueError):
         judge_urls(pages, spark.createDataFrame([("block", "a", "/x")], SCHEMA))
+
+
+def test_pages_of_a_hot_host_do_not_move(spark):
+    pages = spark.range(5000).selectExpr("id AS page_id", "concat('http://a.example.net/en/', id) AS url", "'page' AS html")
+    found = judge_urls(pages, spark.createDataFrame(RULES, SCHEMA))
+    assert found.filter("rule = 'example.net/en/' AND verdict = 'allow'").count() == 5000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
