@@ -56,6 +56,7 @@ from tagreef.sources.catalog import (
     union_catalogs,
 )
 from tagreef.sources.folders import read_accounts, read_pages
+from tagreef.sources.masks import write_masks
 from tagreef.sources.piece_index import read_pieces, write_pieces
 from tagreef.sources.text_files import (
     catalog_to_tag_file,
@@ -178,6 +179,15 @@ def search_stored_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_catalog(spark, stored_catalog(spark, sf_dir), "zqx")
 
 
+@register(f"""SELECT "binary" FROM {CATALOG_SQL} WHERE features LIKE '%p%a%r%t%\u00e9%'""")
+def search_masked_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog in ranges of its tags, with a mask for each file."""
+    path = scratch_path(spark, "catalog")
+    append_catalog(documents_catalog(spark, sf_dir).repartitionByRange(64, "features"), path)
+    write_masks(spark, path)
+    return search_catalog(spark, path, "part \u00c9")
+
+
 def part_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("request_id"), F.col("p_name").alias("keyword")

@@ -33,6 +33,7 @@ from tagreef.shared import saved
 from tagreef.sources.catalog import append_catalog, read_catalog
 from tagreef.sources.folders import read_image_folder
 from tagreef.sources.hashes import HashIndex
+from tagreef.sources.masks import possible_rows
 from tagreef.sources.text_files import (
     read_tag_file,
     tag_file_to_catalog,
@@ -61,14 +62,17 @@ def hit_files(catalog: DataFrame, keyword: str) -> DataFrame:
 def search_catalog(spark: SparkSession, path: str, keyword: str) -> DataFrame:
     """The images a keyword finds in a catalog.
 
-    Almost all bytes of a catalog are images. The tags alone are scanned first,
-    and then images are read from the files with a hit only. A keyword that hits
-    more files than the driver should list finds them in one pass over all; the
-    answer is the same.
+    Almost all bytes of a catalog are images. Files whose character mask rules the
+    keyword out are not read at all, see :mod:`tagreef.sources.masks`; of the others
+    the tags alone are scanned first, and then images are read from the files with a
+    hit only. A keyword that hits more files than the driver should list finds them
+    in one pass over all; the answer is the same.
     """
-    catalog = read_catalog(spark, path)
     if keyword == "":
-        return search_request(catalog, keyword)
+        return search_request(read_catalog(spark, path), keyword)
+    catalog = possible_rows(spark, path, keyword)
+    if not catalog.inputFiles():
+        return search(catalog, keyword)
     files = [row[0] for row in hit_files(catalog, keyword).limit(FEW_FILES + 1).collect()]
     if len(files) > FEW_FILES:
         return search(catalog, keyword)

@@ -66,7 +66,7 @@ def committed(spark: SparkSession, path: str) -> dict[str, list[str]] | None:
     added: dict[str, list[str]] = {}
     gone = set()
     for file, line in lines:
-        base, _, entry = _plain(unquote(file)).rpartition(f"/{COMMITS}/")
+        base, _, entry = plain_path(file).rpartition(f"/{COMMITS}/")
         whole = f"{base}/{line[1:]}"
         if line.startswith("-"):
             gone.add(whole)
@@ -87,6 +87,11 @@ def _plain(path: str) -> str:
     return re.sub("^file:/+", "file:/", path)
 
 
+def plain_path(file: str) -> str:
+    """The path of a file that a scan names."""
+    return _plain(unquote(file))
+
+
 def read_committed(spark: SparkSession, path: str, schema: StructType, form: str = "parquet") -> DataFrame:
     """The rows of a table's commits and plain files; of a table without commits, all it holds."""
     reader = spark.read.schema(schema).option("recursiveFileLookup", "true")
