@@ -47,6 +47,7 @@ from tagreef.plans.jobs import (
 from tagreef.operators.sizes import spread
 from tagreef.schema import CATALOG
 from tagreef.shared import scratch_path
+from tagreef.sources.accounts import read_snapshot, store_account_batch, write_accounts
 from tagreef.sources.catalog import (
     append_catalog,
     compact_catalog,
@@ -1220,6 +1221,15 @@ def accounts_after_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )[0]
 
 
+@register(patched_sql(GROWN_SQL))
+def accounts_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batch, stored: only buckets of its names are written anew."""
+    path = scratch_path(spark, "accounts")
+    write_accounts(customer_accounts(spark, sf_dir), path)
+    store_account_batch(spark, path, order_signups(spark, sf_dir), event_patches(spark, sf_dir))
+    return read_snapshot(spark, path)
+
+
 @register(f"SELECT * FROM {ACCOUNTS_SQL} AS a")
 def accounts_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "accounts")

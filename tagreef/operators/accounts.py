@@ -45,21 +45,27 @@ def lookup_accounts(accounts: DataFrame, names: str | DataFrame) -> DataFrame:
     )
 
 
-def apply_signups(accounts: DataFrame, signups: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _known_names(accounts: DataFrame, names: DataFrame) -> DataFrame:
+    """Those of distinct names that have an account; the names go to the accounts."""
+    return accounts.select("username").join(broadcast_if_small(names), "username", "left_semi").distinct()
+
+
+def apply_signups(accounts: DataFrame, signups: DataFrame, last_id: int | None = None) -> tuple[DataFrame, DataFrame]:
     """The account table after the sign-ups, and ``(seq, username, status)`` of each.
 
     Names are lower-cased. The first valid sign-up of a free name, by ``seq``
-    (unique), gets it. Winners go back to the sign-ups by ``seq``, so a name
-    that a third of them ask for makes no hot task.
+    (unique), gets it; ids go on from ``last_id``, by default the accounts' greatest.
+    Winners go back to the sign-ups by ``seq``, so a name that a third of them ask
+    for makes no hot task. Accounts are not shuffled as long as the names asked for
+    can be broadcast.
     """
     checked = check_accounts(signups.withColumn("username", F.lower("username")))
     valid = checked.filter(F.col("status").isNull()).drop("status")
-    winners = saved(
-        first_per_key(valid, ["username"], ["seq"]).join(
-            accounts.select("username"), "username", "left_anti"
-        )
-    )
-    last_id = accounts.agg(F.max("id")).first()[0] or 0
+    first = saved(first_per_key(valid, ["username"], ["seq"]))
+    taken = saved(_known_names(accounts, first.select("username")))
+    winners = saved(first.join(broadcast_if_small(taken), "username", "left_anti"))
+    if last_id is None:
+        last_id = accounts.agg(F.max("id")).first()[0] or 0
     added = with_index(winners, ["seq"], "_nth").select(
         (F.col("_nth") + last_id + 1).cast("int").alias("id"), *ACCOUNTS.names[1:]
     )
@@ -75,19 +81,20 @@ def apply_profile_patches(accounts: DataFrame, patches: DataFrame) -> tuple[Data
 
     ``patches`` is ``(seq, username, password_hash, email)``. An empty field (or
     NULL) keeps the old value; of several changes of a field the last one counts.
-    Changes are reduced to one row per name before they meet the accounts.
+    Changes are reduced to one row per name before they meet the accounts, which are
+    not shuffled as long as these rows can be broadcast.
     """
     fields = ("password_hash", "email")
     given = {name: F.when(F.col(name) != "", F.col("seq")) for name in fields}
-    last = patches.groupBy("username").agg(
-        *[F.max_by(name, given[name]).alias(f"_{name}") for name in fields]
+    last = saved(
+        patches.groupBy("username").agg(*[F.max_by(name, given[name]).alias(f"_{name}") for name in fields])
     )
-    patched = accounts.join(last, "username", "left").select(
+    patched = accounts.join(broadcast_if_small(last), "username", "left").select(
         "id", "username", *[F.coalesce(f"_{name}", name).alias(name) for name in fields]
     )
     # Names meet accounts once each; the unknown ones, usually few, then find their changes.
-    names = patches.select("username").distinct()
-    strange = names.join(accounts.select("username"), "username", "left_anti")
+    names = last.select("username").dropna()
+    strange = names.join(_known_names(accounts, names), "username", "left_anti")
     nameless = F.col("username").isNull()
     unknown = patches.join(broadcast_if_small(saved(strange)), "username", "left_semi")
     unknown = unknown.unionByName(patches.filter(nameless))

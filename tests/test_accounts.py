@@ -6,6 +6,7 @@ from tagreef.operators.accounts import (
 )
 from tagreef.plans.jobs import account_batch
 from tagreef.schema import ACCOUNTS, SIGNUPS
+from tagreef.sources.accounts import read_snapshot, store_account_batch, write_accounts
 
 OLD = [(1, "bob", "h1", "bob@x"), (7, "cy", "h7", None)]
 NEW = [
@@ -75,3 +76,48 @@ def test_lookup(spark):
     assert [r["id"] for r in lookup_accounts(accounts, "cy").collect()] == [7]
     names = spark.createDataFrame([("bob",), ("bob",), ("who",)], "username string")
     assert [r["id"] for r in lookup_accounts(accounts, names).collect()] == [1]
+
+
+def lines_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_accounts_are_not_shuffled(spark, tmp_path):
+    path = str(tmp_path / "a")
+    spark.range(3000).selectExpr("int(id) AS id", "concat('u', id) AS username", "'h' AS password_hash", "'e' AS email").write.parquet(path)
+    accounts = spark.read.schema(ACCOUNTS).parquet(path)
+    signups = spark.createDataFrame([(1, "u5", 8, "x", None), (2, "new", 8, "y", None)], SIGNUPS)
+    patches = spark.createDataFrame([(1, "u7", "z", None), (2, "nobody", "z", None)], "seq long, username string, password_hash string, email string")
+    grown, _ = apply_signups(accounts, signups)
+    patched, unknown = apply_profile_patches(grown, patches)
+    plan = lines_of(patched)
+    assert "Exchange hashpartitioning(username" not in plan and "SortMergeJoin" not in plan
+    found = {r.username: r.password_hash for r in patched.filter("password_hash <> 'h'").collect()}
+    assert found == {"u7": "z", "new": "y"} and patched.count() == 3001
+    assert [r.username for r in unknown.collect()] == ["nobody"]
+
+
+def test_a_batch_rewrites_touched_buckets_only(spark, tmp_path):
+    path = str(tmp_path / "s")
+    old = spark.range(500).selectExpr("int(id) AS id", "concat('u', id) AS username", "'h' AS password_hash", "'e' AS email")
+    write_accounts(old, path, 16)
+    before = read_snapshot(spark, path)
+    files = set(before.inputFiles())
+    assert before.count() == 500 and len(files) == 16
+    signups = spark.createDataFrame([(1, "U5", 8, "x", None), (2, "new", 8, "y", None)], SIGNUPS)
+    patches = spark.createDataFrame([(1, "u7", "z", None)], "seq long, username string, password_hash string, email string")
+    outcomes, unknown = store_account_batch(spark, path, signups, patches)
+    assert {r.seq: r.status for r in outcomes.collect()} == {1: "Username taken", 2: "Signup successful"}
+    assert unknown.count() == 0
+    after = read_snapshot(spark, path)
+    changed = after.exceptAll(before).collect()
+    assert {(r.id, r.username, r.password_hash) for r in changed} == {(500, "new", "y"), (7, "u7", "z")}
+    assert after.count() == 501 and before.count() == 500  # an earlier reader still finds its files
+    assert len(files - set(after.inputFiles())) <= 3
+    # From nothing, and with nothing to do.
+    none = str(tmp_path / "none")
+    write_accounts(old.limit(0), none)
+    store_account_batch(spark, none, signups, patches.limit(0))
+    assert sorted((r.id, r.username) for r in read_snapshot(spark, none).collect()) == [(1, "u5"), (2, "new")]
+    store_account_batch(spark, none, signups.limit(0), patches.limit(0))
+    assert read_snapshot(spark, none).count() == 2
