@@ -1225,7 +1225,7 @@ def accounts_after_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def accounts_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same batch, stored: only buckets of its names are written anew."""
     path = scratch_path(spark, "accounts")
-    write_accounts(customer_accounts(spark, sf_dir), path)
+    write_accounts(customer_accounts(spark, sf_dir), path, 32)
     store_account_batch(spark, path, order_signups(spark, sf_dir), event_patches(spark, sf_dir))
     return read_snapshot(spark, path)
 
