@@ -1,15 +1,18 @@
 """Near-duplicate embeddings by randomised-rotation binary codes.
 
 A unit vector, rotated at random, is stored as its signs and a correction
-factor: the inner product of the vector with its own code. Signs times another
-rotated vector, divided by the factor, estimate the inner product of the two
-without bias; the factor also bounds the error. Bits of the code propose pairs
-(vectors of one label whose 12 bits agree in one of 16 bands); of these only the
-pairs whose bound reaches the threshold are computed exactly, in doubles.
+factor: the inner product of the vector with its own code. Bits of the code propose
+pairs (vectors of one label whose 12 bits agree in one of 16 bands), and buckets of
+codes alone, a bit for each direction, are compared first: the share of bits that
+differ estimates the angle without bias, and vectors that no pair within its
+confidence bound needs go no further. Only for the others the vectors are fetched.
+Signs times another rotated vector, divided by the stored factor, then estimate the
+inner product of the two without bias; the factor also bounds the error. Pairs
+whose bound reaches the threshold are computed exactly, in doubles.
 """
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,15 +22,22 @@ from pyspark.sql import functions as F
 from tagreef.llm.components import components
 from tagreef.llm.tables import stored
 from tagreef.llm.words import spans_of
+from tagreef.operators.sizes import broadcast_if_small
 
 #: A pair at cosine 0.98 shares a band's bits with odds of 0.45: all bands miss it with 6e-5.
 BANDS, BITS = 16, 12
 #: Standard deviations of an estimate that its bound allows for.
 SURE = 5.0
+#: The same for the share of differing bits, whose upper tail is heavier.
+SURE_BITS = 6.0
 #: Vectors of one side of a block.
 CHUNK = 1024
 #: Pairs worked out at once where buckets are small.
 PAIRS = 1 << 16
+#: Parts that a bucket's number has room for.
+MOST_PARTS = 1 << 16
+
+PLACE = ["id", "key", "band", "own", "i", "j"]
 
 _rotations: dict[int, np.ndarray] = {}
 
@@ -41,13 +51,17 @@ def rotations(size: int) -> np.ndarray:
     return _rotations[size]
 
 
+def rotate(unit: np.ndarray) -> np.ndarray:
+    """Unit vectors under all rotations together, shortened to unit length."""
+    rotated = unit @ rotations(unit.shape[1])
+    return rotated / np.sqrt(rotated.shape[1] // unit.shape[1])
+
+
 def codes(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rotated, signs, factor) of unit vectors; ``signs`` are -1 and 1, shortened to unit length."""
-    rotated = unit @ rotations(unit.shape[1])
-    many = rotated.shape[1] // unit.shape[1]
+    rotated = rotate(unit)
     signs = np.where(rotated >= 0, 1.0, -1.0) / np.sqrt(rotated.shape[1])
-    # Over all rotations together; a rotated vector is as often as long.
-    return rotated / np.sqrt(many), signs, np.abs(rotated).sum(1) / np.sqrt(rotated.shape[1] * many)
+    return rotated, signs, np.abs(rotated).sum(1) / np.sqrt(rotated.shape[1])
 
 
 def bound(factor: np.ndarray, size: int, width: int, cosine: float) -> np.ndarray:
@@ -56,6 +70,12 @@ def bound(factor: np.ndarray, size: int, width: int, cosine: float) -> np.ndarra
     return cosine - SURE * np.sqrt(max(1 - cosine**2, 0)) * spread
 
 
+def most_differing(width: int, cosine: float) -> float:
+    """Most bits of ``width`` in which a pair of ``cosine`` or more may differ, by the bound."""
+    share = np.arccos(np.clip(cosine, -1, 1)) / np.pi
+    return width * share + SURE_BITS * np.sqrt(width * share * (1 - share))
+
+
 def band_bits(signs: np.ndarray) -> np.ndarray:
     bits = (signs[:, : BANDS * BITS] > 0).reshape(len(signs), BANDS, BITS)
     return (bits * (1 << np.arange(BITS))).sum(2).astype(np.int32)
@@ -79,33 +99,73 @@ def _units(v: np.ndarray) -> np.ndarray:
 
 
 def _described(rows: DataFrame) -> DataFrame:
-    """(id, label, size, digest, vector, bands) of each row; nulls where it links with nothing."""
+    """(id, label, size, digest, vector, signs, factor, bands) of each row; nulls where it links with nothing."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors = _vectors(batch.column("v"))
+            sizes = [None if v is None else len(v) for v in vectors]
+            if max((n for n in sizes if n), default=0) >= MOST_PARTS:
+                raise ValueError(f"a vector of {MOST_PARTS} parts or more")
             bands: list[np.ndarray | None] = [None] * len(vectors)
+            packed: list[bytes | None] = [None] * len(vectors)
+            factors: list[float | None] = [None] * len(vectors)
             for size in {len(v) for v in vectors if v is not None}:
                 at = [k for k, v in enumerate(vectors) if v is not None and len(v) == size]
-                _, signs, _ = codes(_units(np.array([vectors[k] for k in at])))
-                for k, b in zip(at, band_bits(signs)):
-                    bands[k] = b
+                _, signs, factor = codes(_units(np.array([vectors[k] for k in at])))
+                for k, b, c, f in zip(at, band_bits(signs), np.packbits(signs > 0, axis=1), factor.tolist()):
+                    bands[k], packed[k], factors[k] = b, c.tobytes(), f
             # Adding zero makes -0.0 the same as 0.0.
             raw = [None if v is None else (v + 0.0).tobytes() for v in vectors]
             digests = [None if r is None else hashlib.blake2b(r, digest_size=16).digest() for r in raw]
-            sizes = [None if v is None else len(v) for v in vectors]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"), batch.column("label"), pa.array(sizes, pa.int32()),
-                    pa.array(digests, pa.binary()), pa.array(raw, pa.binary()), pa.array(bands, pa.list_(pa.int32())),
+                    pa.array(digests, pa.binary()), pa.array(raw, pa.binary()), pa.array(packed, pa.binary()),
+                    pa.array(factors, pa.float64()), pa.array(bands, pa.list_(pa.int32())),
                 ],
-                ["id", "label", "size", "digest", "vector", "bands"],
+                ["id", "label", "size", "digest", "vector", "signs", "factor", "bands"],
             )
 
-    kind = "id long, label long, size int, digest binary, vector binary, bands array<int>"
+    kind = "id long, label long, size int, digest binary, vector binary, signs binary, factor double, bands array<int>"
     return rows.mapInArrow(describe, kind)
 
 
+def _unpacked(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    """Signs of stored codes as -1 and 1."""
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+    return np.where(np.unpackbits(raw, axis=1)[:, :width] > 0, 1.0, -1.0)
+
+
+def width_of(size: int) -> int:
+    """Bits of the code of a vector."""
+    return size * -(-BANDS * BITS // size)
+
+
+def open_rows(rows: pa.Table, cosine: float) -> np.ndarray:
+    """Rows of blocks of codes that have a partner within the bound on differing bits."""
+    size = rows.column("size")[0].as_py()
+    width = width_of(size)
+    signs = _unpacked(rows.column("signs"), width).astype(np.float32)
+    # The product of two codes is the width less twice the differing bits.
+    least = width - 2 * most_differing(width, cosine)
+    key, i, j, own = (rows.column(c).to_numpy() for c in ("key", "i", "j", "own"))
+    out = np.zeros(len(key), bool)
+    cuts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
+    for low, high in zip(cuts.tolist(), [*cuts[1:].tolist(), len(key)]):
+        at = np.arange(low, high)
+        mine = at if i[low] == j[low] else at[own[at] == i[low]]
+        others = at if i[low] == j[low] else at[own[at] != i[low]]
+        step = max(1, PAIRS // max(len(others), 1))
+        for a in range(0, len(mine), step):
+            near = signs[mine[a : a + step]] @ signs[others].T >= least
+            if i[low] == j[low]:
+                near[np.arange(len(near)), a + np.arange(len(near))] = False
+            out[mine[a : a + step]] |= near.any(1)
+            out[others] |= near.any(0)
+    return out
+
+
 class Block:
     """Vectors of one size in buckets, with their codes."""
 
@@ -116,8 +176,10 @@ class Block:
         raw = b"".join(rows.column("vector").to_pylist())
         self.unit = _units(np.frombuffer(raw).reshape(len(self.id), -1))
         self.bands = np.array(rows.column("bands").to_pylist(), np.int32)
-        self.rotated, self.signs, self.factor = codes(self.unit)
-        self.width = self.rotated.shape[1]
+        self.width = width_of(self.unit.shape[1])
+        self.signs = _unpacked(rows.column("signs"), self.width) / np.sqrt(self.width)
+        self.factor = rows.column("factor").to_numpy()
+        self.rotated = rotate(self.unit)
 
     def links(self, x: np.ndarray, y: np.ndarray, near: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
         """Of pairs whose estimate reaches the bound, those that exact cosines confirm."""
@@ -197,19 +259,42 @@ class Block:
 
 
 def _block_rows(classes: DataFrame) -> DataFrame:
-    """A row for each bucket (or block of two chunks of a large bucket) that a vector is in."""
-    slim = classes.select("id", "label", "size", F.posexplode("bands").alias("band", "bits"))
+    """A row for each bucket (or block of two chunks of a large bucket) that a vector is in: its code, not itself."""
+    slim = classes.select("id", "label", "size", "signs", F.posexplode("bands").alias("band", "bits"))
     # One number per label, size, band and bits; labels are 32-bit numbers.
     key = F.shiftleft(F.col("label"), 32) + F.shiftleft(F.col("size").cast("long"), 16)
     key = key + F.col("band") * (1 << BITS) + F.col("bits")
-    slim = slim.select("id", "band", key.alias("key"))
+    slim = slim.select("id", "size", "signs", "band", key.alias("key"))
     full = slim.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
-    met = slim.join(full, "key")
+    met = slim.join(broadcast_if_small(stored(full, "buckets")), "key")
     parts = F.ceil(F.col("m") / CHUNK).cast("int")
     met = met.withColumn("own", F.pmod(F.xxhash64("id"), parts).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    met = met.select("id", "key", "band", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    return met.join(classes.select("id", "size", "copies", "vector", "bands"), "id")
+    i, j = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    return met.select("id", "size", "signs", "key", "band", "own", i, j)
+
+
+def _by_block(blocks: DataFrame, done: Callable[[pa.Table], pa.RecordBatch], kind: str) -> DataFrame:
+    """What ``done`` makes of whole blocks, of one size and a few thousand rows at a time."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            mark = np.column_stack([batch.column(c).to_numpy() for c in ("size", "key", "i", "j")])
+            changes = np.flatnonzero((mark[1:] != mark[:-1]).any(1)) + 1
+            for low, high in zip([0, *changes.tolist()], [*changes.tolist(), len(mark)]):
+                fresh = tuple(mark[low]) != last
+                if held and fresh and (mark[low][0] != last[0] or sum(b.num_rows for b in held) >= 4 * CHUNK):
+                    yield done(pa.Table.from_batches(held))
+                    held.clear()
+                held.append(batch.slice(low, high - low))
+                last = tuple(mark[low])
+        if held:
+            yield done(pa.Table.from_batches(held))
+
+    dealt = blocks.repartition("key", "i", "j").sortWithinPartitions("size", "key", "i", "j")
+    return dealt.mapInArrow(compare, kind)
 
 
 def near_vectors(
@@ -224,10 +309,12 @@ def near_vectors(
     and vectors of different sizes link with nothing; a null id has a null
     component and is kept. Repeated rows are vectors of their own that are
     linked; rows that share an id but no vector are judged each for itself.
-    Labels must be 32-bit numbers and vectors shorter than 65536.
+    Labels must be 32-bit numbers; a vector of 65536 parts or more is an error.
 
     Equal vectors are one class and compared once. Large buckets meet in blocks
-    of chunks; each block returns a row per vector, never pairs.
+    of chunks; each block returns a row per vector, never pairs. Blocks of codes
+    come first, 24 bytes and a place a row; vectors join only the rows that these
+    leave open.
     """
     slim = rows.select(
         F.col(vec_id).cast("long").alias("id"), F.col(label).cast("int").cast("long").alias("label"), F.col(vector).alias("v")
@@ -238,35 +325,21 @@ def near_vectors(
     valid = valid.withColumn("class", F.xxhash64("label", "digest"))
     classes = valid.groupBy("class").agg(
         F.min("id").alias("least"), F.count("*").alias("copies"), F.min("label").alias("label"),
-        F.min("size").alias("size"), F.first("vector").alias("vector"), F.first("bands").alias("bands"),
+        F.min("size").alias("size"), *(F.first(c).alias(c) for c in ("vector", "signs", "factor", "bands")),
     )
     classes = stored(classes.withColumnRenamed("class", "id"), "classes")
 
-    blocks = _block_rows(classes).repartition("key", "i", "j").sortWithinPartitions("size", "key", "i", "j")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def done() -> pa.RecordBatch:
-            found = Block(pa.Table.from_batches(held)).found(cosine)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["id", "links", "least"])
+    def undecided(rows: pa.Table) -> pa.RecordBatch:
+        kept = rows.filter(pa.array(open_rows(rows, cosine)))
+        return pa.RecordBatch.from_arrays([kept.column(c).combine_chunks() for c in PLACE], PLACE)
 
-        last = None
-        for batch in batches:
-            mark = np.column_stack([batch.column(c).to_numpy() for c in ("size", "key", "i", "j")])
-            changes = np.flatnonzero((mark[1:] != mark[:-1]).any(1)) + 1
-            # Whole blocks of one size are worked out together, a few thousand rows at a time.
-            for low, high in zip([0, *changes.tolist()], [*changes.tolist(), len(mark)]):
-                fresh = tuple(mark[low]) != last
-                if held and fresh and (mark[low][0] != last[0] or sum(b.num_rows for b in held) >= 4 * CHUNK):
-                    yield done()
-                held.append(batch.slice(low, high - low))
-                last = tuple(mark[low])
-        if held:
-            yield done()
+    def linked(rows: pa.Table) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in Block(rows).found(cosine)], ["id", "links", "least"])
 
-    found = stored(blocks.mapInArrow(compare, "id long, links long, least long"), "links")
+    kind = "id long, key long, band int, own int, i int, j int"
+    open_ = stored(_by_block(_block_rows(classes), undecided, kind), "undecided")
+    blocks = open_.join(classes.select("id", "size", "copies", "vector", "signs", "factor", "bands"), "id")
+    found = stored(_by_block(blocks, linked, "id long, links long, least long"), "links")
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     tied = components(found.select(F.col("id").alias("a"), F.col("least").alias("b")))
     # Components of class numbers, then the least vector id of each.

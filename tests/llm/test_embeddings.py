@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import SF_DIR
 
@@ -98,3 +99,49 @@ def test_estimates_are_unbiased_and_bounded():
     near, true = (signs * rotated).sum(1) / factor, (x * y).sum(1)
     assert abs((near - true).mean()) < 0.002
     assert (near >= bound(factor, 64, rotated.shape[1], 0.97))[true >= 0.97].all()
+
+
+def test_codes_alone_leave_no_near_pair_out():
+    """Rows that the differing bits rule out have no partner at the threshold."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(300, 64))
+    v = np.concatenate([centres, centres + rng.normal(size=centres.shape) * rng.choice([0.02, 0.13, 0.14, 1.0], (300, 1))])
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    _, signs, factor = codes(unit)
+    differing = ((signs[:300] > 0) != (signs[300:] > 0)).sum(1)
+    true = (unit[:300] * unit[300:]).sum(1)
+    # The share of differing bits estimates the angle without bias.
+    assert abs((differing / signs.shape[1] - np.arccos(true) / np.pi).mean()) < 0.005
+    n = len(v)
+    rows = pa.table({
+        "size": pa.array(np.full(n, 64)), "signs": pa.array([c.tobytes() for c in np.packbits(signs > 0, axis=1)]),
+        "key": np.zeros(n, np.int64), "own": np.arange(n) % 2, "i": np.zeros(n, np.int64), "j": np.ones(n, np.int64),
+    })
+    for one_chunk in (False, True):
+        if one_chunk:
+            rows = rows.set_column(5, "j", pa.array(np.zeros(n, np.int64)))
+        kept = embeddings.open_rows(rows, 0.98)
+        near = unit @ unit.T >= 0.98
+        near[np.arange(n), np.arange(n)] = False
+        if not one_chunk:
+            near &= (np.arange(n)[:, None] % 2) != (np.arange(n) % 2)
+        assert kept[near.any(1)].all()
+        assert kept.sum() < 0.9 * n
+
+
+def test_vectors_travel_only_where_codes_leave_a_pair_open(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(k, rng.normal(size=64).tolist(), 0) for k in range(3000)] + [(5000 + k, [1.0 + k / 1e4] * 64, 1) for k in range(50)]
+    seen = {}
+    kept = embeddings.stored
+    monkeypatch.setattr(embeddings, "stored", lambda df, name: seen.setdefault(name, kept(df, name)))
+    found = ran(near_vectors(spark.createDataFrame(rows, SCHEMA)))
+    assert found == brute(rows)
+    assert "vector" not in seen["undecided"].columns
+    assert seen["undecided"].filter("id IS NOT NULL").select("id").distinct().count() < 300
+
+
+def test_too_long_vectors_are_an_error(spark):
+    rows = spark.createDataFrame([(1, [1.0] * 65536, 0)], SCHEMA)
+    with pytest.raises(Exception, match="65536 parts"):
+        near_vectors(rows).collect()
