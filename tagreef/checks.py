@@ -386,6 +386,12 @@ def image_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Extensions of the stand-in file names, in turn.
 EXTENSIONS = ("png", "PNG", "Png", "GIF", "jpeg", "bmp", "png.txt", "jpg", "gif")
+# What an upload's name may end in, now and formerly, and the answer to
+# one that does not.
+UPLOADS_SQL = "('png','jpg','JPG','PNG','bmp','gif','jpeg','JPEG')"
+OLD_UPLOADS_SQL = "('png','jpg','JPG','PNG','bmp','gif')"
+REFUSAL_SQL = "1001 AS error, 'Only support .png .PNG .jpg .JPG .bmp .gif' AS msg"
+
 NAME_SQL = (
     "replace(p_name, ' ', '_') || '.' || "
     + _pick_sql("p_partkey", [f"'{extension}'" for extension in EXTENSIONS])
@@ -402,8 +408,8 @@ def part_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     f"""SELECT p_partkey, name,
         lower(name) LIKE '%.png%' OR lower(name) LIKE '%.jpg%' OR lower(name) LIKE '%.gif%' AS in_folder,
-        regexp_extract(name, '[^.]*$') IN ('png','jpg','JPG','PNG','bmp','gif','jpeg','JPEG') AS upload,
-        regexp_extract(name, '[^.]*$') IN ('png','jpg','JPG','PNG','bmp','gif') AS old_upload,
+        regexp_extract(name, '[^.]*$') IN {UPLOADS_SQL} AS upload,
+        regexp_extract(name, '[^.]*$') IN {OLD_UPLOADS_SQL} AS old_upload,
         name LIKE '%.png%' OR name LIKE '%.jpg%' OR name LIKE '%.gif%' AS renamed
         FROM {FILES_SQL}"""
 )
@@ -923,7 +929,7 @@ def texts_merged_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
 UPLOADED_SQL = f"""(SELECT {DOC_NAME_SQL} AS path, {tag_sql('text')} AS features,
     'data:image/png;base64,' || base64({DOC_BYTES_SQL}) AS "binary" FROM documents
     WHERE regexp_extract({DOC_NAME_SQL}, '[^.]*$') IN
-        ('png','jpg','JPG','PNG','bmp','gif','jpeg','JPEG'))"""
+        {UPLOADS_SQL})"""
 
 
 @register(f"SELECT * FROM {UPLOADED_SQL} AS u")
@@ -934,7 +940,7 @@ def upload_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     f"""SELECT path, 'ValueError: unreadable' AS error FROM (
             SELECT {DOC_NAME_SQL} AS path, {DOC_BYTES_SQL} AS content FROM documents) AS d
-        WHERE regexp_extract(path, '[^.]*$') IN ('png','jpg','JPG','PNG','bmp','gif','jpeg','JPEG')
+        WHERE regexp_extract(path, '[^.]*$') IN {UPLOADS_SQL}
             AND octet_length(content) % 3 = 0"""
 )
 def upload_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -959,10 +965,10 @@ def uploads_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(
-    f"""SELECT path, 1001 AS error, 'Only support .png .PNG .jpg .JPG .bmp .gif' AS msg
+    f"""SELECT path, {REFUSAL_SQL}
         FROM (SELECT {DOC_NAME_SQL} AS path FROM documents) AS d
         WHERE regexp_extract(path, '[^.]*$') NOT IN
-            ('png','jpg','JPG','PNG','bmp','gif','jpeg','JPEG')"""
+            {UPLOADS_SQL}"""
 )
 def upload_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_uploads(document_uploads(spark, sf_dir), utf8_reader)[1]

@@ -100,11 +100,16 @@ def read_batches_of_text(spark: SparkSession, prefix: str) -> DataFrame:
     return read_committed(spark, f"{prefix}-*", LINES, "text")
 
 
-def preview(lines: DataFrame, n: int = 10, once: bool = False) -> StreamingQuery:
-    """Print the head of each batch."""
-    trigger = {"availableNow": True} if once else {"processingTime": f"{BATCH_SECONDS} seconds"}
-    writer = lines.writeStream.format("console").option("numRows", n)
-    return writer.option("truncate", "false").trigger(**trigger).start()
+def preview(
+    lines: DataFrame, checkpoint: str, n: int = 10, once: bool = False, show: Callable[[str], None] = print
+) -> StreamingQuery:
+    """Show the first ``n`` lines of each batch, by printing them."""
+
+    def head(batch: DataFrame, batch_id: int) -> None:
+        for row in batch.select("value").limit(n).collect():
+            show(row["value"])
+
+    return run_batches(lines, head, checkpoint, once)
 
 
 def _catalog_columns() -> list[Column]:

@@ -60,9 +60,17 @@ def test_lines_to_catalog(spark, tmp_path):
     assert all(r["features"] is None for r in rows)
 
 
-def test_preview_runs(spark, tmp_path):
-    send(tmp_path / "in", 1, 1)
-    preview(line_stream(spark, "text", path=str(tmp_path / "in")), once=True).awaitTermination()
+def test_preview_shows_the_head_of_each_batch(spark, tmp_path, capsys):
+    (tmp_path / "in").mkdir()
+    lines = [f"line {k:02d}" for k in range(25)]
+    (tmp_path / "in" / "a.txt").write_text("".join(f"{line}\n" for line in lines))
+    stream = line_stream(spark, "text", path=str(tmp_path / "in"))
+    seen = []
+    preview(stream, str(tmp_path / "c"), once=True, show=seen.append).awaitTermination()
+    assert seen == lines[:10]
+    (tmp_path / "in" / "b.txt").write_text("more\n")
+    preview(stream, str(tmp_path / "c"), once=True).awaitTermination()
+    assert capsys.readouterr().out.split("\n")[:1] == ["more"]
 
 
 def reader():
