@@ -28,7 +28,7 @@ from tagreef.llm.tables import sent
 from tagreef.llm.words import INVERSE, BASE, mixed, pieces as text_pieces, powers, span_sums, spans_of
 
 #: Bytes of text whose distinct words are worked out together.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 20
 #: Ids decoded together, unless one text has more.
 DECODED = 1 << 17
 #: Most cells (words x positions x piece lengths) of one matrix, unless one word has more.
