@@ -116,19 +116,24 @@ def documents_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_catalog_rows(docs, kind="png")
 
 
-_STORED: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple[str, str, str], str] = {}
 
 
-def stored_catalog(spark: SparkSession, sf_dir: str) -> str:
-    """The same catalog written as a search finds it, once per application; its path."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _stored_once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """The path of what ``write`` writes there, once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
-        path = scratch_path(spark, "catalog")
-        append_catalog(documents_catalog(spark, sf_dir), path)
+        path = scratch_path(spark, name)
+        write(path)
         _STORED[key] = path
     return _STORED[key]
 
 
+def stored_catalog(spark: SparkSession, sf_dir: str) -> str:
+    """The same catalog written as a search finds it, once per application; its path."""
+    return _stored_once(spark, sf_dir, "catalog", lambda path: append_catalog(documents_catalog(spark, sf_dir), path))
+
+
 SPACE_SQL = (
     r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}|]"
@@ -1018,21 +1023,22 @@ def folder_index_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def written_folder(spark: SparkSession, sf_dir: str) -> str:
-    """The uploads as files of one folder that all executors share."""
-    folder = scratch_path(spark, "folder")
-
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        place = folder if "://" in folder else "file://" + folder.removeprefix("file:")
-        system, root = fs.FileSystem.from_uri(place)
-        system.create_dir(root, recursive=True)
-        for batch in batches:
-            for name, content in zip(batch["path"], batch["content"]):
-                with system.open_output_stream(f"{root}/{name}") as out:
-                    out.write(content)
-            yield batch[["path"]]
-
-    document_uploads(spark, sf_dir).mapInPandas(write, "path string").write.format("noop").mode("overwrite").save()
-    return folder
+    """The uploads as files of one folder that all executors share, written once per application."""
+
+    def save(folder: str) -> None:
+        def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            place = folder if "://" in folder else "file://" + folder.removeprefix("file:")
+            system, root = fs.FileSystem.from_uri(place)
+            system.create_dir(root, recursive=True)
+            for batch in batches:
+                for name, content in zip(batch["path"], batch["content"]):
+                    with system.open_output_stream(f"{root}/{name}") as out:
+                        out.write(content)
+                yield batch[["path"]]
+
+        document_uploads(spark, sf_dir).mapInPandas(write, "path string").write.format("noop").mode("overwrite").save()
+
+    return _stored_once(spark, sf_dir, "folder", save)
 
 
 IN_FOLDER_SQL = "(lower({0}) LIKE '%.png%' OR lower({0}) LIKE '%.jpg%' OR lower({0}) LIKE '%.gif%')"
