@@ -1,9 +1,14 @@
+import os
 import sys
 from datetime import datetime
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
+from tagreef.functions.images import is_folder_image
+from tagreef.functions.text import file_name
 from tagreef.operators.search import search_request
 from tagreef.plans.jobs import (
     hit_files,
@@ -14,6 +19,7 @@ from tagreef.plans.jobs import (
     store_uploads,
 )
 from tagreef.schema import CATALOG, TAG_FILE
+from tagreef.sources import folders
 from tagreef.sources.catalog import (
     append_catalog,
     compact_catalog,
@@ -120,6 +126,54 @@ def test_folder_scan(spark, folder):
     assert [r["name"] for r in others.collect()] == ["f.jpeg"]
 
 
+def test_folder_is_listed_by_tasks(spark, tmp_path):
+    """Many small files are few tasks, and the driver holds no listing."""
+    images = tmp_path / "a b%20é"
+    images.mkdir()
+    for k in range(400):
+        (images / f"{k}.png").write_bytes(PNG + b"%d" % k)
+    found, others = read_image_folder(spark, str(images))
+    assert found.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    for files in (found, others):
+        assert "FileScan" not in files._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, found.collect())) == sorted((f"{k}.png", PNG + b"%d" % k) for k in range(400))
+    assert others.count() == 0
+
+
+def test_folder_packs_by_bytes(spark, tmp_path, monkeypatch):
+    """More bytes are more tasks; a task reads large files one after the other."""
+    monkeypatch.setattr(folders, "TASK_BYTES", 100_000)
+    monkeypatch.setattr(folders, "HELD_BYTES", 1_000)
+    for k in range(40):
+        (tmp_path / f"{k}.png").write_bytes(b"%d" % k * 20_000)
+    images, heads, _ = folders.open_image_folder(spark, str(tmp_path))
+    assert images.rdd.getNumPartitions() > heads.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
+    assert sorted(map(tuple, images.collect())) == sorted((f"{k}.png", b"%d" % k * 20_000) for k in range(40))
+    assert {r["name"]: bytes(r["content"]) for r in heads.collect()} == {f"{k}.png": (b"%d" % k * 12)[:12] for k in range(40)}
+
+
+def test_folder_names_as_a_scan_takes_them(spark, tmp_path):
+    """Hidden names, empty files, links, patterns and single files: as Spark's own scan has them."""
+    for part in ("x1", "x2", "y"):
+        (tmp_path / part).mkdir()
+        for name in (".png", "_a.png", "_a=b.png", "_metadata.png", "a.png._COPYING_", "b c%20.PNG", f"{part}.gif", "é.txt", "|"):
+            (tmp_path / part / name).write_bytes(f"{part} {name}".encode())
+    (tmp_path / "y" / "empty.png").write_bytes(b"")
+    (tmp_path / "y" / "link.png").symlink_to(tmp_path / "x1" / "x1.gif")
+    (tmp_path / "y" / "sub.png").mkdir()
+    (tmp_path / "none").mkdir()
+    with open(os.fsencode(tmp_path) + b"/y/\xff.png", "wb") as file:
+        file.write(b"no name")
+    image = is_folder_image(F.col("name"))
+    for place in ("y", "x*", "{x1,y}", "y/link.png", "y/_a.png", "none"):
+        files = spark.read.format("binaryFile").load(str(tmp_path / place)).select(file_name(F.col("path")).alias("name"), "content")
+        images, others = read_image_folder(spark, f"file:{tmp_path}/{place}")
+        assert sorted(map(tuple, images.collect())) == sorted(map(tuple, files.filter(image).collect())), place
+        assert sorted(map(tuple, others.collect())) == sorted(map(tuple, files.filter(~image).select("name").collect())), place
+    with pytest.raises(AnalysisException):
+        read_image_folder(spark, str(tmp_path / "missing"))
+
+
 def detector():
     return lambda images: [["dog", "person"] if b"Hello" in image else [] for image in images]
 
